@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plugsites.functions.text import decimal_comma, number_text
+from plugsites.functions.text import WHITE_SPACE, decimal_comma, number_text
 from plugsites.schema import PLUG_LABELS, POWER_KW_RANGE
 
 
@@ -30,7 +30,7 @@ def pack(columns: list[str]) -> Column:
 def plug_tokens(text: Column) -> Column:
     """``;``-separated plug text to a list of common names, first mention first."""
     parts = F.transform(
-        F.split(F.coalesce(text, F.lit("")), ";"), lambda part: F.btrim(part, F.lit(" \t\r\n\x0b\f"))
+        F.split(F.coalesce(text, F.lit("")), ";"), lambda part: F.btrim(part, F.lit(WHITE_SPACE))
     )
     return F.array_distinct(plug_labels(F.filter(parts, lambda part: part != "")))
 

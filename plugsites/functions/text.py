@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 from plugsites.schema import MISSING_TEXT
 
 
+WHITE_SPACE = " \t\r\n\x0b\f"
+
+
 @dataclass(frozen=True)
 class TextRule:
     """How one feed cleans its text."""
@@ -58,7 +61,7 @@ def decimal_comma(column: Column) -> Column:
 
 def whole_number(column: Column) -> Column:
     """Integer text to int; a fraction is cut off, anything else is NULL."""
-    return F.regexp_extract(F.trim(column), r"^([+-]?\d+)(\.\d*)?$", 1).try_cast("int")
+    return F.regexp_extract(F.btrim(column, F.lit(WHITE_SPACE)), r"^([+-]?\d+)(\.\d*)?$", 1).try_cast("int")
 
 
 def safe_cast(df: DataFrame, target: dict[str, str]) -> DataFrame:
@@ -84,7 +87,7 @@ def parse_date(column: Column) -> Column:
     Written with patterns and a cast instead of date formats: a failing format
     throws and catches an exception for each row, a failing cast does not.
     """
-    iso = F.regexp_replace(F.trim(column), r"^(\d{2})\.(\d{2})\.(\d{4})$", "$3-$2-$1")
+    iso = F.regexp_replace(F.btrim(column, F.lit(WHITE_SPACE)), r"^(\d{2})\.(\d{2})\.(\d{4})$", "$3-$2-$1")
     return F.when(
         iso.rlike(r"^\d{4}-\d{2}-\d{2}([T ].*)?$"), F.substring(iso, 1, 10).try_cast("date")
     )
@@ -95,7 +98,9 @@ def postal_code(column: Column, numeric_only: bool) -> Column:
 
     Feeds that hold numbers lose any other text; the rest keep it.
     """
-    text = whole_number(column).cast("string") if numeric_only else F.trim(column)
+    text = F.btrim(column, F.lit(WHITE_SPACE))
+    if numeric_only:
+        text = whole_number(column).cast("string")
     return F.when(text.rlike(r"^\d{1,4}$"), F.lpad(text, 5, "0")).otherwise(text)
 
 

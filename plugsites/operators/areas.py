@@ -33,50 +33,35 @@ EDGE_BYTES = 48
 AREA_BYTES = 96
 
 
-def ring_edges(rings: Column) -> Column:
+def ring_edges(rings: str) -> Column:
     """Rings of points to one list of edges; open rings are closed."""
-
-    def edges_of(ring: Column) -> Column:
-        def edge(i: Column) -> Column:
-            start, end = F.get(ring, i), F.get(ring, (i + 1) % F.size(ring))
-            return F.struct(
-                start["x"].alias("x1"), start["y"].alias("y1"), end["x"].alias("x2"), end["y"].alias("y2")
-            )
-
-        return F.transform(F.sequence(F.lit(0), F.size(ring) - 1), edge)
-
-    closed_shapes = F.filter(rings, lambda ring: F.size(ring) >= 3)
-    return F.filter(
-        F.flatten(F.transform(closed_shapes, edges_of)),
-        lambda e: (e["x1"] != e["x2"]) | (e["y1"] != e["y2"]),
-    )
+    return F.expr(f"""
+        filter(
+            flatten(transform(
+                filter({rings}, ring -> size(ring) >= 3),
+                ring -> transform(sequence(0, size(ring) - 1), i -> struct(
+                    get(ring, i).x AS x1, get(ring, i).y AS y1,
+                    get(ring, (i + 1) % size(ring)).x AS x2, get(ring, (i + 1) % size(ring)).y AS y2)))),
+            e -> e.x1 <> e.x2 OR e.y1 <> e.y2)""")
 
 
 def boundary_edges(boundaries: DataFrame) -> DataFrame:
     """Boundary rows to one row per edge."""
-    return boundaries.select(
-        "level", "ord", "name", F.inline(ring_edges(F.col("rings")))
-    )
+    return boundaries.select("level", "ord", "name", F.inline(ring_edges("rings")))
 
 
-def crosses(x: Column, y: Column, e: Column) -> Column:
-    """The ray from the point to the right meets the edge."""
-    meets_at = (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]
-    return ((e["y1"] > y) != (e["y2"] > y)) & (x < meets_at)
+# Predicates over an edge ``e`` and a point, as SQL text: they stand inside lambdas.
+CROSSES = """(e.y1 > {y}) <> (e.y2 > {y})
+    AND {x} < (e.x2 - e.x1) * ({y} - e.y1) / nullif(e.y2 - e.y1, 0D) + e.x1"""
+LIES_ON = """(e.x2 - e.x1) * ({y} - e.y1) - (e.y2 - e.y1) * ({x} - e.x1) = 0D
+    AND {x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2)
+    AND {y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)"""
 
 
-def lies_on(x: Column, y: Column, e: Column) -> Column:
-    turn = (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
-    return (
-        (turn == 0)
-        & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-        & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-    )
-
-
-def contains(x: Column, y: Column, edges: Column) -> Column:
-    odd = F.size(F.filter(edges, lambda e: crosses(x, y, e))) % 2 == 1
-    return odd & ~F.exists(edges, lambda e: lies_on(x, y, e))
+def contains(x: str, y: str, edges: str) -> str:
+    """SQL condition: the point lies strictly inside the edges' area."""
+    crosses, lies_on = CROSSES.format(x=x, y=y), LIES_ON.format(x=x, y=y)
+    return f"(size(filter({edges}, e -> {crosses})) % 2 = 1 AND NOT exists({edges}, e -> {lies_on}))"
 
 
 @dataclass(frozen=True)
@@ -92,52 +77,45 @@ def tile_areas(boundaries: DataFrame, tile_size: float = TILE_DEGREES) -> DataFr
     """Cut every area into tiles, narrowly: each boundary row expands on its own."""
     # Edges a rounding error beyond a tile's border still count for that tile.
     pad = tile_size * 1e-6
+    size, margin = f"{tile_size!r}D", f"{pad!r}D"
 
-    def tile_of(value: Column) -> Column:
-        return F.floor(value / tile_size)
-
-    def lowest(edges: Column, a: str, b: str) -> Column:
-        return F.array_min(F.transform(edges, lambda e: F.least(e[a], e[b]))) - pad
+    def tiles_over(a: str, b: str) -> str:
+        low = f"array_min(transform(edges, e -> least(e.{a}, e.{b}))) - {margin}"
+        high = f"array_max(transform(edges, e -> greatest(e.{a}, e.{b}))) + {margin}"
+        return f"sequence(floor(({low}) / {size}), floor(({high}) / {size}))"
 
-    def highest(edges: Column, a: str, b: str) -> Column:
-        return F.array_max(F.transform(edges, lambda e: F.greatest(e[a], e[b]))) + pad
-
-    areas = boundaries.select("level", "ord", "name", ring_edges(F.col("rings")).alias("edges")).where(
-        F.size("edges") > 0
-    )
-    edges = F.col("edges")
-    bands = areas.select(
-        "*",
-        F.sequence(tile_of(lowest(edges, "x1", "x2")), tile_of(highest(edges, "x1", "x2"))).alias("xs"),
-        F.explode(
-            F.sequence(tile_of(lowest(edges, "y1", "y2")), tile_of(highest(edges, "y1", "y2")))
-        ).alias("tile_y"),
-    )
-    bottom = F.col("tile_y") * tile_size
-    bands = bands.withColumn(
-        "edges",
-        F.filter(
-            edges,
-            lambda e: (F.greatest(e["y1"], e["y2"]) >= bottom - pad)
-            & (F.least(e["y1"], e["y2"]) <= bottom + (tile_size + pad)),
-        ),
+    left, bottom = f"(tile_x * {size})", f"(tile_y * {size})"
+    areas = boundaries.select("level", "ord", "name", ring_edges("rings").alias("edges"))
+    bands = areas.where("size(edges) > 0").selectExpr(
+        "*", f"{tiles_over('x1', 'x2')} AS xs", f"explode({tiles_over('y1', 'y2')}) AS tile_y"
     )
-    left = F.col("tile_x") * tile_size
-    tiles = bands.select("level", "ord", "name", "edges", "tile_y", F.explode("xs").alias("tile_x")).withColumn(
-        "edges", F.filter(edges, lambda e: F.greatest(e["x1"], e["x2"]) >= left - pad)
+    tiles = bands.selectExpr(
+        "level",
+        "ord",
+        "name",
+        f"""filter(edges, e -> greatest(e.y1, e.y2) >= {bottom} - {margin}
+            AND least(e.y1, e.y2) <= {bottom} + {size} + {margin}) AS edges""",
+        "tile_y",
+        "explode(xs) AS tile_x",
+    ).selectExpr(
+        "level",
+        "ord",
+        "name",
+        "tile_x",
+        "tile_y",
+        f"filter(edges, e -> greatest(e.x1, e.x2) >= {left} - {margin}) AS edges",
     )
-    border = F.exists(edges, lambda e: F.least(e["x1"], e["x2"]) <= left + (tile_size + pad))
-    centre = contains(left + tile_size / 2, bottom + tile_size / 2, edges)
-    tiles = tiles.withColumn("border", border)
-    tiles = tiles.where(F.col("border") | centre)
-    return tiles.select(
+    border = f"exists(edges, e -> least(e.x1, e.x2) <= {left} + {size} + {margin})"
+    centre = contains(f"({left} + {size} / 2)", f"({bottom} + {size} / 2)", "edges")
+    covered = tiles.withColumn("cover", F.expr(f"CASE WHEN {border} THEN 'part' WHEN {centre} THEN 'whole' END"))
+    return covered.where("cover IS NOT NULL").selectExpr(
         "level",
         "ord",
         "name",
         "tile_x",
         "tile_y",
-        (~F.col("border")).alias("whole"),
-        F.when(F.col("border"), edges).otherwise(F.slice(edges, 1, 0)).alias("edges"),
+        "cover = 'whole' AS whole",
+        "CASE WHEN cover = 'part' THEN edges ELSE slice(edges, 1, 0) END AS edges",
     )
 
 
@@ -168,38 +146,49 @@ def find_areas(
     usable = ~F.isnan(x) & ~F.isnan(y)
     needed = F.coalesce(usable if needed is None else usable & needed, F.lit(False))
     if index.byte_size <= broadcast_limit:
-        return _find_by_broadcast(df, index, columns, needed, x, y)
+        return _find_by_broadcast(df, index, columns, needed, longitude, latitude)
     return _find_by_shuffle(df, index, columns, needed, longitude, latitude, salts)
 
 
+def _tile_columns(index: AreaIndex, longitude: str, latitude: str) -> dict[str, Column]:
+    return {
+        "tile_x": F.floor(F.col(longitude) / index.tile_size),
+        "tile_y": F.floor(F.col(latitude) / index.tile_size),
+    }
+
+
 def _find_by_broadcast(
-    df: DataFrame, index: AreaIndex, columns: dict[int, str], needed: Column, x: Column, y: Column
+    df: DataFrame,
+    index: AreaIndex,
+    columns: dict[int, str],
+    needed: Column,
+    longitude: str,
+    latitude: str,
 ) -> DataFrame:
-    entry = F.struct("ord", "name", "whole", "edges")
     per_tile = index.tiles.groupBy("tile_x", "tile_y").agg(
         *[
-            F.array_sort(F.collect_list(F.when(F.col("level") == level, entry))).alias(f"areas_{level}")
+            F.expr(
+                f"array_sort(collect_list(struct(ord, name, whole, edges)) FILTER (WHERE level = {level}))"
+            ).alias(f"areas_{level}")
             for level in columns
-        ]
+        ],
     )
     # Rows that need no lookup get a NULL tile and so skip the match.
     keyed = df.withColumns(
         {
-            "tile_x": F.when(needed, F.floor(x / index.tile_size)),
-            "tile_y": F.when(needed, F.floor(y / index.tile_size)),
+            name: F.when(needed, tile)
+            for name, tile in _tile_columns(index, longitude, latitude).items()
         }
     )
     joined = keyed.join(F.broadcast(per_tile), ["tile_x", "tile_y"], "left")
-    found = {
-        name: F.get(
-            F.filter(
-                F.col(f"areas_{level}"), lambda area: area["whole"] | contains(x, y, area["edges"])
-            ),
-            0,
-        )["name"]
-        for level, name in columns.items()
-    }
-    return joined.select(*df.columns, *[found[name].alias(name) for name in found])
+    inside = contains(longitude, latitude, "area.edges")
+    return joined.select(
+        *df.columns,
+        *[
+            F.expr(f"get(filter(areas_{level}, area -> area.whole OR {inside}), 0).name").alias(name)
+            for level, name in columns.items()
+        ],
+    )
 
 
 def _find_by_shuffle(
@@ -212,23 +201,18 @@ def _find_by_shuffle(
     salts: int,
 ) -> DataFrame:
     key = [longitude, latitude]
-    x, y = F.col(longitude), F.col(latitude)
     asking = df.where(needed)
     others = df.where(~needed)
 
     # A place that holds very many rows is looked up once.
     points = asking.select(*key).distinct()
     points = points.withColumns(
-        {
-            "tile_x": F.floor(x / index.tile_size),
-            "tile_y": F.floor(y / index.tile_size),
-            "salt": F.pmod(F.xxhash64(*key), F.lit(salts)),
-        }
+        _tile_columns(index, longitude, latitude) | {"salt": F.pmod(F.xxhash64(*key), F.lit(salts))}
     )
     tiles = index.tiles.where(F.col("level").isin(*columns))
     hits = (
         points.join(_on_every_salt(tiles, salts), ["tile_x", "tile_y", "salt"])
-        .where(F.col("whole") | contains(x, y, F.col("edges")))
+        .where(f"whole OR {contains(longitude, latitude, 'edges')}")
         .groupBy(*key)
         .agg(
             *[

@@ -19,6 +19,7 @@ from plugsites.schema import (
     REASON_COUNT,
     REASON_NO_COORDINATES,
     REASON_YEAR,
+    REASONS,
 )
 
 VIOLATIONS = "violations"
@@ -46,14 +47,15 @@ def implausible_count(count: Column) -> Column:
 def violations(last_year: int | Column) -> Column:
     """Reasons to set a canonical row aside; an empty list for a good row."""
     latitude, longitude = F.col("latitude"), F.col("longitude")
-    return F.array_compact(
-        F.array(
-            F.when(outside_box(latitude, longitude), F.lit(REASON_BBOX)),
-            F.when(implausible_year(F.col("commissioning_date"), last_year), F.lit(REASON_YEAR)),
-            F.when(implausible_count(F.col("number_of_charging_points")), F.lit(REASON_COUNT)),
-            F.when(latitude.isNull() | longitude.isNull(), F.lit(REASON_NO_COORDINATES)),
-        )
-    )
+    found = {
+        REASON_BBOX: outside_box(latitude, longitude),
+        REASON_YEAR: implausible_year(F.col("commissioning_date"), last_year),
+        REASON_COUNT: implausible_count(F.col("number_of_charging_points")),
+        REASON_NO_COORDINATES: latitude.isNull() | longitude.isNull(),
+    }
+    # Blanks instead of NULLs: removing a value compiles, a lambda would not.
+    reasons = [F.when(bad, reason).otherwise("") for reason, bad in found.items()]
+    return F.array_remove(F.array(*reasons), "")
 
 
 def check(df: DataFrame, last_year: int | Column) -> DataFrame:
@@ -75,14 +77,21 @@ def accepted(checked: DataFrame, row_key: str | None = None) -> DataFrame:
 
 
 def rejected(checked: DataFrame) -> DataFrame:
-    """One row for each violation, with its ``reason``; duplicates are kept."""
-    return checked.withColumn("reason", F.explode(VIOLATIONS)).drop(VIOLATIONS)
+    """One row for each violation, with its ``reason``; duplicates are kept.
+
+    The outer form and the filter behind it keep the optimizer from adding a
+    filter in front, which would evaluate every check twice.
+    """
+    rows = checked.withColumn("reason", F.explode_outer(VIOLATIONS)).drop(VIOLATIONS)
+    return rows.where(F.col("reason").isNotNull())
 
 
 def anomaly_counts(checked: DataFrame) -> DataFrame:
-    """Violations per reason."""
-    return (
-        checked.select(F.explode(VIOLATIONS).alias("reason"))
-        .groupBy("reason")
-        .agg(F.count(F.lit(1)).alias("rows"))
+    """Violations per reason: one row of counters per task, whatever was found."""
+    counters = checked.agg(
+        *[F.count_if(F.array_contains(VIOLATIONS, reason)).alias(reason) for reason in REASONS]
+    )
+    per_reason = F.array(
+        *[F.struct(F.lit(reason).alias("reason"), F.col(reason).alias("rows")) for reason in REASONS]
     )
+    return counters.select(F.inline(per_reason)).where(F.col("rows") > 0)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from plugsites.functions.plugs import pack, plausible_powers, plug_labels, plug_tokens
 from plugsites.functions.text import (
     TextRule,
-    clean_all_text,
+    clean_text,
     coordinate_part,
     decimal_comma,
     parse_date,
@@ -19,7 +19,7 @@ from plugsites.functions.text import (
 from plugsites.operators.areas import BROADCAST_LIMIT_BYTES, AreaIndex, fill_areas
 from plugsites.operators.checks import check
 from plugsites.operators.missing import fill_count
-from plugsites.operators.shape import align_schema, drop_empty_rows, rename_and_drop
+from plugsites.operators.shape import rename_and_drop
 from plugsites.schema import CANONICAL
 from plugsites.sources.delimited import Layout
 
@@ -185,58 +185,60 @@ def transform_feed(
     which is narrow too while the boundary set may be broadcast. A raw column
     ``row_key`` identifies the rows; without one a hash of the result does.
     """
-    keyed = ROW_KEY in raw.columns
-    content = drop_empty_rows(raw.drop(ROW_KEY)) if not keyed else raw.na.drop(
-        how="all", subset=[name for name in raw.columns if name != ROW_KEY]
-    )
+    names = [name for name in raw.columns if name != ROW_KEY]
+    content = raw.na.drop(how="all", subset=names)
     named = rename_and_drop(content, spec.renames, spec.drops, spec.placeholders)
-    packed = _pack_plugs(named, spec)
-    cleaned = clean_all_text(packed, spec.text_rule, keep=(ROW_KEY,))
-    typed = _typed(cleaned, spec, keyed)
-    filled = fill_areas(typed, index, broadcast_limit=broadcast_limit)
-    if not keyed:
+    filled = fill_areas(named.select(*_canonical(named, spec)), index, broadcast_limit=broadcast_limit)
+    if ROW_KEY not in raw.columns:
         filled = filled.withColumn(ROW_KEY, F.xxhash64(*filled.columns))
     return check(filled.withColumn(SOURCE, F.lit(spec.priority)), last_year)
 
 
-def _pack_plugs(df: DataFrame, spec: FeedSpec) -> DataFrame:
-    if not spec.plug_columns:
-        if "plug_types" not in df.columns:
-            return df
-        return df.withColumn("plug_types", plug_tokens(F.col("plug_types")))
-    numbers = range(1, spec.plug_columns + 1)
-    plugs = [name for name in (f"plug_type_{i}" for i in numbers) if name in df.columns]
-    powers = [name for name in (f"power_capacity_kw_{i}" for i in numbers) if name in df.columns]
-    return df.withColumns(
-        {
-            "plug_types": plug_labels(pack(plugs)),
-            "power_capacities_kw": plausible_powers(pack(powers)),
-        }
-    ).drop(*plugs, *powers)
-
-
-def _typed(df: DataFrame, spec: FeedSpec, keyed: bool) -> DataFrame:
-    """All conversions in one projection; absent columns become typed NULLs."""
+def _canonical(df: DataFrame, spec: FeedSpec) -> list[Column]:
+    """Every column in its final type, one projection; typed NULLs for absent ones.
+
+    Plugs are looked up before they are cleaned, as labels match exactly. Numbers
+    and dates are read from the raw text: what cleaning would change in them does
+    not make a number of them.
+    """
     present = set(df.columns)
-    conversions: dict[str, Column] = {}
-    if spec.coordinates in present:
-        conversions["latitude"] = coordinate_part(F.col(spec.coordinates), 0)
-        conversions["longitude"] = coordinate_part(F.col(spec.coordinates), 1)
-    else:
-        conversions |= {
-            name: decimal_comma(F.col(name)) for name in ("latitude", "longitude") if name in present
-        }
-    if "commissioning_date" in present:
-        conversions["commissioning_date"] = parse_date(F.col("commissioning_date"))
-    if "postal_code" in present:
-        conversions["postal_code"] = postal_code(F.col("postal_code"), spec.numeric_postal_codes)
-    if "power_connection_capacity" in present:
-        conversions["power_connection_capacity"] = decimal_comma(F.col("power_connection_capacity"))
-    if "number_of_charging_points" in present:
-        conversions["number_of_charging_points"] = fill_count(
-            F.col("number_of_charging_points"), spec.unreadable_count_is_missing
+    plugs, powers = [], []
+    for i in range(1, spec.plug_columns + 1):
+        plugs += [name for name in (f"plug_type_{i}",) if name in present]
+        powers += [name for name in (f"power_capacity_kw_{i}",) if name in present]
+    values: dict[str, Column] = {}
+    if plugs:
+        values["plug_types"] = plug_labels(pack(plugs))
+    elif "plug_types" in present:
+        values["plug_types"] = plug_tokens(F.col("plug_types"))
+    if "plug_types" in values:
+        values["plug_types"] = F.transform(
+            values["plug_types"], lambda label: clean_text(label, spec.text_rule)
         )
-    extra = tuple(name for name in spec.extra if name in present)
-    return align_schema(
-        df.withColumns(conversions), CANONICAL, extra + ((ROW_KEY,) if keyed else ())
-    )
+    if powers:
+        values["power_capacities_kw"] = plausible_powers(pack(powers))
+    if spec.coordinates in present:
+        values["latitude"] = coordinate_part(F.col(spec.coordinates), 0)
+        values["longitude"] = coordinate_part(F.col(spec.coordinates), 1)
+    readers = {
+        "latitude": decimal_comma,
+        "longitude": decimal_comma,
+        "power_connection_capacity": decimal_comma,
+        "commissioning_date": parse_date,
+        "number_of_charging_points": lambda text: fill_count(text, spec.unreadable_count_is_missing),
+        "postal_code": lambda text: postal_code(text, spec.numeric_postal_codes),
+    }
+    columns = []
+    for field in CANONICAL.fields:
+        name = field.name
+        if name in values:
+            value = values[name]
+        elif name not in present:
+            value = F.lit(None)
+        elif name in readers:
+            value = readers[name](F.col(name))
+        else:
+            value = clean_text(F.col(name), spec.text_rule)
+        columns.append(value.cast(field.dataType).alias(name))
+    kept = [clean_text(F.col(name), spec.text_rule).alias(name) for name in spec.extra if name in present]
+    return columns + kept + [F.col(name) for name in (ROW_KEY,) if name in present]

@@ -66,6 +66,7 @@ REASON_BBOX = "bbox"
 REASON_YEAR = "year"
 REASON_COUNT = "count_range"
 REASON_NO_COORDINATES = "missing_coordinates"
+REASONS = (REASON_BBOX, REASON_YEAR, REASON_COUNT, REASON_NO_COORDINATES)
 
 # Fixed value: unreadable records tolerated by one warehouse load.
 BAD_RECORD_BUDGET = 100

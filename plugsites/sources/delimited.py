@@ -68,31 +68,28 @@ def scan_delimited(spark: SparkSession, paths: str | list[str], layout: Layout)
 
     if layout.records != "auto":
         return read(paths, layout.records == "quoted")
-    whole = files_with_split_values(spark, paths, layout)
+    running_over = files_with_open_values(spark, paths, layout)
+    whole = sorted(name for name, is_open in running_over.items() if is_open)
     if not whole:
         return read(paths, False)
-    splittable = [name for name in _files(spark, paths) if name not in whole]
-    parts = [read(sorted(whole), True)]
+    parts = [read(whole, True)]
+    splittable = sorted(set(running_over) - set(whole))
     if splittable:
         parts.insert(0, read(splittable, False))
     return union_sources(parts)
 
 
-def files_with_split_values(
+def files_with_open_values(
     spark: SparkSession, paths: str | list[str], layout: Layout
-) -> set[str]:
-    """Files in which some quoted value runs over the end of its line."""
+) -> dict[str, bool]:
+    """For each file, whether some quoted value runs over the end of its line."""
     lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
     # Remove escaped characters and everything that is not a quote.
-    others = f"{_literal(layout.escape)}.|[^{_literal(layout.quote)}]"
+    others = f"\\{layout.escape}.|[^\\{layout.quote}]"
     quotes = F.length(F.regexp_replace("value", others, ""))
-    # One row per file at most, as many as the scan has listed on the driver anyway.
-    found = lines.where(quotes % 2 == 1).select("file").distinct().collect()
-    return {unquote(row.file) for row in found}
-
-
-def _literal(char: str) -> str:
-    return "\\" + char
+    # One row per file, as many as the scan has listed on the driver anyway.
+    found = lines.groupBy("file").agg(F.max(quotes % 2 == 1).alias("is_open")).collect()
+    return {unquote(row.file): row.is_open for row in found}
 
 
 def _files(spark: SparkSession, paths: str | list[str]) -> list[str]:
