@@ -61,14 +61,15 @@ def feed_index(spark: SparkSession) -> AreaIndex:
 
 
 def _rendered(df: DataFrame, key: str, columns: dict[str, Column]) -> DataFrame:
-    """All columns as text, some rows empty, some rows twice."""
+    """All columns as text, some rows empty, some rows twice.
+
+    Exploding whole rows keeps the rendering in one place of the plan, as a raw
+    file would: no filter of the feed job is moved in front of it.
+    """
     k = F.col(key)
-    copies = F.explode(F.array_repeat(F.lit(1), F.when(k % 10 == 0, 2).otherwise(1))).alias("copy")
-    return df.select(
-        k.alias(ROW_KEY),
-        *[F.when(k % 97 != 0, column).alias(name) for name, column in columns.items()],
-        copies,
-    ).drop("copy")
+    row = F.struct(*[F.when(k % 97 != 0, column).alias(name) for name, column in columns.items()])
+    rows = F.explode(F.array_repeat(row, F.when(k % 10 == 0, 2).otherwise(1)))
+    return df.select(k.alias(ROW_KEY), rows.alias("raw")).select(ROW_KEY, "raw.*")
 
 
 def _cases(k: Column, modulus: int, texts: dict[int, str], other: Column | None = None) -> Column:

@@ -53,9 +53,9 @@ def boundary_edges(boundaries: DataFrame) -> DataFrame:
 # Predicates over an edge ``e`` and a point, as SQL text: they stand inside lambdas.
 CROSSES = """(e.y1 > {y}) <> (e.y2 > {y})
     AND {x} < (e.x2 - e.x1) * ({y} - e.y1) / nullif(e.y2 - e.y1, 0D) + e.x1"""
-LIES_ON = """(e.x2 - e.x1) * ({y} - e.y1) - (e.y2 - e.y1) * ({x} - e.x1) = 0D
+LIES_ON = """{y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)
     AND {x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2)
-    AND {y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)"""
+    AND (e.x2 - e.x1) * ({y} - e.y1) - (e.y2 - e.y1) * ({x} - e.x1) = 0D"""
 
 
 def contains(x: str, y: str, edges: str) -> str:

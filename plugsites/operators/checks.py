@@ -62,6 +62,21 @@ def check(df: DataFrame, last_year: int | Column) -> DataFrame:
     return df.withColumn(VIOLATIONS, violations(last_year))
 
 
+def with_reason(checked: DataFrame) -> DataFrame:
+    """One row for each violation with its ``reason``, one with NULL for a good row.
+
+    A filter on the list itself would be moved in front of the projection that
+    computes it, and every conversion and check would be evaluated twice. A filter
+    on an exploded column stays behind.
+    """
+    return checked.withColumn("reason", F.explode_outer(VIOLATIONS)).drop(VIOLATIONS)
+
+
+def good_rows(checked: DataFrame) -> DataFrame:
+    """Rows without a violation; duplicates are kept."""
+    return with_reason(checked).where(F.col("reason").isNull()).drop("reason")
+
+
 def accepted(checked: DataFrame, row_key: str | None = None) -> DataFrame:
     """Rows without a violation, equal rows once.
 
@@ -69,7 +84,7 @@ def accepted(checked: DataFrame, row_key: str | None = None) -> DataFrame:
     key stands for them. Either way duplicates collapse before the shuffle, so a
     row that is repeated very often costs one row per task.
     """
-    clean = checked.where(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
+    clean = good_rows(checked)
     if row_key is None:
         return clean.distinct()
     rest = [name for name in clean.columns if name != row_key]
@@ -77,13 +92,8 @@ def accepted(checked: DataFrame, row_key: str | None = None) -> DataFrame:
 
 
 def rejected(checked: DataFrame) -> DataFrame:
-    """One row for each violation, with its ``reason``; duplicates are kept.
-
-    The outer form and the filter behind it keep the optimizer from adding a
-    filter in front, which would evaluate every check twice.
-    """
-    rows = checked.withColumn("reason", F.explode_outer(VIOLATIONS)).drop(VIOLATIONS)
-    return rows.where(F.col("reason").isNotNull())
+    """One row for each violation, with its ``reason``; duplicates are kept."""
+    return with_reason(checked).where(F.col("reason").isNotNull())
 
 
 def anomaly_counts(checked: DataFrame) -> DataFrame:

@@ -226,7 +226,7 @@ def _canonical(df: DataFrame, spec: FeedSpec) -> list[Column]:
         "power_connection_capacity": decimal_comma,
         "commissioning_date": parse_date,
         "number_of_charging_points": lambda text: fill_count(text, spec.unreadable_count_is_missing),
-        "postal_code": lambda text: postal_code(text, spec.numeric_postal_codes),
+        "postal_code": lambda text: postal_code(text if spec.numeric_postal_codes else clean_text(text, spec.text_rule), spec.numeric_postal_codes),
     }
     columns = []
     for field in CANONICAL.fields:

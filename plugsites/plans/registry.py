@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plugsites.operators.areas import TILE_DEGREES, AreaIndex, index_areas, tile_areas
-from plugsites.operators.checks import VIOLATIONS, accepted, anomaly_counts, rejected
+from plugsites.operators.checks import accepted, anomaly_counts, good_rows, rejected
 from plugsites.operators.consolidate import consolidate, site_first
 from plugsites.operators.shape import align_schema, union_sources
 from plugsites.plans.feeds import FEEDS, ROW_KEY, SOURCE, FeedSpec, transform_feed
@@ -25,8 +25,7 @@ def feed_sites(checked: DataFrame) -> DataFrame:
 
     Duplicates need no removal here: they would give the same first row.
     """
-    good = checked.where(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
-    return site_first(good, ORDER)
+    return site_first(good_rows(checked), ORDER)
 
 
 def registry(checked_feeds: list[DataFrame]) -> DataFrame:
