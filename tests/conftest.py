@@ -12,6 +12,7 @@ def spark():
         .appName("plugsites-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.debug.maxToStringFields", "1000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="warehouse-"))
