@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from plugsites.operators.areas import BROADCAST_LIMIT_BYTES
 from plugsites.operators.shape import union_sources
+from plugsites.sources.records import numbered_records
 
 # monotonically_increasing_id keeps the row's place in its partition in these bits.
 ROW_BITS = (1 << 33) - 1
@@ -21,6 +22,9 @@ ROW_BITS = (1 << 33) - 1
 # Generous room for one row of a table of file names.
 FILE_NAME_BYTES = 1024
 
+# Up to this size one task may read a file whole.
+WHOLE_FILE_BYTES = 256 * 1024 * 1024
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -52,13 +56,19 @@ def scan_feed(spark: SparkSession, paths: str | list[str], layout: Layout) -> Da
     return scan_delimited(spark, paths, layout)
 
 
-def scan_delimited(spark: SparkSession, paths: str | list[str], layout: Layout) -> DataFrame:
+def scan_delimited(
+    spark: SparkSession,
+    paths: str | list[str],
+    layout: Layout,
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
+) -> DataFrame:
     """Read UTF-8 files with a header; a byte-order mark is ignored.
 
-    A file is split between tasks only if no value in it holds a line feed, as
-    splits begin at line feeds. ``auto`` looks for lines with an odd number of
-    quotes first, one narrow parallel pass, and gives up splitting for just the
-    files that have some. State ``lines`` where the feed is known to have none.
+    Splits begin at line feeds, so the reader can split a file only if no value in
+    it holds one. ``auto`` looks for lines with an odd number of quotes first, one
+    narrow parallel pass. Files that have some are read whole, one task each, up to
+    ``whole_file_bytes``; larger ones are put together from their lines. State
+    ``lines`` where the feed is known to have none.
     """
 
     def read(files: str | list[str], multi_line: bool) -> DataFrame:
@@ -66,30 +76,43 @@ def scan_delimited(spark: SparkSession, paths: str | list[str], layout: Layout)
             files, header=True, encoding="UTF-8", multiLine=multi_line
         )
 
-    if layout.records != "auto":
-        return read(paths, layout.records == "quoted")
-    running_over = files_with_open_values(spark, paths, layout)
-    whole = sorted(name for name, is_open in running_over.items() if is_open)
-    if not whole:
+    if layout.records == "lines":
+        return read(paths, False)
+    sizes = _file_sizes(spark, paths)
+    found = set(sizes) if layout.records == "quoted" else files_with_open_values(spark, paths, layout)
+    if not found:
         return read(paths, False)
-    parts = [read(whole, True)]
-    splittable = sorted(set(running_over) - set(whole))
+    parts = []
+    splittable = sorted(set(sizes) - found)
+    whole = sorted(name for name in found if sizes[name] <= whole_file_bytes)
+    large = sorted(found - set(whole))
     if splittable:
-        parts.insert(0, read(splittable, False))
+        parts.append(read(splittable, False))
+    if whole:
+        parts.append(read(whole, True))
+    if large:
+        parts.append(_scan_numbered(spark, large, layout, _stitched_lines))
     return union_sources(parts)
 
 
 def files_with_open_values(
     spark: SparkSession, paths: str | list[str], layout: Layout
-) -> dict[str, bool]:
-    """For each file, whether some quoted value runs over the end of its line."""
+) -> set[str]:
+    """Files in which some quoted value runs over the end of its line."""
     lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
     # Remove escaped characters and everything that is not a quote.
     others = f"\\{layout.escape}.|[^\\{layout.quote}]"
     quotes = F.length(F.regexp_replace("value", others, ""))
-    # One row per file, as many as the scan has listed on the driver anyway.
-    found = lines.groupBy("file").agg(F.max(quotes % 2 == 1).alias("is_open")).collect()
-    return {unquote(row.file): row.is_open for row in found}
+    # One row per file at most, as many as the scan has listed on the driver anyway.
+    found = lines.where(quotes % 2 == 1).select("file").distinct().collect()
+    return {unquote(row.file) for row in found}
+
+
+def _file_sizes(spark: SparkSession, paths: str | list[str]) -> dict[str, int]:
+    """Size by file name; the files are listed, not read."""
+    files = spark.read.format("binaryFile").load(paths)
+    listed = files.select(F.col("_metadata.file_path").alias("file"), "length").collect()
+    return {unquote(row.file): row.length for row in listed}
 
 
 def _files(spark: SparkSession, paths: str | list[str]) -> list[str]:
@@ -140,34 +163,47 @@ def _numbered_lines(spark: SparkSession, files: list[str], charset: str) -> Data
 
 def scan_landed(spark: SparkSession, paths: str | list[str], layout: Layout) -> DataFrame:
     """Read files with a preamble or another charset: decode, skip, then parse each line."""
-    files = _files(spark, paths)
+    return _scan_numbered(spark, _files(spark, paths), layout, _decoded_lines)
+
+
+# From (session, files, layout) to ``value, file, line``.
+Numbered = Callable[[SparkSession, list[str], Layout], DataFrame]
+
+
+def _decoded_lines(spark: SparkSession, files: list[str], layout: Layout) -> DataFrame:
+    return _numbered_lines(spark, files, layout.charset)
+
+
+def _stitched_lines(spark: SparkSession, files: list[str], layout: Layout) -> DataFrame:
+    return numbered_records(spark, files, layout.sep, layout.quote, layout.escape)
+
+
+def _scan_numbered(
+    spark: SparkSession, files: list[str], layout: Layout, number: Numbered
+) -> DataFrame:
+    """Parse numbered record texts, the header being the one after the preamble."""
+    at_header = number(spark, files, layout).where(F.col("line") == layout.preamble)
     headers: dict[str, list[str]] = {}
-    if len(files) == 1:
-        # Stops at this one line of the first split.
-        first = _numbered_lines(spark, files, layout.charset).where(F.col("line") == layout.preamble).head()
-        if first is not None:
-            headers[first.value] = files
-    else:
-        # One row per file; the driver holds the file names anyway.
-        for row in _numbered_lines(spark, files, layout.charset).where(F.col("line") == layout.preamble).collect():
-            headers.setdefault(row.value, []).append(unquote(row.file))
+    # For a single file, stops at this one record. For several, one row per file;
+    # the driver holds the file names anyway.
+    for row in at_header.head(1) if len(files) == 1 else at_header.collect():
+        headers.setdefault(row.value, []).append(unquote(row.file))
     if not headers:
-        raise ValueError(f"no header after {layout.preamble} lines in {paths}")
-    return union_sources(
-        [_parse_landed(spark, sorted(group), header, layout) for header, group in sorted(headers.items())]
-    )
+        raise ValueError(f"no header after {layout.preamble} lines in {files}")
 
+    def parse(header: str, group: list[str]) -> DataFrame:
+        names = next(
+            csv.reader([header], delimiter=layout.sep, quotechar=layout.quote, escapechar=layout.escape)
+        )
+        schema = T.StructType(
+            [T.StructField(label or f"_c{i}", T.StringType()) for i, label in enumerate(names)]
+        )
+        records = number(spark, sorted(group), layout)
+        rows = records.where((F.col("line") > layout.preamble) & (F.trim("value") != ""))
+        parsed = F.from_csv("value", schema.toDDL(), layout.csv_options())
+        return rows.select(parsed.alias("row")).select("row.*")
 
-def _parse_landed(spark: SparkSession, files: list[str], header: str, layout: Layout) -> DataFrame:
-    names = next(
-        csv.reader([header], delimiter=layout.sep, quotechar=layout.quote, escapechar=layout.escape)
-    )
-    schema = T.StructType(
-        [T.StructField(label or f"_c{i}", T.StringType()) for i, label in enumerate(names)]
-    )
-    lines = _numbered_lines(spark, files, layout.charset)
-    rows = lines.where((F.col("line") > layout.preamble) & (F.trim("value") != ""))
-    return rows.select(F.from_csv("value", schema.toDDL(), layout.csv_options()).alias("row")).select("row.*")
+    return union_sources([parse(header, group) for header, group in sorted(headers.items())])
 
 
 def read_tolerant(
