@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plugsites.catalog import Query
 from plugsites.catalog.frames import LATITUDE_SQL, LONGITUDE_SQL, latitude, longitude, sites_b, table
-from plugsites.functions.plugs import pack, plausible_powers, plug_labels, plug_text, powers_text
+from plugsites.functions.plugs import pack, plausible_power, plug_labels, plug_text, powers_text
 from plugsites.functions.text import (
     TextRule,
     clean_text,
@@ -181,7 +181,7 @@ def power_filter(spark: SparkSession, folder: str) -> DataFrame:
     return _power_texts(spark, folder).select(
         "l_orderkey",
         "l_linenumber",
-        powers_text(plausible_powers(pack(POWER_COLUMNS)), ";").alias("power_capacities_kw"),
+        powers_text(pack(POWER_COLUMNS, plausible_power), ";").alias("power_capacities_kw"),
     )
 
 

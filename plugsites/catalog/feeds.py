@@ -7,10 +7,7 @@ no coordinates. The SQL states the expected clean values directly.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from plugsites.catalog import Query
 from plugsites.catalog.areas import BRUTE_FORCE_SQL
@@ -22,10 +19,6 @@ from plugsites.catalog.frames import (
     LONGITUDE_SQL,
     ORDER_DATE_SQL,
     STATE_SQL,
-    generated_date,
-    latitude,
-    longitude,
-    sentinel_state,
     table,
 )
 from plugsites.functions.plugs import lists_as_text
@@ -60,110 +53,102 @@ def feed_index(spark: SparkSession) -> AreaIndex:
     return index_areas(tile_areas(boundaries, 1.0), 1.0)
 
 
-def _rendered(df: DataFrame, key: str, columns: dict[str, Column]) -> DataFrame:
+def _rendered(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
     """All columns as text, some rows empty, some rows twice.
 
-    Exploding whole rows keeps the rendering in one place of the plan, as a raw
-    file would: no filter of the feed job is moved in front of it.
+    ``columns`` holds Spark SQL over the table, with ``k`` for its key. Exploding
+    whole rows keeps the rendering in one place of the plan, as a raw file would:
+    no filter of the feed job is moved in front of it.
     """
-    k = F.col(key)
-    row = F.struct(*[F.when(k % 97 != 0, column).alias(name) for name, column in columns.items()])
-    rows = F.explode(F.array_repeat(row, F.when(k % 10 == 0, 2).otherwise(1)))
-    return df.select(k.alias(ROW_KEY), rows.alias("raw")).select(ROW_KEY, "raw.*")
-
-
-def _cases(k: Column, modulus: int, texts: dict[int, str], other: Column | None = None) -> Column:
-    branches = reduce(lambda done, case: done.when(k % modulus == case[0], case[1]), texts.items(), F)
-    return branches if other is None else branches.otherwise(other)
+    texts = ", ".join(f"CAST({text} AS STRING) AS `{name}`" for name, text in columns.items())
+    row = f"CASE WHEN k % 97 <> 0 THEN struct({texts}) END"
+    rows = f"explode(array_repeat({row}, CASE WHEN k % 10 = 0 THEN 2 ELSE 1 END))"
+    return df.withColumnRenamed(key, "k").selectExpr(f"k AS {ROW_KEY}", f"{rows} AS raw").select(ROW_KEY, "raw.*")
 
 
-def _text(number: Column) -> Column:
-    return number.cast("string")
-
-
-PLUGS = {0: "CHAdeMO", 1: "DC CHAdeMO", 2: "CCS (Type 2)", 3: "Other"}
-MISSING_DISTRICT = {0: "N.A", 1: "UNKNOWN"}
+SPARK_LATITUDE = "(47D + CAST((k * 53) % 211 AS DOUBLE) / 25)"
+SPARK_LONGITUDE = "(5D + CAST((k * 37) % 211 AS DOUBLE) / 20)"
+SPARK_DATE = "date_add(DATE'1998-01-01', CAST((k * 97) % 12000 AS INT))"
+SPARK_STATE = "CASE k % 5 WHEN 0 THEN 'N.A' WHEN 1 THEN 'UNKNOWN' WHEN 2 THEN '' WHEN 4 THEN 'Hessen' END"
+SPARK_PLUG = "CASE k % 4 WHEN 0 THEN 'CHAdeMO' WHEN 1 THEN 'DC CHAdeMO' WHEN 2 THEN 'CCS (Type 2)' ELSE 'Other' END"
+SPARK_DISTRICT = "CASE k % 7 WHEN 0 THEN 'N.A' WHEN 1 THEN 'UNKNOWN' ELSE 'Kreis ' || (k % 11) END"
+SPARK_POSTAL = "CASE WHEN k % 17 = 0 THEN 'D-1234' ELSE CAST((k * 7) % 100000 AS STRING) END"
 
 
 def raw_a(spark: SparkSession, folder: str) -> DataFrame:
-    k = F.col("c_custkey")
-
-    def comma(number: Column) -> Column:
-        return F.when(k % 101 != 0, F.replace(_text(number), F.lit("."), F.lit(",")))
+    def comma(number: str) -> str:
+        return f"CASE WHEN k % 101 <> 0 THEN replace(CAST({number} AS STRING), '.', ',') END"
 
     return _rendered(
         table(spark, folder, "customer"),
         "c_custkey",
         {
-            "Betreiber": F.col("c_name"),
-            "Art der Ladeeinrichung": _cases(k, 3, {0: "Normalladeeinrichtung", 1: "Schnellladeeinrichtung"}),
-            "Anzahl Ladepunkte": F.when(k % 29 == 0, "N.A").when(k % 31 == 0, "").otherwise(_text(k % 24)),
-            "Nennleistung Ladeeinrichtung [kW]": F.concat(_text(k % 350), F.lit(",5")),
-            "Steckertypen1": _cases(k, 4, PLUGS),
-            "Steckertypen2": F.when(k % 3 == 0, "AC Typ 2 Steckdose"),
-            "P1 [kW]": F.concat(_text(k % 50), F.lit(",5")),
-            "P2 [kW]": F.when(k % 3 == 0, _text(k % 1100)),
-            "Kreis/kreisfreie Stadt": _cases(k, 7, MISSING_DISTRICT, F.concat(F.lit("Kreis "), k % 11)),
-            "Ort": F.when(k % 19 == 0, "").otherwise(F.concat(F.lit("Ort\n"), k % 13)),
-            "Postleitzahl": F.when(k % 17 == 0, "D-1234").otherwise(_text((k * 7) % 100000)),
-            "Straße": F.concat("c_mktsegment", F.lit(" \\\\  Weg\n"), k % 5),
-            "Hausnummer": _text(k % 90),
-            "Adresszusatz": F.lit(None).cast("string"),
-            "Bundesland": sentinel_state(k),
-            "Inbetriebnahmedatum": F.date_format(generated_date(k), "dd.MM.yyyy"),
-            "Breitengrad": comma(latitude(k)),
-            "Längengrad": comma(longitude(k)),
-            "Public Key1": F.lit("not needed"),
+            "Betreiber": "c_name",
+            "Art der Ladeeinrichung": "CASE k % 3 WHEN 0 THEN 'Normalladeeinrichtung' WHEN 1 THEN 'Schnellladeeinrichtung' END",
+            "Anzahl Ladepunkte": "CASE WHEN k % 29 = 0 THEN 'N.A' WHEN k % 31 = 0 THEN '' ELSE CAST(k % 24 AS STRING) END",
+            "Nennleistung Ladeeinrichtung [kW]": "(k % 350) || ',5'",
+            "Steckertypen1": SPARK_PLUG,
+            "Steckertypen2": "CASE WHEN k % 3 = 0 THEN 'AC Typ 2 Steckdose' END",
+            "P1 [kW]": "(k % 50) || ',5'",
+            "P2 [kW]": "CASE WHEN k % 3 = 0 THEN k % 1100 END",
+            "Kreis/kreisfreie Stadt": SPARK_DISTRICT,
+            "Ort": "CASE WHEN k % 19 = 0 THEN '' ELSE 'Ort\\n' || (k % 13) END",
+            "Postleitzahl": SPARK_POSTAL,
+            "Straße": "c_mktsegment || ' \\\\\\\\  Weg\\n' || (k % 5)",
+            "Hausnummer": "k % 90",
+            "Adresszusatz": "NULL",
+            "Bundesland": SPARK_STATE,
+            "Inbetriebnahmedatum": f"date_format({SPARK_DATE}, 'dd.MM.yyyy')",
+            "Breitengrad": comma(SPARK_LATITUDE),
+            "Längengrad": comma(SPARK_LONGITUDE),
+            "Public Key1": "'not needed'",
         },
     )
 
 
 def raw_b(spark: SparkSession, folder: str) -> DataFrame:
-    k = F.col("s_suppkey")
     return _rendered(
         table(spark, folder, "supplier"),
         "s_suppkey",
         {
-            "ID": _text(k),
-            "AddressLine1": F.concat(F.lit("Markt\n"), k % 40, F.lit("\t \tb")),
-            "AddressLine2": F.when(k % 2 == 0, "Hinterhof"),
-            "Town": F.when(k % 6 == 0, "N.A").otherwise(F.concat(F.lit("Stadt "), k % 13)),
-            "Postcode": _text((k * 11) % 100000),
-            "Latitude": F.when(k % 101 != 0, _text(latitude(k))),
-            "Longitude": F.when(k % 101 != 0, _text(longitude(k))),
-            "ConnectionType": F.when(k % 8 != 7, F.concat(_cases(k, 4, PLUGS), F.lit(" ;;CHAdeMO"))),
-            "UsageType": _cases(k, 3, {0: "Public", 1: "Private"}),
-            "NumberOfPoints": F.when(k % 11 == 0, "").when(k % 13 == 0, "abc").otherwise(_text(k % 24)),
-            "StatusType": F.lit("Operational"),
-            "DateCreated": F.concat(_text(generated_date(k)), F.lit("T12:00:00Z")),
-            "Operator": F.col("s_name"),
-            "Country": F.lit("Germany"),
-            "StateOrProvince": F.lit("not needed"),
+            "ID": "k",
+            "AddressLine1": "'Markt\\n' || (k % 40) || '\\t \\tb'",
+            "AddressLine2": "CASE WHEN k % 2 = 0 THEN 'Hinterhof' END",
+            "Town": "CASE WHEN k % 6 = 0 THEN 'N.A' ELSE 'Stadt ' || (k % 13) END",
+            "Postcode": "(k * 11) % 100000",
+            "Latitude": f"CASE WHEN k % 101 <> 0 THEN {SPARK_LATITUDE} END",
+            "Longitude": f"CASE WHEN k % 101 <> 0 THEN {SPARK_LONGITUDE} END",
+            "ConnectionType": f"CASE WHEN k % 8 <> 7 THEN {SPARK_PLUG} || ' ;;CHAdeMO' END",
+            "UsageType": "CASE k % 3 WHEN 0 THEN 'Public' WHEN 1 THEN 'Private' END",
+            "NumberOfPoints": "CASE WHEN k % 11 = 0 THEN '' WHEN k % 13 = 0 THEN 'abc' ELSE CAST(k % 24 AS STRING) END",
+            "StatusType": "'Operational'",
+            "DateCreated": f"{SPARK_DATE} || 'T12:00:00Z'",
+            "Operator": "s_name",
+            "Country": "'Germany'",
+            "StateOrProvince": "'not needed'",
         },
     )
 
 
 def raw_c(spark: SparkSession, folder: str) -> DataFrame:
-    k = F.col("o_orderkey")
-    lat, lon = _text(latitude(k)), _text(longitude(k))
     return _rendered(
         table(spark, folder, "orders"),
         "o_orderkey",
         {
-            "betreiber": F.col("o_orderpriority"),
-            "art_der_ladeeinrichung": F.lit("Normalladeeinrichtung"),
-            "anzahl_ladepunkte": F.when(k % 29 == 0, "N.A").otherwise(_text(k % 24)),
-            "nennleistung_ladeeinrichtung_kw": _text(k % 300),
-            "steckertypen1": _cases(k, 4, PLUGS),
-            "steckertypen2": F.when(k % 5 == 0, "Type 1 (J1772)"),
-            "p1_kw": _text(k % 30),
-            "kreis_kreisfreie_stadt": _cases(k, 7, MISSING_DISTRICT, F.concat(F.lit("Kreis "), k % 11)),
-            "ort": F.concat(F.lit("Ort\n"), k % 13),
-            "postleitzahl": F.when(k % 17 == 0, "D-1234").otherwise(_text((k * 7) % 100000)),
-            "strasse": F.concat("o_orderstatus", F.lit("  Weg")),
-            "hausnummer": _text(k % 90),
-            "inbetriebnahmedatum": _text(F.date_add(F.col("o_orderdate").cast("date"), 1500)),
-            "koordinaten": F.when(k % 101 == 0, lat).otherwise(F.concat(lat, F.lit(", "), lon)),
+            "betreiber": "o_orderpriority",
+            "art_der_ladeeinrichung": "'Normalladeeinrichtung'",
+            "anzahl_ladepunkte": "CASE WHEN k % 29 = 0 THEN 'N.A' ELSE CAST(k % 24 AS STRING) END",
+            "nennleistung_ladeeinrichtung_kw": "k % 300",
+            "steckertypen1": SPARK_PLUG,
+            "steckertypen2": "CASE WHEN k % 5 = 0 THEN 'Type 1 (J1772)' END",
+            "p1_kw": "k % 30",
+            "kreis_kreisfreie_stadt": SPARK_DISTRICT,
+            "ort": "'Ort\\n' || (k % 13)",
+            "postleitzahl": SPARK_POSTAL,
+            "strasse": "o_orderstatus || '  Weg'",
+            "hausnummer": "k % 90",
+            "inbetriebnahmedatum": "date_add(CAST(o_orderdate AS DATE), 1500)",
+            "koordinaten": f"{SPARK_LATITUDE} || CASE WHEN k % 101 = 0 THEN '' ELSE ', ' || {SPARK_LONGITUDE} END",
         },
     )
 

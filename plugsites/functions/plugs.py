@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,11 +22,15 @@ def plug_labels(labels: Column) -> Column:
     return F.transform(labels, plug_label)
 
 
-def pack(columns: list[str]) -> Column:
-    """Numbered columns to one list without its NULLs; an empty list if there are none."""
+def pack(columns: list[str], value: Callable[[Column], Column] = lambda column: column) -> Column:
+    """Numbered columns to one list without its NULLs; an empty list if there are none.
+
+    ``value`` is applied to each column before packing, where it compiles; inside a
+    list it would be interpreted.
+    """
     if not columns:
         return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.col(name) for name in columns]))
+    return F.array_compact(F.array(*[value(F.col(f"`{name}`")) for name in columns]))
 
 
 def plug_tokens(text: Column) -> Column:
@@ -40,10 +46,16 @@ def plug_text(text: Column) -> Column:
     return F.array_join(plug_tokens(text), "; ")
 
 
+def plausible_power(text: Column) -> Column:
+    """Power text to double if strictly inside the plausible range, else NULL."""
+    low, high = POWER_KW_RANGE
+    kw = decimal_comma(text)
+    return F.when((kw > low) & (kw < high), kw)
+
+
 def plausible_powers(texts: Column) -> Column:
     """Power texts to the doubles strictly inside the plausible range."""
-    low, high = POWER_KW_RANGE
-    return F.filter(F.transform(texts, decimal_comma), lambda kw: (kw > low) & (kw < high))
+    return F.array_compact(F.transform(texts, plausible_power))
 
 
 def powers_text(powers: Column, sep: str = ",") -> Column:

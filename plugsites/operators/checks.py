@@ -96,11 +96,14 @@ def rejected(checked: DataFrame) -> DataFrame:
     return with_reason(checked).where(F.col("reason").isNotNull())
 
 
+def reason_counters() -> dict[str, Column]:
+    """Aggregates by reason: usable as metrics of a write, too."""
+    return {reason: F.count_if(F.array_contains(VIOLATIONS, reason)) for reason in REASONS}
+
+
 def anomaly_counts(checked: DataFrame) -> DataFrame:
     """Violations per reason: one row of counters per task, whatever was found."""
-    counters = checked.agg(
-        *[F.count_if(F.array_contains(VIOLATIONS, reason)).alias(reason) for reason in REASONS]
-    )
+    counters = checked.agg(*[counter.alias(reason) for reason, counter in reason_counters().items()])
     per_reason = F.array(
         *[F.struct(F.lit(reason).alias("reason"), F.col(reason).alias("rows")) for reason in REASONS]
     )

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plugsites.functions.plugs import pack, plausible_powers, plug_labels, plug_tokens
+from plugsites.functions.plugs import pack, plausible_power, plug_label, plug_tokens
 from plugsites.functions.text import (
     TextRule,
     clean_text,
@@ -207,26 +207,27 @@ def _canonical(df: DataFrame, spec: FeedSpec) -> list[Column]:
         plugs += [name for name in (f"plug_type_{i}",) if name in present]
         powers += [name for name in (f"power_capacity_kw_{i}",) if name in present]
     values: dict[str, Column] = {}
+
+    def clean(text: Column) -> Column:
+        return clean_text(text, spec.text_rule)
+
     if plugs:
-        values["plug_types"] = plug_labels(pack(plugs))
+        values["plug_types"] = pack(plugs, lambda label: clean(plug_label(label)))
     elif "plug_types" in present:
-        values["plug_types"] = plug_tokens(F.col("plug_types"))
-    if "plug_types" in values:
-        values["plug_types"] = F.transform(
-            values["plug_types"], lambda label: clean_text(label, spec.text_rule)
-        )
+        values["plug_types"] = F.transform(plug_tokens(F.col("plug_types")), clean)
     if powers:
-        values["power_capacities_kw"] = plausible_powers(pack(powers))
+        values["power_capacities_kw"] = pack(powers, plausible_power)
     if spec.coordinates in present:
         values["latitude"] = coordinate_part(F.col(spec.coordinates), 0)
         values["longitude"] = coordinate_part(F.col(spec.coordinates), 1)
+    numeric = spec.numeric_postal_codes
     readers = {
         "latitude": decimal_comma,
         "longitude": decimal_comma,
         "power_connection_capacity": decimal_comma,
         "commissioning_date": parse_date,
         "number_of_charging_points": lambda text: fill_count(text, spec.unreadable_count_is_missing),
-        "postal_code": lambda text: postal_code(text if spec.numeric_postal_codes else clean_text(text, spec.text_rule), spec.numeric_postal_codes),
+        "postal_code": lambda text: postal_code(text if numeric else clean(text), numeric),
     }
     columns = []
     for field in CANONICAL.fields:
@@ -238,7 +239,7 @@ def _canonical(df: DataFrame, spec: FeedSpec) -> list[Column]:
         elif name in readers:
             value = readers[name](F.col(name))
         else:
-            value = clean_text(F.col(name), spec.text_rule)
+            value = clean(F.col(name))
         columns.append(value.cast(field.dataType).alias(name))
-    kept = [clean_text(F.col(name), spec.text_rule).alias(name) for name in spec.extra if name in present]
+    kept = [clean(F.col(name)).alias(name) for name in spec.extra if name in present]
     return columns + kept + [F.col(name) for name in (ROW_KEY,) if name in present]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plugsites.operators.areas import TILE_DEGREES, AreaIndex, index_areas, tile_areas
-from plugsites.operators.checks import accepted, anomaly_counts, good_rows, rejected
+from plugsites.operators.checks import accepted, good_rows, reason_counters, rejected
 from plugsites.operators.consolidate import consolidate, site_first
 from plugsites.operators.shape import align_schema, union_sources
 from plugsites.plans.feeds import FEEDS, ROW_KEY, SOURCE, FeedSpec, transform_feed
@@ -87,15 +87,12 @@ def run(spark: SparkSession, config: RunConfig) -> RunReport:
         spec = config.specs[name]
         folder = f"{config.output}/{name}"
         checked = transform_feed(raw, spec, config.last_year, index)
-        counts[name] = write_stage(
-            checked, f"{folder}/checked", {"rows": F.count(F.lit(1))}
-        )
+        found = write_stage(checked, f"{folder}/checked", {"rows": F.count(F.lit(1))} | reason_counters())
+        counts[name] = {label: number for label, number in found.items() if number or label == "rows"}
         checked = spark.read.parquet(f"{folder}/checked")
         write_stage(accepted(checked, ROW_KEY), f"{folder}/transformed")
         write_stage(rejected(checked), f"{folder}/anomalies")
         write_stage(feed_sites(checked), f"{folder}/grouped")
-        # As many rows as there are reasons.
-        counts[name] |= {row.reason: row.rows for row in anomaly_counts(checked).collect()}
         grouped.append(spark.read.parquet(f"{folder}/grouped"))
     aligned = [align_schema(frame, CANONICAL, tuple(ORDER)) for frame in grouped]
     sites = consolidate(union_sources(aligned), ORDER)
