@@ -142,6 +142,9 @@ def find_areas(
     NULL where no area does, where the coordinates are unusable, or where
     ``needed`` is not true.
     """
+    taken = set(df.columns) & {"tile_x", "tile_y", "salt", *columns.values()}
+    if taken:
+        raise ValueError(f"rename these columns before the lookup: {sorted(taken)}")
     x, y = F.col(longitude), F.col(latitude)
     usable = ~F.isnan(x) & ~F.isnan(y)
     needed = F.coalesce(usable if needed is None else usable & needed, F.lit(False))

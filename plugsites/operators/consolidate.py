@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plugsites.functions.plugs import powers_text
-from plugsites.operators.missing import known
+from plugsites.operators.missing import known, stored
 from plugsites.schema import CANONICAL, LEVEL_COLUMNS, SITE_KEY, UNKNOWN
 
 
@@ -58,8 +58,9 @@ def distinct_tokens(lists: Column) -> Column:
 def consolidate(stations: DataFrame, order: list[str]) -> DataFrame:
     """Merge the feeds' site rows into the consolidated table.
 
-    Text columns take the first known value in feed order, so that a failed
-    lookup in one feed does not hide the area another feed knows.
+    Text columns take the first value in feed order that is more than white space.
+    Area columns pass over missing markers, too: a failed lookup in one feed does
+    not hide the area another feed knows.
     """
     aggregates: dict[str, Column] = {
         "commissioning_date": latest_date(F.col("commissioning_date")),
@@ -74,10 +75,10 @@ def consolidate(stations: DataFrame, order: list[str]) -> DataFrame:
             continue
         if name in areas:
             aggregates[name] = F.coalesce(
-                first_non_null(known(F.col(name)), order), F.lit(UNKNOWN)
+                first_non_null(known(stored(F.col(name))), order), F.lit(UNKNOWN)
             )
         else:
-            aggregates[name] = first_non_null(F.col(name), order)
+            aggregates[name] = first_non_null(stored(F.col(name)), order)
     merged = stations.groupBy(*SITE_KEY).agg(
         *[aggregate.alias(name) for name, aggregate in aggregates.items()]
     )

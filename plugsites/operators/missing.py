@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from plugsites.functions.text import is_missing, whole_number
+from plugsites.functions.text import WHITE_SPACE, is_missing, whole_number
 from plugsites.schema import MISSING_COUNT, UNKNOWN
 
 
@@ -24,6 +24,11 @@ def fill_count(text: Column, unreadable_as_missing: bool = False) -> Column:
     return F.when(is_missing(text, MISSING_COUNT), F.lit(1)).otherwise(number)
 
 
+def stored(column: Column) -> Column:
+    """Text as it comes out of a delimited file: trimmed, NULL if nothing is left."""
+    return F.nullif(F.btrim(column, F.lit(WHITE_SPACE)), F.lit(""))
+
+
 def known(column: Column) -> Column:
     """The inverse of ``fill_text``: a missing marker becomes NULL."""
     return F.when(~is_missing(column), column)

@@ -12,8 +12,9 @@ from plugsites.operators.checks import accepted, good_rows, reason_counters, rej
 from plugsites.operators.consolidate import consolidate, site_first
 from plugsites.operators.shape import align_schema, union_sources
 from plugsites.plans.feeds import FEEDS, ROW_KEY, SOURCE, FeedSpec, transform_feed
-from plugsites.schema import CANONICAL
+from plugsites.schema import CANONICAL, SITES
 from plugsites.sinks.stage import export_csv, write_stage
+from plugsites.sinks.warehouse import load_table
 from plugsites.sources.boundaries import read_boundaries
 from plugsites.sources.delimited import read_tolerant, scan_feed
 
@@ -53,6 +54,8 @@ class RunConfig:
     boundary_options: dict = field(default_factory=dict)
     tile_size: float = TILE_DEGREES
     specs: dict[str, FeedSpec] = field(default_factory=lambda: FEEDS)
+    table: str | None = None
+    """Table to replace by the exported sites, if any."""
 
 
 @dataclass(frozen=True)
@@ -98,6 +101,8 @@ def run(spark: SparkSession, config: RunConfig) -> RunReport:
     sites = consolidate(union_sources(aligned), ORDER)
     counts["sites"] = write_stage(sites, f"{config.output}/sites", {"rows": F.count(F.lit(1))})
     export_csv(spark, f"{config.output}/sites", f"{config.output}/export")
+    if config.table:
+        load_table(spark, f"{config.output}/export/part-*.csv", SITES, config.table)
     return RunReport(spark.read.parquet(f"{config.output}/sites"), counts, skipped)
 
 

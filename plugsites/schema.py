@@ -26,6 +26,21 @@ CANONICAL = T.StructType(
     ]
 )
 
+# The consolidated table: as above, with lists as text and a total of points.
+SITES = T.StructType(
+    [
+        T.StructField(
+            field.name,
+            {
+                "number_of_charging_points": T.LongType(),
+                "plug_types": T.StringType(),
+                "power_capacities_kw": T.StringType(),
+            }.get(field.name, field.dataType),
+        )
+        for field in CANONICAL.fields
+    ]
+)
+
 SITE_KEY = ("latitude", "longitude")
 
 # Plug labels of the feeds and the label each one becomes.

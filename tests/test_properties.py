@@ -74,3 +74,14 @@ def test_union_fills_absent_columns(spark):
     left = spark.createDataFrame([(1, "a")], "n int, t string")
     right = spark.createDataFrame([(2,)], "n int")
     assert as_set(union_sources([left, right])) == {(1, "a"), (2, None)}
+
+
+def test_blank_text_and_markers_do_not_hide_values(spark):
+    rows = [
+        (50.0, 9.0, 1, 1, " ", "UNKNOWN", "N.A"),
+        (50.0, 9.0, 2, 1, " Weg 2 ", "", "Mainz"),
+        (50.0, 9.0, 3, 1, "Weg 3", "Hessen", None),
+    ]
+    names = "latitude double, longitude double, src int, row_key long, street string, state string, city string"
+    site = consolidate(align_schema(spark.createDataFrame(rows, names), CANONICAL, tuple(ORDER)), ORDER).first()
+    assert (site.street, site.state, site.city, site.district_city) == ("Weg 2", "Hessen", "Mainz", "UNKNOWN")

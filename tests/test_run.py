@@ -25,7 +25,9 @@ def finished(spark, tmp_path_factory):
         output=output,
         last_year=2026,
         boundaries={1: f"{DATA}/states.geojsonl"},
+        table="plugsites_run",
     )
+    spark.sql("DROP TABLE IF EXISTS plugsites_run")
     return run(spark, config), output
 
 
@@ -123,6 +125,13 @@ def test_export_is_one_readable_file(spark, finished):
     assert len(export.inputFiles()) == 1
 
 
+def test_loaded_table_equals_the_sites(spark, finished):
+    table = spark.table("plugsites_run")
+    assert table.schema.simpleString() == finished[0].sites.schema.simpleString()
+    empty_as_null = finished[0].sites.replace("", None)
+    assert {str(row) for row in table.collect()} == {str(row) for row in empty_as_null.collect()}
+
+
 def test_missing_feed_is_reported(spark, tmp_path):
     config = RunConfig(
         feeds={"b": "/no/such/file.csv", "c": f"{DATA}/feed_c.csv"}, output=str(tmp_path), last_year=2026
