@@ -47,8 +47,8 @@ class RunConfig:
     """Raw files by feed name."""
     output: str
     """Folder for the stages and the result."""
-    last_year: int
-    """Last plausible commissioning year, usually that of the run."""
+    last_year: int | None = None
+    """Last plausible commissioning year; None for the year of the run."""
     boundaries: dict[int, str] = field(default_factory=dict)
     """Boundary layer by level; without any, missing areas become UNKNOWN."""
     boundary_options: dict = field(default_factory=dict)
@@ -76,6 +76,7 @@ def run(spark: SparkSession, config: RunConfig) -> RunReport:
     on executors that are gone.
     """
     index = stage_boundaries(spark, config)
+    last_year = F.year(F.current_date()) if config.last_year is None else config.last_year
     counts: dict[str, dict] = {}
     resolved, skipped = [], []
 
@@ -89,7 +90,7 @@ def run(spark: SparkSession, config: RunConfig) -> RunReport:
     for name, raw in zip(resolved, raws, strict=True):
         spec = config.specs[name]
         folder = f"{config.output}/{name}"
-        checked = transform_feed(raw, spec, config.last_year, index)
+        checked = transform_feed(raw, spec, last_year, index)
         found = write_stage(checked, f"{folder}/checked", {"rows": F.count(F.lit(1))} | reason_counters())
         counts[name] = {label: number for label, number in found.items() if number or label == "rows"}
         checked = spark.read.parquet(f"{folder}/checked")

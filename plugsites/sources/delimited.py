@@ -8,19 +8,18 @@ from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plugsites.operators.areas import BROADCAST_LIMIT_BYTES
 from plugsites.operators.shape import union_sources
-from plugsites.sources.records import numbered_records
+from plugsites.sources.records import numbered_records, stage_lines
 
 # monotonically_increasing_id keeps the row's place in its partition in these bits.
 ROW_BITS = (1 << 33) - 1
 
-# Generous room for one row of a table of file names.
-FILE_NAME_BYTES = 1024
+# Up to this number, files that need line numbers get a scan each.
+FILES_READ_ALONE = 32
 
 # Up to this size one task may read a file whole.
 WHOLE_FILE_BYTES = 256 * 1024 * 1024
@@ -91,7 +90,10 @@ def scan_delimited(
     if whole:
         parts.append(read(whole, True))
     if large:
-        parts.append(_scan_numbered(spark, large, layout, _stitched_lines))
+        lines = stage_lines(spark, large, layout.sep, layout.quote, layout.escape)
+        # The header lies in the first split.
+        headers = numbered_records(lines.where(F.col("split") == 0)).where(F.col("line") == 0)
+        parts.append(_parse_numbered(numbered_records(lines), headers.collect(), layout))
     return union_sources(parts)
 
 
@@ -133,77 +135,67 @@ def landed_lines(
 def _numbered_lines(spark: SparkSession, files: list[str], charset: str) -> DataFrame:
     """``value, file, line``: the line number, or a huge one beyond a file's first split.
 
-    Lines are read in parallel splits and nothing is shuffled. A row's id tells its
-    place in its partition. With one file the split at offset 0 comes first in its
-    partition, so that place is the line number. With several, splits of different
-    files may share a partition; one pass finds the first id of each file.
+    Lines are read in parallel splits. A row's id tells its place in its partition.
+    A file read alone has its first split first in its partition, so that place is
+    the line number and nothing is shuffled. For a large number of files one scan
+    reads all, and its lines are counted within each split.
     """
+    if len(files) <= FILES_READ_ALONE:
+        place = F.col("id").bitwiseAND(F.lit(ROW_BITS))
+        lines = union_sources([_located_lines(spark, [name], charset) for name in files])
+    else:
+        place = F.row_number().over(Window.partitionBy("file", "split").orderBy("id")).cast("bigint") - 1
+        lines = _located_lines(spark, files, charset)
+    line = F.when(F.col("split") == 0, place).otherwise(F.lit(ROW_BITS))
+    return lines.select("value", "file", line.alias("line"))
+
+
+def _located_lines(spark: SparkSession, files: list[str], charset: str) -> DataFrame:
     raw = F.col("value")
     if charset.upper() in ("UTF-8", "UTF8"):
         text = F.make_valid_utf8(raw)
     else:
         text = F.decode(raw.cast("binary"), charset)
-    lines = spark.read.text(files, lineSep="\n").select(
+    return spark.read.text(files, lineSep="\n").select(
         F.regexp_replace(text, r"\r$", "").alias("value"),
         F.col("_metadata.file_path").alias("file"),
-        (F.col("_metadata.file_block_start") == 0).alias("first_split"),
+        F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("id"),
     )
-    if len(files) == 1:
-        place = F.col("id").bitwiseAND(F.lit(ROW_BITS))
-    else:
-        starts = lines.where("first_split").groupBy("file").agg(F.min("id").alias("start"))
-        if len(files) * FILE_NAME_BYTES <= BROADCAST_LIMIT_BYTES:
-            starts = F.broadcast(starts)
-        lines = lines.join(starts, "file")
-        place = F.col("id") - F.col("start")
-    line = F.when(F.col("first_split"), place).otherwise(F.lit(ROW_BITS))
-    return lines.select("value", "file", line.alias("line"))
 
 
 def scan_landed(spark: SparkSession, paths: str | list[str], layout: Layout) -> DataFrame:
     """Read files with a preamble or another charset: decode, skip, then parse each line."""
-    return _scan_numbered(spark, _files(spark, paths), layout, _decoded_lines)
-
-
-# From (session, files, layout) to ``value, file, line``.
-Numbered = Callable[[SparkSession, list[str], Layout], DataFrame]
-
-
-def _decoded_lines(spark: SparkSession, files: list[str], layout: Layout) -> DataFrame:
-    return _numbered_lines(spark, files, layout.charset)
-
-
-def _stitched_lines(spark: SparkSession, files: list[str], layout: Layout) -> DataFrame:
-    return numbered_records(spark, files, layout.sep, layout.quote, layout.escape)
-
-
-def _scan_numbered(
-    spark: SparkSession, files: list[str], layout: Layout, number: Numbered
-) -> DataFrame:
-    """Parse numbered record texts, the header being the one after the preamble."""
-    at_header = number(spark, files, layout).where(F.col("line") == layout.preamble)
-    headers: dict[str, list[str]] = {}
-    # For a single file, stops at this one record. For several, one row per file;
-    # the driver holds the file names anyway.
-    for row in at_header.head(1) if len(files) == 1 else at_header.collect():
-        headers.setdefault(row.value, []).append(unquote(row.file))
-    if not headers:
-        raise ValueError(f"no header after {layout.preamble} lines in {files}")
-
-    def parse(header: str, group: list[str]) -> DataFrame:
+    files = _files(spark, paths)
+    lines = _numbered_lines(spark, files, layout.charset)
+    headers = lines.where(F.col("line") == layout.preamble)
+    # For a single file, stops at this one line.
+    found = headers.head(1) if len(files) == 1 else headers.collect()
+    return _parse_numbered(lines, found, layout)
+
+
+def _parse_numbered(records: DataFrame, headers: list[Row], layout: Layout) -> DataFrame:
+    """Parse numbered record texts; one header row per file, as the driver lists the files."""
+    groups: dict[str, list[str]] = {}
+    for row in headers:
+        groups.setdefault(row.value, []).append(row.file)
+    if not groups:
+        raise ValueError(f"no header after {layout.preamble} lines")
+
+    def parse(header: str, files: list[str]) -> DataFrame:
         names = next(
             csv.reader([header], delimiter=layout.sep, quotechar=layout.quote, escapechar=layout.escape)
         )
         schema = T.StructType(
             [T.StructField(label or f"_c{i}", T.StringType()) for i, label in enumerate(names)]
         )
-        records = number(spark, sorted(group), layout)
         rows = records.where((F.col("line") > layout.preamble) & (F.trim("value") != ""))
+        if len(groups) > 1:
+            rows = rows.where(F.col("file").isin(files))
         parsed = F.from_csv("value", schema.toDDL(), layout.csv_options())
         return rows.select(parsed.alias("row")).select("row.*")
 
-    return union_sources([parse(header, group) for header, group in sorted(headers.items())])
+    return union_sources([parse(header, files) for header, files in sorted(groups.items())])
 
 
 def read_tolerant(

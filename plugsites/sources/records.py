@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from plugsites.sinks.stage import shared_folder, write_stage
+
 
 def line_patterns(sep: str, quote: str, escape: str) -> tuple[str, str]:
     """Patterns for lines that end outside any quoted value: begun outside, begun inside."""
@@ -39,12 +41,13 @@ def _resolved(known: Column, turns: Column, before: Column | int) -> Column:
     return F.coalesce(known, (turns + before) % 2)
 
 
-def numbered_records(
+def stage_lines(
     spark: SparkSession, files: list[str], sep: str, quote: str, escape: str
 ) -> DataFrame:
-    """``value, file, line``: the text of each record and its number in its file.
+    """Lines with their place and their effect on the state, from a written table.
 
-    Lines are shuffled once, by split; only records of several lines are grouped.
+    Where a split begins depends on the executors present when a scan is planned.
+    All later steps must see the same splits, so the scan runs once, into a stage.
     """
     outside, inside = line_patterns(sep, quote, escape)
     lines = spark.read.text(files, lineSep="\n").select(
@@ -60,6 +63,16 @@ def numbered_records(
             "fixed": F.when(keeps & closes, 0).when(~keeps & ~closes, 1),
         }
     )
+    path = shared_folder(spark, "lines")
+    write_stage(lines, path)
+    return spark.read.parquet(path)
+
+
+def numbered_records(lines: DataFrame) -> DataFrame:
+    """``value, file, line``: the text of each record and its number in its file.
+
+    Texts are shuffled once, by split; only records of several lines are grouped.
+    """
     split = ["file", "split"]
     lines = _with_state(lines, split, "id")
     in_order = Window.partitionBy(*split).orderBy("id")

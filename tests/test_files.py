@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from plugsites.sinks.stage import compact, export_csv, read_csv, shared_folder, stored_bytes, write_csv, write_stage
 from plugsites.sinks.warehouse import TooManyBadRecords, load_table, parse_with_budget
+from plugsites.sources import delimited
 from plugsites.sources.delimited import Layout, landed_lines, read_tolerant, scan_delimited, scan_feed
 
 
@@ -22,7 +23,9 @@ def test_preamble_charset_and_blank_lines(spark, tmp_path):
     assert table.columns == ["name", "wert"]
 
 
-def test_preamble_is_skipped_once_per_file_and_not_per_split(spark, tmp_path):
+@pytest.mark.parametrize("alone", [32, 0], ids=["scan each", "one scan"])
+def test_preamble_is_skipped_once_per_file_and_not_per_split(spark, tmp_path, monkeypatch, alone):
+    monkeypatch.setattr(delimited, "FILES_READ_ALONE", alone)
     for i in range(3):
         lines = [f"junk {i}"] * 2 + ["name"] + [f"{i}-{j}" for j in range(2000)]
         write(tmp_path / f"{i}.csv", "\n".join(lines) + "\n")
@@ -31,7 +34,7 @@ def test_preamble_is_skipped_once_per_file_and_not_per_split(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
         many = scan_feed(spark, str(tmp_path), layout)
-        assert many.rdd.getNumPartitions() > 3
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 3
         assert {row.name for row in many.collect()} == {f"{i}-{j}" for i in range(3) for j in range(2000)}
         assert many.count() == 6000
         assert landed_lines(spark, str(tmp_path / "0.csv"), skip=2).count() == 2001

@@ -102,3 +102,4 @@ def test_texts_are_shuffled_once(spark, tmp_path):
     by_split = re.findall(r"- Exchange hashpartitioning\(file#\d+, split#\d+", final)
     assert len(by_split) == 2, "the texts, and the states alone for the summary"
     assert len(re.findall(r"- ReusedExchange \[value#", final)) == 1
+    assert "FileScan text" not in final
