@@ -47,9 +47,14 @@ AREAS = [
 
 
 def feed_index(spark: SparkSession) -> AreaIndex:
-    boundaries = spark.createDataFrame(
-        AREAS, "level int, ord bigint, name string, rings array<array<struct<x:double,y:double>>>"
+    def ring_sql(ring: list[tuple[float, float]]) -> str:
+        return "array({})".format(", ".join(f"struct({x}D AS x, {y}D AS y)" for x, y in ring))
+
+    rows = ", ".join(
+        "({}, {}L, '{}', array({}))".format(level, ord_, name, ", ".join(map(ring_sql, rings)))
+        for level, ord_, name, rings in AREAS
     )
+    boundaries = spark.sql(f"SELECT * FROM VALUES {rows} AS areas(level, ord, name, rings)")
     return index_areas(tile_areas(boundaries, 1.0), 1.0)
 
 

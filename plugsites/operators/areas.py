@@ -21,8 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plugsites.operators.missing import fill_text
-from plugsites.functions.text import is_missing
-from plugsites.schema import LEVEL_COLUMNS
+from plugsites.schema import LEVEL_COLUMNS, MISSING_TEXT, UNKNOWN
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 TILE_DEGREES = 0.25
@@ -250,12 +249,15 @@ def fill_areas(
     """Fill missing area names from the coordinates, all levels in one join."""
     if index is None:
         return df.withColumns({name: fill_text(F.col(name)) for name in columns.values()})
-    some_missing = F.lit(False)
-    for name in columns.values():
-        some_missing = some_missing | is_missing(F.col(name))
+    markers = ", ".join(f"'{marker}'" for marker in MISSING_TEXT)
+    missing = {name: f"({name} IS NULL OR {name} IN ({markers}))" for name in columns.values()}
     lookups = {level: f"found_{name}" for level, name in columns.items()}
-    found = find_areas(df, index, lookups, some_missing, broadcast_limit=broadcast_limit)
+    needed = F.expr(" OR ".join(missing.values()))
+    found = find_areas(df, index, lookups, needed, broadcast_limit=broadcast_limit)
     filled = {
-        name: fill_text(F.col(name), F.col(lookups[level])) for level, name in columns.items()
+        name: f"CASE WHEN {missing[name]} THEN coalesce({lookups[level]}, '{UNKNOWN}') ELSE {name} END"
+        for level, name in columns.items()
     }
-    return found.withColumns(filled).drop(*lookups.values())
+    return found.select(
+        *[F.expr(filled[name]).alias(name) if name in filled else name for name in df.columns]
+    )

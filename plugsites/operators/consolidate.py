@@ -26,8 +26,7 @@ def site_first(
     """
     values = [name for name in df.columns if name not in keys and name not in order]
     first = F.min(F.struct(*order, *values)).alias("first")
-    picked = df.groupBy(*keys).agg(first)
-    return picked.select(*[F.col(name) if name in keys else F.col(f"first.{name}") for name in df.columns])
+    return df.groupBy(*keys).agg(first).select(*keys, "first.*").select(*df.columns)
 
 
 def first_non_null(column: Column, order: list[str]) -> Column:

@@ -29,17 +29,19 @@ def rename_and_drop(
     return df
 
 
-def column_or_null(df: DataFrame, field: T.StructField) -> Column:
-    if field.name in df.columns:
-        return F.col(field.name).cast(field.dataType).alias(field.name)
-    return F.lit(None).cast(field.dataType).alias(field.name)
-
-
 def align_schema(
     df: DataFrame, schema: T.StructType = CANONICAL, extra: tuple[str, ...] = ()
 ) -> DataFrame:
     """The schema's columns in its order, typed NULLs where a column is absent."""
-    return df.select(*[column_or_null(df, field) for field in schema.fields], *extra)
+    types = {field.name: field.dataType for field in df.schema.fields}
+
+    def aligned(field: T.StructField) -> Column | str:
+        if types.get(field.name) == field.dataType:
+            return field.name
+        value = F.col(field.name) if field.name in types else F.lit(None)
+        return value.cast(field.dataType).alias(field.name)
+
+    return df.select(*[aligned(field) for field in schema.fields], *extra)
 
 
 def union_sources(frames: list[DataFrame]) -> DataFrame:
