@@ -85,3 +85,21 @@ def test_blank_text_and_markers_do_not_hide_values(spark):
     names = "latitude double, longitude double, src int, row_key long, street string, state string, city string"
     site = consolidate(align_schema(spark.createDataFrame(rows, names), CANONICAL, tuple(ORDER)), ORDER).first()
     assert (site.street, site.state, site.city, site.district_city) == ("Weg 2", "Hessen", "Mainz", "UNKNOWN")
+
+
+def test_the_last_year_may_be_that_of_the_run(spark):
+    rows = spark.sql(
+        """SELECT 50D AS latitude, 9D AS longitude, 1 AS number_of_charging_points,
+            explode(array(current_date(), add_months(current_date(), 12), DATE'2000-01-01', NULL)) AS commissioning_date"""
+    )
+    reasons = check(rows, F.year(F.current_date())).select("commissioning_date", "violations").collect()
+    assert [row.violations for row in reasons] == [[], ["year"], [], []]
+
+
+def test_bounds_are_valid_and_nothing_is_said_about_null(spark):
+    rows = spark.createDataFrame(
+        [(47.2, 5.5, 1), (55.1, 15.1, 20), (47.19, 5.5, None), (None, 15.2, 0), (float("nan"), 9.0, 21)],
+        "latitude double, longitude double, number_of_charging_points int",
+    ).withColumn("commissioning_date", F.lit(None).cast("date"))
+    found = [row.violations for row in check(rows, 2026).collect()]
+    assert found == [[], [], ["bbox"], ["bbox", "count_range", "missing_coordinates"], ["bbox", "count_range"]]
