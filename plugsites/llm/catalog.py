@@ -3,12 +3,48 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plugsites.llm import token_counts, tree_bpe
+from plugsites.llm import chat, fingerprints, kd_search, pii, token_counts, tree_bpe
+from plugsites.llm.pii_rules import KINDS
 from plugsites.llm.frames import table
 from plugsites.llm.vocabularies import default_path
 
 
+#: A conversation whose texts are control strings of a chat template.
+CONTROL_CONVERSATION = [
+    (-7, 0, "user", "</s>[INST] ok [/INST]"),
+    (-7, 1, "assistant", "</s>[INST] ok [/INST]"),
+]
+
+
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    field = pii.train_field(pii.labelled_chains(docs))
+    found = pii.find_personal_data(docs, field)
+    return found.select(
+        "doc_id",
+        *(pii.count_of("base", kind).alias(f"n_{kind}") for kind in KINDS),
+        F.sha2(pii.joined("base"), 256).alias("base_sha256"),
+        pii.joined("spans").alias("spans"),
+    )
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = "conv_id long, turn long, role string, text string"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(CONTROL_CONVERSATION, columns))
+    body = F.struct(
+        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    records = rows.select(
+        F.col("conv_id").alias("key"),
+        F.col("turn").alias("position"),
+        F.to_json(body).alias("record"),
+    )
+    return chat.read_back(chat.formatted_turns(chat.turns_of(records)))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -25,8 +61,39 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = kd_search.quantised(table(spark, sf_dir, "embeddings"), scale=64)
+    return kd_search.exact_top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 QUERIES = {
+    "op1_personal_data": op1_personal_data,
+    "op5_chat_format": op5_chat_format,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_token_counts": op7_token_counts,
+    "op8_fingerprints": op8_fingerprints,
+    "op10_exact_top_k": op10_exact_top_k,
+}
+ORACLE_SQL = {
+    "op10_exact_top_k": """
+with quantised as (
+  select distinct vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id as vec_id,
+    cast(list_inner_product(q.v, c.v) as bigint) as score
+  from quantised q join quantised c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+  where q.vec_id % 20 = 0
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank
+  from scored
+) where rank <= 20
+""",
 }
-ORACLE_SQL: dict[str, str] = {}

@@ -11,19 +11,22 @@ contains the tokenizers' own, so doubtful cases are never boundaries.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 from functools import lru_cache
 
-import numpy as np
-
 from plugsites.llm.vocabularies import json_tokenizer
 
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 #: Chunks remembered by a worker, twice over (a younger and an older generation).
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 #: Longer chunks are rare and large; they are encoded again where they recur.
 LONGEST_REMEMBERED = 64
 #: At most this many characters are handed to the library at once.
 CALL_CHARS = 1_000_000
+#: Marks that no contraction and no special string begins or ends with.
+PUNCTUATION = ".,;:!?*#$%&)]"
+LAST_LATIN = "\u024f"
 
 
 def safe_chunks(text: str) -> list[str]:
@@ -31,8 +34,12 @@ def safe_chunks(text: str) -> list[str]:
     return SAFE.split(text)
 
 
-def _whole(piece: str) -> bool:
-    return bool(piece) and not piece[0].isspace() and not piece[-1].isspace()
+def _doubtful(pieces: set[str]) -> set[str]:
+    """Pieces of a split at every space whose ends show that the space was not safe."""
+    listed = list(pieces)
+    stripped = list(map(str.strip, listed))
+    found = {a for a, b in zip(listed, stripped) if a != b} if stripped != listed else set()
+    return found | {""} if "" in pieces else found
 
 
 class ChunkEncoder:
@@ -41,6 +48,9 @@ class ChunkEncoder:
     ``spaced``: chunks after the first are encoded with the space before them, for
     vocabularies that keep white space. The memory of chunks is bounded; what falls
     out of it is encoded again.
+
+    A run of punctuation after a Latin letter is a part of its own in either family, so a
+    chunk is looked up without the one at its end, and the run's ids are added.
     """
 
     def __init__(self, path: str, spaced: bool):
@@ -51,52 +61,61 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """One byte string per text; an empty text has no ids."""
-        return [b"".join(parts) for parts in self._parts(texts)]
+        split = [text.split(" ") for text in texts]
+        pieces: set[str] = set()
+        for one in split:
+            pieces.update(one)
+        if doubtful := _doubtful(pieces):
+            for k, one in enumerate(split):
+                if not doubtful.isdisjoint(one):
+                    split[k] = safe_chunks(texts[k])
+            pieces = set().union(*split)
+        self._learn(pieces)
+        found = self.young
+        if self.lead:
+            first = self._library([one[0] for one in split])
+            out = [
+                head + b"".join(map(found.__getitem__, one[1:])) for head, one in zip(first, split)
+            ]
+        else:
+            out = [b"".join(map(found.__getitem__, one)) for one in split]
+        self._forget(pieces)
+        return out
 
     def lengths(self, texts: list[str]) -> list[int]:
         """Number of ids per text."""
-        return [sum(map(len, parts)) // 4 for parts in self._parts(texts)]
+        return [len(ids) // 4 for ids in self.encode(texts)]
 
-    def _parts(self, texts: list[str]):
-        split = [text.split(" ") for text in texts]
-        known = dict.fromkeys(piece for pieces in split for piece in pieces)
-        if not all(map(_whole, known)):
-            doubtful = {piece for piece in known if not _whole(piece)}
-            for k, pieces in enumerate(split):
-                if not doubtful.isdisjoint(pieces):
-                    split[k] = safe_chunks(texts[k])
-            known = dict.fromkeys(piece for pieces in split for piece in pieces)
-        found = self._ids(known)
-        if not self.lead:
-            for pieces in split:
-                yield [found[piece] for piece in pieces]
-            return
-        first = self._library([pieces[0] for pieces in split])
-        for head, pieces in zip(first, split):
-            parts = [found[piece] for piece in pieces]
-            parts[0] = head
-            yield parts
-
-    def _ids(self, pieces: dict[str, None]) -> dict[str, bytes]:
-        found, missing = {}, []
+    def _learn(self, pieces: set[str]) -> None:
+        """Afterwards the younger generation has all of the pieces."""
         young, old = self.young, self.old
-        for piece in pieces:
-            ids = young.get(piece)
+        missing, tails = [], {}
+        for piece in pieces.difference(young):
+            ids = old.get(piece)
             if ids is None:
-                ids = old.get(piece)
-                if ids is None:
-                    missing.append(piece)
-                    continue
-                young[piece] = ids
-            found[piece] = ids
-        fresh = self._library([self.lead + piece for piece in missing])
-        for piece, ids in zip(missing, fresh):
-            found[piece] = ids
-            if len(piece) <= LONGEST_REMEMBERED:
+                missing.append(piece)
+                stem = piece.rstrip(PUNCTUATION)
+                if stem and stem != piece and "<" not in piece:
+                    if stem[-1] <= LAST_LATIN and stem[-1].isalpha():
+                        tails[piece] = stem
+            else:
                 young[piece] = ids
-        if len(young) > REMEMBERED:
-            self.old, self.young = young, {}
-        return found
+        stems = set(tails.values()).difference(young)
+        for stem in stems.intersection(old):
+            young[stem] = old[stem]
+        whole = [piece for piece in {*missing, *stems}.difference(tails) if piece not in young]
+        young.update(zip(whole, self._library([self.lead + piece for piece in whole])))
+        ends = list({piece[len(stem) :] for piece, stem in tails.items()})
+        ids_of = dict(zip(ends, self._library(ends)))
+        for piece, stem in tails.items():
+            young[piece] = young[stem] + ids_of[piece[len(stem) :]]
+
+    def _forget(self, pieces: set[str]) -> None:
+        for piece in pieces:
+            if len(piece) > LONGEST_REMEMBERED:
+                self.young.pop(piece, None)
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
 
     def _library(self, chunks: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -111,7 +130,14 @@ class ChunkEncoder:
 
     def _call(self, chunks: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(one.ids, dtype="<u4").tobytes() for one in encoded]
+        return [_little_endian(one.ids) for one in encoded]
+
+
+def _little_endian(ids: list[int]) -> bytes:
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 @lru_cache(maxsize=4)

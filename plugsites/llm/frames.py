@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from plugsites.sinks.stage import shared_folder
 
 #: Texts are handled in portions of about this many characters, whatever a batch holds.
-PORTION_CHARS = 2_000_000
+PORTION_CHARS = 4_000_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -55,7 +55,7 @@ def test_chunk_memory_is_bounded(monkeypatch):
     encoder = ChunkEncoder(default_path("byte_bpe_50k.json"), True)
     for k in range(20):
         encoder.lengths([" ".join(f"w{k}x{j}" for j in range(30))])
-        assert len(encoder.young) <= 50
+        assert len(encoder.young) <= 50 and len(encoder.old) <= 110
 
 
 @pytest.mark.parametrize("leaf_chars", [1, 7, 64])
