@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plugsites.llm import chat, fingerprints, kd_search, pii, token_counts, tree_bpe
+from plugsites.llm import chat, fingerprints, kd_search, packing, pii, token_counts, tree_bpe
 from plugsites.llm.pii_rules import KINDS
 from plugsites.llm.frames import table
 from plugsites.llm.vocabularies import default_path
@@ -30,6 +30,12 @@ def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(
+        table(spark, sf_dir, "documents"), default_path("word_bpe_49k.json"), capacity=2048
+    )
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = "conv_id long, turn long, role string, text string"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -72,6 +78,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_personal_data": op1_personal_data,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op5_chat_format": op5_chat_format,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_token_counts": op7_token_counts,
