@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plugsites.llm import chat, fingerprints, kd_search, packing, pii, token_counts, tree_bpe
+from plugsites.llm import chat, fingerprints, kd_search, near_duplicates, packing, pii
+from plugsites.llm import token_counts, tree_bpe
 from plugsites.llm.pii_rules import KINDS
 from plugsites.llm.frames import table
 from plugsites.llm.vocabularies import default_path
@@ -36,6 +37,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return near_duplicates.near_duplicates(docs, words=3, percent=85)
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = "conv_id long, turn long, role string, text string"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -79,6 +85,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_personal_data": op1_personal_data,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_chat_format": op5_chat_format,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_token_counts": op7_token_counts,
