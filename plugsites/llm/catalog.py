@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plugsites.llm import chat, fingerprints, kd_search, near_duplicates, packing, pii
-from plugsites.llm import token_counts, tree_bpe
+from plugsites.llm import quality, token_counts, tree_bpe
 from plugsites.llm.pii_rules import KINDS
 from plugsites.llm.frames import table
 from plugsites.llm.vocabularies import default_path
@@ -31,6 +31,10 @@ def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(
         table(spark, sf_dir, "documents"), default_path("word_bpe_49k.json"), capacity=2048
@@ -84,6 +88,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_personal_data": op1_personal_data,
+    "op2_quality": op2_quality,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_chat_format": op5_chat_format,

@@ -108,6 +108,40 @@ def _mapper(field: crf.ChainField | None, masked: bool):
     return find
 
 
+def mask_documents(
+    docs: DataFrame,
+    field: crf.ChainField | None,
+    text_column: str = "text",
+    length_column: str | None = "n_chars",
+) -> DataFrame:
+    """All columns of the rows, each span of the text replaced by its kind in brackets.
+
+    ``length_column``, if the rows have it, is set to the new text's code points where a
+    text changed. A null text stays null. An empty table gives no rows.
+    """
+
+    def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.names.index(text_column)
+            texts = batch.column(at).to_pylist()
+            base = [base_spans(text or "") for text in texts]
+            added = _added([text or "" for text in texts], base, field)
+            changed = [k for k, spans in enumerate(base) if spans or added[k]]
+            for k in changed:
+                texts[k] = mask(texts[k], base[k] + added[k])
+            batch = batch.set_column(at, batch.field(at), pa.array(texts, batch.field(at).type))
+            if length_column in batch.schema.names and changed:
+                at = batch.schema.names.index(length_column)
+                lengths = batch.column(at).to_pylist()
+                for k in changed:
+                    lengths[k] = len(texts[k])
+                kind = batch.field(at).type
+                batch = batch.set_column(at, batch.field(at), pa.array(lengths, kind))
+            yield batch
+
+    return docs.mapInArrow(replace, docs.schema)
+
+
 def find_personal_data(
     docs: DataFrame,
     field: crf.ChainField | None,
