@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plugsites.llm import chat, fingerprints, kd_search, near_duplicates, packing, pii
-from plugsites.llm import quality, token_counts, tree_bpe
+from plugsites.llm import quality, token_counts, token_files, tree_bpe
 from plugsites.llm.pii_rules import KINDS
 from plugsites.llm.frames import table
 from plugsites.llm.vocabularies import default_path
+from plugsites.sinks.stage import shared_folder
 
 
 #: A conversation whose texts are control strings of a chat template.
@@ -81,6 +82,13 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "token-files")
+    docs = table(spark, sf_dir, "documents")
+    token_files.write_token_files(docs, path, default_path("byte_bpe_50k.json"))
+    return token_files.read_token_files(spark, path)
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = kd_search.quantised(table(spark, sf_dir, "embeddings"), scale=64)
     return kd_search.exact_top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
@@ -95,6 +103,7 @@ QUERIES = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_token_counts": op7_token_counts,
     "op8_fingerprints": op8_fingerprints,
+    "op9_token_files": op9_token_files,
     "op10_exact_top_k": op10_exact_top_k,
 }
 ORACLE_SQL = {
