@@ -17,9 +17,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Markers of this template, and control strings of common chat templates.
+#: Markers of this template, which all begin with "<|" as those of many others
+#: do, and the control strings of another common template.
 TURN, BODY, END = "<|turn|>", "<|body|>", "<|end|>"
-CONTROL = (TURN, BODY, END, "<|", "|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
+CONTROL = ("<|", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 ESCAPE = "\\"
 LEARNED_ROLE = "assistant"
 

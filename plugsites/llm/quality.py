@@ -31,7 +31,11 @@ LENGTH_CLASSES = (60, 200, 1000)
 #: A document is rejected above this quantile of the trusted documents' log perplexity,
 #: widened by a share of its distance from their median.
 QUANTILE, WIDENING = 0.99, 0.5
-#: With fewer trusted documents a language's class takes the class's thresholds.
+LEAST_DISCOUNT = 0.05
+#: One in so many trusted documents is not counted, and sets the thresholds instead: the
+#: model knows the texts it is made from too well to judge others by them.
+HELD_OUT = 3
+#: With fewer held-out documents a language's class takes the class's threshold.
 FEWEST = 30
 #: Log perplexities are told apart in steps of this size.
 STEP = 0.001
@@ -121,11 +125,15 @@ class Discounts:
 
     @staticmethod
     def of(n1: int, n2: int, n3: int, n4: int) -> Discounts:
-        """Estimates from how many n-grams occur once to four times."""
+        """Estimates from how many n-grams occur once to four times.
+
+        Never 0, even where a small corpus gives no estimate: some probability is always
+        left for what was not seen.
+        """
         share = n1 / (n1 + 2 * n2) if n1 else 0.0
         pairs = ((1, n1, n2), (2, n2, n3), (3, n3, n4))
         values = (k - (k + 1) * share * b / a if a else 0.0 for k, a, b in pairs)
-        return Discounts(*(min(max(v, 0.0), k) for k, v in enumerate(values, 1)))
+        return Discounts(*(min(max(v, LEAST_DISCOUNT), k) for k, v in enumerate(values, 1)))
 
     def column(self, c: Column) -> Column:
         return F.when(c == 1, self.one).when(c == 2, self.two).otherwise(self.more)
@@ -265,10 +273,10 @@ def classify(
 ) -> DataFrame:
     """One row per input row: doc_id, lang, n_grams, log_perplexity, threshold, kept.
 
-    ``labels`` (doc_id, quality) names trusted texts: those with quality 1. The threshold
-    is that of the document's language among documents of about its length, or of that
-    length in all languages where fewer than ``FEWEST`` are trusted; null, and everything
-    is kept, where there are fewer than that either.
+    ``labels`` (doc_id, quality) names trusted texts: those with quality 1. Two thirds of
+    them make the model, one third the thresholds. A document's threshold is that of its
+    language among documents of about its length, or of that length in all languages where
+    fewer than ``FEWEST`` set it; null, and everything is kept, where they are fewer still.
 
     A null or empty text has a null perplexity and is kept: nothing speaks against it. A
     null language is one of its own (an empty string). Rows without an id are scored and
@@ -281,10 +289,11 @@ def classify(
     )
     trusted = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
     per_char = F.when(F.col("n_grams") > 0, -F.col("log_prob") / F.col("n_grams"))
-    scored = score_documents(texts, trusted, block_chars).select(
+    held_out = F.pmod(F.xxhash64("doc_id", F.lit("held out")), F.lit(HELD_OUT)) == 0
+    scored = score_documents(texts, trusted.where(~held_out), block_chars).select(
         "doc_id", "lang", "n_grams", per_char.alias("log_ppl"), _length_class().alias("class")
     )
-    good = scored.where("log_ppl is not null").join(trusted, "doc_id")
+    good = scored.where("log_ppl is not null").join(trusted.where(held_out), "doc_id")
     enough = F.col("n") >= FEWEST
     own = _limits(good, ["lang", "class"]).where(enough).drop("n")
     any_ = _limits(good, ["class"]).where(enough).drop("n").withColumnRenamed("upper", "common")
