@@ -1,11 +1,14 @@
 """Near-duplicates by SuperMinHash: bands propose, full sets decide, stars group.
 
 Texts with equal shingle sets are one class from the start, so a text of thousands of
-copies is compared once. Classes that share a band key are candidates. Within a key's
-classes no pairs are listed: each is compared with the smallest first, then only classes
-of components still apart, against every class outside the key's largest component, a
-bounded number of centres a round. What ends up compared or connected is every pair that
-shares a key; nothing is capped.
+copies is compared once. Classes that share a band key are candidates, but the pairs of a
+key are not listed: each class is compared with the key's smallest. Where the classes of a
+key are then of several components, they are asked for a second meeting, at one of their
+rarest shingles, which any two linked sets share, early enough in both to leave room for
+the rest of what they must share. There each is compared with the most
+central class, and what is still apart with every class of another component, a bounded
+number of centres a round. Nothing is capped: in the end any two classes that meet twice
+are in one component or have been compared.
 """
 
 from __future__ import annotations
@@ -117,6 +120,38 @@ def near_duplicates(
     )
 
 
+def _close(one: str, other: str, percent: int) -> F.Column:
+    """No link is possible between sets of too different sizes."""
+    return 100 * F.least(one, other) >= percent * F.greatest(one, other)
+
+
+def _may_meet(place: str, n: str, other_place: str, other_n: str, percent: int) -> F.Column:
+    """Whether two sets can be linked if the shingle at these places is their first common one.
+
+    All they share then stands at these places or after, in either order of rarity.
+    """
+    left = F.least(F.col(n) - F.col(place), F.col(other_n) - F.col(other_place))
+    return left * (100 + percent) >= percent * (F.col(n) + F.col(other_n))
+
+
+def _parts(met: DataFrame, found: DataFrame) -> DataFrame:
+    """``met`` with each class's component so far."""
+    joined = met.join(found, F.col("rid") == F.col("node"), "left").drop("node")
+    return joined.withColumn("part", F.coalesce("component", "rid")).drop("component")
+
+
+def _still_apart(parts: DataFrame) -> DataFrame:
+    """(key, main) of the keys whose classes are of several components, and the largest."""
+    return (
+        parts.groupBy("key", "part")
+        .agg(F.count("*").alias("n"))
+        .groupBy("key")
+        .agg(F.max(F.struct("n", "part")).alias("main"), F.count("*").alias("parts"))
+        .where("parts > 1")
+        .select("key", F.col("main.part").alias("main"))
+    )
+
+
 def _components(
     texts: DataFrame, named: DataFrame, classes: DataFrame, words: int, percent: int
 ) -> DataFrame:
@@ -135,30 +170,65 @@ def _components(
     wanted = texts.join(ids, texts["doc_id"] == ids["rid"], "left_semi")
     sets = staged(_hashed_sets(wanted, words), "sets")
 
-    def close(one: str, other: str) -> F.Column:
-        """No link is possible between sets of too different sizes."""
-        small, large = F.least(one, other), F.greatest(one, other)
-        return 100 * small >= percent * large
+    apart = F.col("rid") != F.col("head.rid")
+    pairs = met.where(apart & _close("n_shingles", "head.n_shingles", percent))
+    links = _linked(pairs.select(*_ordered("rid", "head.rid")).distinct(), sets, percent)
+    found = connected_components(links)
+    parts = _parts(met.select("key", "rid"), found)
+    unsettled = parts.join(_still_apart(parts), "key").select("rid").distinct()
+    return _settled(_rare_shingles(sets.join(unsettled, "rid"), percent), found, sets, percent)
 
-    pairs = met.where((F.col("rid") != F.col("head.rid")) & close("n_shingles", "head.n_shingles"))
-    pairs = pairs.select(*_ordered("rid", "head.rid")).distinct()
-    links = staged(_linked(pairs, sets, percent), "links")
+
+def _rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, rid, n_shingles, place, size, head): the rarest shingles of sets that meet in one.
+
+    Two sets that are linked share one of their rarest n * (100 - percent) / 100 + 1
+    shingles, whatever the order of rarity, as long as all sets use the same one. Edits make
+    shingles of their own, so far variants of a text meet hardly anyone here, and texts that
+    share a common passage do not meet in it. ``head`` is the class whose shingles are the
+    most frequent: of the variants of a text, the one nearest to all.
+    """
+    rows = sets.select("rid", F.explode("hashes").alias("key"))
+    often = rows.groupBy("key").agg(F.count("*").alias("often"))
+    of_set = Window.partitionBy("rid")
+    ranked = rows.join(often, "key").select(
+        "key",
+        "rid",
+        F.count("*").over(of_set).alias("n_shingles"),
+        F.sum("often").over(of_set).alias("total"),
+        (F.row_number().over(of_set.orderBy("often", "key")) - 1).alias("place"),
+    )
+    some = F.floor(F.col("n_shingles") * (100 - percent) / 100)
+    rare = staged(ranked.where(F.col("place") <= some), "rare")
+    nearest = F.struct(
+        (F.col("total") / F.col("n_shingles")).alias("often"), "rid", "n_shingles", "place"
+    )
+    meeting = rare.groupBy("key").agg(
+        F.count("*").alias("size"),
+        F.min("n_shingles").alias("least"),
+        F.max(nearest).alias("head"),
+    )
+    met = rare.drop("total").join(meeting.where("size > 1"), "key")
+    # A row too late in its own order for even the smallest set here meets nobody.
+    room = (F.col("n_shingles") - F.col("place")) * (100 + percent)
+    return staged(met.where(room >= percent * (F.col("n_shingles") + F.col("least"))), "meetings")
+
+
+def _settled(met: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Compare until every two classes that share a key are in one component or no link."""
+    pairs = _parts(met, found).withColumnRenamed("part", "own")
+    heads = found.withColumnRenamed("node", "head_node").withColumnRenamed("component", "other")
+    pairs = pairs.join(heads, F.col("head.rid") == F.col("head_node"), "left").where(
+        (F.col("own") != F.coalesce("other", "head.rid"))
+        & _may_meet("place", "n_shingles", "head.place", "head.n_shingles", percent)
+    )
+    more = _linked(pairs.select(*_ordered("rid", "head.rid")).distinct(), sets, percent)
     done = None
     while True:
-        found = connected_components(links)
-        parts = met.join(found, F.col("rid") == F.col("node"), "left").select(
-            "key", "rid", "n_shingles", "size", F.coalesce("component", "rid").alias("part")
-        )
-        main = (
-            parts.groupBy("key", "part")
-            .agg(F.count("*").alias("n"))
-            .groupBy("key")
-            .agg(F.max(F.struct("n", "part")).alias("main"), F.count("*").alias("parts"))
-            .where("parts > 1")
-            .select("key", "main.part")
-            .withColumnRenamed("part", "main")
-        )
-        open_ = staged(parts.join(main, "key"), "open")
+        stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = connected_components(stars.unionByName(more))
+        parts = _parts(met.drop("head"), found)
+        open_ = staged(parts.join(_still_apart(parts), "key"), "open")
         aside = open_.where("part <> main")
         if done is not None:
             aside = aside.join(done, ["key", "rid"], "left_anti")
@@ -172,17 +242,17 @@ def _components(
                 F.col("rid").alias("centre"),
                 F.col("part").alias("own"),
                 F.col("n_shingles").alias("n_centre"),
+                F.col("place").alias("place_centre"),
             ),
             "centres",
         )
         if centres.isEmpty():
             return found
         across = open_.join(centres, "key").where(
-            (F.col("part") != F.col("own")) & close("n_shingles", "n_centre")
+            (F.col("part") != F.col("own"))
+            & _may_meet("place", "n_shingles", "place_centre", "n_centre", percent)
         )
         pairs = across.select(*_ordered("rid", "centre")).distinct()
         more = staged(_linked(pairs, sets, percent), "links")
         now = centres.select("key", F.col("centre").alias("rid"))
         done = now if done is None else done.unionByName(now)
-        links = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        links = links.unionByName(more)
