@@ -25,7 +25,7 @@ from plugsites.llm.char_grams import ORDER, UNIT, GramCounts, gram_keys
 from plugsites.llm.frames import staged
 
 #: Characters in a block of documents.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 24_000_000
 #: Documents are compared with trusted ones of their language and about their length.
 LENGTH_CLASSES = (60, 200, 1000)
 #: A document is rejected above this quantile of the trusted documents' log perplexity,
