@@ -16,7 +16,7 @@ from plugsites.operators.areas import boundary_edges, find_areas, index_areas, t
 from plugsites.operators.missing import fill_text
 from plugsites.operators.shape import union_sources
 from plugsites.schema import LEVEL_COLUMNS, UNKNOWN
-from plugsites.sinks.stage import shared_folder
+from plugsites.sinks.stage import shared_folder, write_stage
 from plugsites.sources.boundaries import NAME_PROPERTIES, read_layer
 
 # Shapes relative to an area's corner.
@@ -111,7 +111,11 @@ def edges_from_layer(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _index(*layers: DataFrame):
-    return index_areas(tile_areas(union_sources(list(layers))))
+    """Tiles are made once, into a stage; the measure and the join read them from there."""
+    spark = layers[0].sparkSession
+    path = shared_folder(spark, "tiles")
+    write_stage(tile_areas(union_sources(list(layers))), path)
+    return index_areas(spark.read.parquet(path))
 
 
 def point_in_polygon(spark: SparkSession, folder: str) -> DataFrame:

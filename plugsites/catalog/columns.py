@@ -10,6 +10,7 @@ from plugsites.catalog.frames import LATITUDE_SQL, LONGITUDE_SQL, latitude, long
 from plugsites.functions.plugs import pack, plausible_power, plug_labels, plug_text, powers_text
 from plugsites.functions.text import (
     TextRule,
+    clean_all_text,
     clean_text,
     coordinate_part,
     decimal_comma,
@@ -122,6 +123,14 @@ def clean_texts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def clean_every_text(spark: SparkSession, folder: str) -> DataFrame:
+    """All text columns of a table, told by its schema; one is kept as it is."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    spoiled = docs.withColumn("lang", F.concat(F.lit("\n"), "lang", F.lit("\n\n"), "lang"))
+    cleaned = clean_all_text(spoiled, TextRule(newline=" "), keep=("source",))
+    return cleaned.withColumn("text", F.md5("text"))
+
+
 # Labels the dictionary knows and one it does not, by order priority.
 LABELS_BY_PRIORITY = {
     "1-URGENT": "CHAdeMO",
@@ -186,9 +195,6 @@ def power_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _LABEL_SQL = "CASE o_orderpriority {} ELSE o_orderpriority END"
-_RAW_LABEL_SQL = _LABEL_SQL.format(
-    " ".join(f"WHEN '{priority}' THEN '{name}'" for priority, name in LABELS_BY_PRIORITY.items())
-)
 _MAPPED_LABEL_SQL = _LABEL_SQL.format(
     "WHEN '1-URGENT' THEN 'CHAdeMO (DC)' WHEN '2-HIGH' THEN 'CHAdeMO (DC)' "
     "WHEN '3-MEDIUM' THEN 'CCS Combo 2 (DC)' WHEN '4-NOT SPECIFIED' THEN 'Type 2 (AC)'"
@@ -271,6 +277,11 @@ QUERIES = {
         f"""SELECT doc_id, md5({_CHAIN_SQL.format(" ")}) AS spaced, md5({_CHAIN_SQL.format("")}) AS joined,
             md5(replace(text, chr(10), '')) AS unbroken FROM documents""",
     ),
+    "clean_all_text": Query(
+        clean_every_text,
+        f"""SELECT doc_id, md5({_CHAIN_SQL.format(" ")}) AS text, ' ' || lang || ' ' || lang AS lang, source
+        FROM documents""",
+    ),
     "plug_dictionary": Query(
         plug_dictionary,
         f"""SELECT o_orderkey, concat_ws(',', {_MAPPED_LABEL_SQL}, o_orderstatus, 'Tesla Proprietary') AS plug_types

@@ -26,7 +26,11 @@ from plugsites.operators.areas import AreaIndex, index_areas, tile_areas
 from plugsites.operators.checks import accepted
 from plugsites.plans.feeds import FEED_A, FEED_B, FEED_C, ROW_KEY, FeedSpec, transform_feed
 from plugsites.plans.registry import registry
-from plugsites.schema import CANONICAL
+from plugsites.schema import CANONICAL, SITES
+from plugsites.sinks.stage import export_csv, shared_folder, write_stage
+from plugsites.sinks.warehouse import load_table
+
+LOADED_TABLE = "plugsites_loaded"
 
 # Areas for the feeds: (level, order, name, rings).
 AREAS = [
@@ -176,6 +180,15 @@ def consolidated_sites(spark: SparkSession, folder: str) -> DataFrame:
     return registry(checked_feeds(spark, folder))
 
 
+def exported_and_loaded_sites(spark: SparkSession, folder: str) -> DataFrame:
+    """The consolidated sites through the export's text into a warehouse table."""
+    stage, export = shared_folder(spark, "sites"), shared_folder(spark, "export")
+    write_stage(consolidated_sites(spark, folder), stage)
+    export_csv(spark, stage, export)
+    load_table(spark, f"{export}/part-*.csv", SITES, LOADED_TABLE)
+    return spark.table(LOADED_TABLE)
+
+
 _AREA_EDGES_SQL = ", ".join(
     "({}, {}, '{}', {})".format(level, ord_, name, ", ".join(f"CAST({v} AS DOUBLE)" for v in (*start, *end)))
     for level, ord_, name, rings in AREAS
@@ -330,4 +343,5 @@ QUERIES = {
     "feed_b": Query(_clean_feed(FEED_B, raw_b), _feed_sql("b", CLEAN_B)),
     "feed_c": Query(_clean_feed(FEED_C, raw_c), _feed_sql("c", CLEAN_C)),
     "consolidated_sites": Query(consolidated_sites, CONSOLIDATED_SQL),
+    "exported_and_loaded_sites": Query(exported_and_loaded_sites, CONSOLIDATED_SQL),
 }

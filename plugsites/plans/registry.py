@@ -65,6 +65,10 @@ class RunReport:
     """Rows and violations by feed, and sites in all."""
     skipped: list[str]
     """Inputs that could not be resolved."""
+    columns: list[str]
+    """Columns of the consolidated table."""
+    bad_records: DataFrame | None = None
+    """``raw, file`` of the export's records that the load left out; None without a table."""
 
 
 def run(spark: SparkSession, config: RunConfig) -> RunReport:
@@ -102,9 +106,11 @@ def run(spark: SparkSession, config: RunConfig) -> RunReport:
     sites = consolidate(union_sources(aligned), ORDER)
     counts["sites"] = write_stage(sites, f"{config.output}/sites", {"rows": F.count(F.lit(1))})
     export_csv(spark, f"{config.output}/sites", f"{config.output}/export")
+    stored, bad = spark.read.parquet(f"{config.output}/sites"), None
     if config.table:
-        load_table(spark, f"{config.output}/export/part-*.csv", SITES, config.table)
-    return RunReport(spark.read.parquet(f"{config.output}/sites"), counts, skipped)
+        bad = load_table(spark, f"{config.output}/export/part-*.csv", SITES, config.table)
+        counts["bad_records"] = {"rows": bad.count()}
+    return RunReport(stored, counts, skipped, stored.columns, bad)
 
 
 def stage_boundaries(spark: SparkSession, config: RunConfig) -> AreaIndex | None:

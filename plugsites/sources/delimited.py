@@ -1,28 +1,38 @@
-"""Delimited feeds: header-named tables in which every column is text."""
+"""Delimited feeds: header-named tables in which every column is text.
+
+One definition holds for every file, whatever its size or number. Lines end at a line
+feed, a carriage return or both. Lines that hold nothing but blanks and control
+characters are no records. Each file's values are bound to the names in its own header.
+A repeated name (in any case) gets its position appended, a missing one is ``_c`` and its
+position.
+"""
 
 from __future__ import annotations
 
-import csv
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plugsites.operators.shape import union_sources
-from plugsites.sources.records import numbered_records, stage_lines
+from plugsites.sources.records import line_patterns, numbered_records, stage_lines
 
 # monotonically_increasing_id keeps the row's place in its partition in these bits.
 ROW_BITS = (1 << 33) - 1
 
-# Up to this number, files that need line numbers get a scan each.
-FILES_READ_ALONE = 32
+# So many files' headers are fetched by one job.
+HEADER_BATCH = 64
+
+BLANK = r"(?s)\A[\x00-\x20]*\z"
+
 
-# Up to this size one task may read a file whole.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
+class UnreadableInput(ValueError):
+    """An input without files, or none of whose files has a header."""
 
 
 @dataclass(frozen=True)
@@ -55,70 +65,77 @@ def scan_feed(spark: SparkSession, paths: str | list[str], layout: Layout) -> Da
     return scan_delimited(spark, paths, layout)
 
 
-def scan_delimited(
-    spark: SparkSession,
-    paths: str | list[str],
-    layout: Layout,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
-) -> DataFrame:
+def scan_delimited(spark: SparkSession, paths: str | list[str], layout: Layout) -> DataFrame:
     """Read UTF-8 files with a header; a byte-order mark is ignored.
 
-    Splits begin at line feeds, so the reader can split a file only if no value in
-    it holds one. ``auto`` looks for lines with an odd number of quotes first, one
-    narrow parallel pass. Files that have some are read whole, one task each, up to
-    ``whole_file_bytes``; larger ones are put together from their lines. State
+    Splits begin at line ends, so the reader can split a file only if no value in it
+    runs over one. ``auto`` looks for lines that leave a value open first, one narrow
+    parallel pass; files that have some are put together from their lines. State
     ``lines`` where the feed is known to have none.
     """
-
-    def read(files: str | list[str], multi_line: bool) -> DataFrame:
-        return spark.read.options(**layout.csv_options()).csv(
-            files, header=True, encoding="UTF-8", multiLine=multi_line
-        )
-
+    files = _files(spark, paths)
     if layout.records == "lines":
-        return read(paths, False)
-    sizes = _file_sizes(spark, paths)
-    found = set(sizes) if layout.records == "quoted" else files_with_open_values(spark, paths, layout)
-    if not found:
-        return read(paths, False)
+        headers, opened = _headers(spark, files), set()
+    elif layout.records == "quoted":
+        headers, opened = {}, set(files)
+    else:
+        headers, opened = _headers_and_open_files(spark, files, layout)
     parts = []
-    splittable = sorted(set(sizes) - found)
-    whole = sorted(name for name in found if sizes[name] <= whole_file_bytes)
-    large = sorted(found - set(whole))
-    if splittable:
-        parts.append(read(splittable, False))
-    if whole:
-        parts.append(read(whole, True))
-    if large:
-        lines = stage_lines(spark, large, layout.sep, layout.quote, layout.escape)
-        # The header lies in the first split.
-        headers = numbered_records(lines.where(F.col("split") == 0)).where(F.col("line") == 0)
-        parts.append(_parse_numbered(numbered_records(lines), headers.collect(), layout))
+    for header, names in sorted(_by_header(headers, opened).items()):
+        reader = spark.read.options(**layout.csv_options()).schema(_schema(spark, header, layout))
+        rows = reader.csv(names, header=True, encoding="UTF-8", enforceSchema=True)
+        parts.append(rows)
+    if opened:
+        parts += _from_stage(spark, sorted(opened), layout)
+    if not parts:
+        raise UnreadableInput(f"no header in {paths}")
     return union_sources(parts)
 
 
-def files_with_open_values(
-    spark: SparkSession, paths: str | list[str], layout: Layout
-) -> set[str]:
-    """Files in which some quoted value runs over the end of its line."""
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
-    # Remove escaped characters and everything that is not a quote.
-    others = f"\\{layout.escape}.|[^\\{layout.quote}]"
-    quotes = F.length(F.regexp_replace("value", others, ""))
-    # One row per file at most, as many as the scan has listed on the driver anyway.
-    found = lines.where(quotes % 2 == 1).select("file").distinct().collect()
-    return {unquote(row.file) for row in found}
-
-
-def _file_sizes(spark: SparkSession, paths: str | list[str]) -> dict[str, int]:
-    """Size by file name; the files are listed, not read."""
-    files = spark.read.format("binaryFile").load(paths)
-    listed = files.select(F.col("_metadata.file_path").alias("file"), "length").collect()
-    return {unquote(row.file): row.length for row in listed}
+def _by_header(headers: dict[str, str], opened: set[str]) -> dict[str, list[str]]:
+    groups: dict[str, list[str]] = {}
+    for name, header in headers.items():
+        if name not in opened:
+            groups.setdefault(header, []).append(name)
+    return groups
+
+
+def _headers(spark: SparkSession, files: list[str]) -> dict[str, str]:
+    """First line by file; only the beginning of each file is read."""
+    found = {}
+    for at in range(0, len(files), HEADER_BATCH):
+        firsts = [
+            spark.read.text(name).limit(1).select(F.lit(name).alias("file"), "value")
+            for name in files[at : at + HEADER_BATCH]
+        ]
+        found |= {row.file: row.value for row in union_sources(firsts).collect()}
+    return found
+
+
+def _headers_and_open_files(
+    spark: SparkSession, files: list[str], layout: Layout
+) -> tuple[dict[str, str], set[str]]:
+    """First line by file, and the files in which a value runs over the end of its line."""
+    outside, _ = line_patterns(layout.sep, layout.quote, layout.escape)
+    lines = spark.read.text(files).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+    )
+    # One row per file, as many as the scan has listed on the driver anyway.
+    rows = lines.groupBy("file").agg(
+        F.min_by("value", "at").alias("header"), F.max(~F.col("value").rlike(outside)).alias("open")
+    )
+    found = {unquote(row.file): row for row in rows.collect()}
+    headers = {name: row.header for name, row in found.items()}
+    return headers, {name for name, row in found.items() if row.open}
 
 
 def _files(spark: SparkSession, paths: str | list[str]) -> list[str]:
-    return [unquote(name) for name in spark.read.text(paths).inputFiles()]
+    files = [unquote(name) for name in spark.read.text(paths).inputFiles()]
+    if not files:
+        raise UnreadableInput(f"no files in {paths}")
+    return files
 
 
 def landed_lines(
@@ -126,82 +143,90 @@ def landed_lines(
 ) -> DataFrame:
     """Decoded text lines as ``value``, without the first ``skip`` lines of each file.
 
-    Charsets must encode the line feed as one byte. Bytes that do not fit UTF-8
-    become the replacement character.
+    Charsets must encode line ends as one byte. Bytes that do not fit UTF-8 become the
+    replacement character.
     """
-    return _numbered_lines(spark, _files(spark, paths), charset).where(F.col("line") >= skip).select("value")
+    layout = Layout(charset=charset, preamble=skip, records="lines")
+    return _without_preamble(stage_lines(spark, _files(spark, paths), layout), skip).select("value")
 
 
-def _numbered_lines(spark: SparkSession, files: list[str], charset: str) -> DataFrame:
-    """``value, file, line``: the line number, or a huge one beyond a file's first split.
+def _without_preamble(lines: DataFrame, preamble: int) -> DataFrame:
+    """Staged lines and their number from the header on; ROW_BITS beyond a first split.
 
-    Lines are read in parallel splits. A row's id tells its place in its partition.
-    A file read alone has its first split first in its partition, so that place is
-    the line number and nothing is shuffled. For a large number of files one scan
-    reads all, and its lines are counted within each split.
+    A line's number is its id less the smallest of its file's first split. Only those, one
+    row per file, are joined; texts stay where they are.
     """
-    if len(files) <= FILES_READ_ALONE:
-        place = F.col("id").bitwiseAND(F.lit(ROW_BITS))
-        lines = union_sources([_located_lines(spark, [name], charset) for name in files])
-    else:
-        place = F.row_number().over(Window.partitionBy("file", "split").orderBy("id")).cast("bigint") - 1
-        lines = _located_lines(spark, files, charset)
-    line = F.when(F.col("split") == 0, place).otherwise(F.lit(ROW_BITS))
-    return lines.select("value", "file", line.alias("line"))
-
-
-def _located_lines(spark: SparkSession, files: list[str], charset: str) -> DataFrame:
-    raw = F.col("value")
-    if charset.upper() in ("UTF-8", "UTF8"):
-        text = F.make_valid_utf8(raw)
-    else:
-        text = F.decode(raw.cast("binary"), charset)
-    return spark.read.text(files, lineSep="\n").select(
-        F.regexp_replace(text, r"\r$", "").alias("value"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("id"),
-    )
+    first_split = F.col("split") == 0
+    firsts = lines.where(first_split).groupBy("file").agg(F.min("id").alias("first"))
+    # As many rows as there are files, which the driver has listed.
+    lines = lines.join(F.broadcast(firsts), "file")
+    number = F.when(first_split, F.col("id") - F.col("first") - preamble).otherwise(F.lit(ROW_BITS))
+    return lines.withColumn("line", number).where("line >= 0").drop("first")
 
 
 def scan_landed(spark: SparkSession, paths: str | list[str], layout: Layout) -> DataFrame:
-    """Read files with a preamble or another charset: decode, skip, then parse each line."""
-    files = _files(spark, paths)
-    lines = _numbered_lines(spark, files, layout.charset)
-    headers = lines.where(F.col("line") == layout.preamble)
-    # For a single file, stops at this one line.
-    found = headers.head(1) if len(files) == 1 else headers.collect()
-    return _parse_numbered(lines, found, layout)
+    """Read files with a preamble or another charset: decode, skip, then parse records."""
+    parts = _from_stage(spark, _files(spark, paths), layout)
+    if not parts:
+        raise UnreadableInput(f"no header after {layout.preamble} lines in {paths}")
+    return union_sources(parts)
 
 
-def _parse_numbered(records: DataFrame, headers: list[Row], layout: Layout) -> DataFrame:
-    """Parse numbered record texts; one header row per file, as the driver lists the files."""
+def _from_stage(spark: SparkSession, files: list[str], layout: Layout) -> list[DataFrame]:
+    """Records of staged lines, parsed under their own file's header; one table per header."""
+    lines = _without_preamble(stage_lines(spark, files, layout), layout.preamble)
+    plain, records = lines.select("value", "file", "line"), None
+    if layout.records != "lines":
+        opened = [] if layout.records == "quoted" else _open_files(lines)
+        if layout.records == "quoted" or opened:
+            inside = F.lit(True) if layout.records == "quoted" else F.col("file").isin(opened)
+            records = numbered_records(lines.where(inside).drop("line"))
+            plain = None if layout.records == "quoted" else plain.where(~inside)
+    parts = [part for part in (plain, records) if part is not None]
+    numbered = union_sources(parts)
     groups: dict[str, list[str]] = {}
-    for row in headers:
+    for row in numbered.where("line = 0").select("value", "file").collect():  # one per file
         groups.setdefault(row.value, []).append(row.file)
-    if not groups:
-        raise ValueError(f"no header after {layout.preamble} lines")
-
-    def parse(header: str, files: list[str]) -> DataFrame:
-        names = next(
-            csv.reader([header], delimiter=layout.sep, quotechar=layout.quote, escapechar=layout.escape)
-        )
-        schema = T.StructType(
-            [T.StructField(label or f"_c{i}", T.StringType()) for i, label in enumerate(names)]
-        )
-        rows = records.where((F.col("line") > layout.preamble) & (F.trim("value") != ""))
+    tables = []
+    for header, names in sorted(groups.items()):
+        rows = numbered.where((F.col("line") > 0) & ~F.col("value").rlike(BLANK))
         if len(groups) > 1:
-            rows = rows.where(F.col("file").isin(files))
-        parsed = F.from_csv("value", schema.toDDL(), layout.csv_options())
-        return rows.select(parsed.alias("row")).select("row.*")
-
-    return union_sources([parse(header, files) for header, files in sorted(groups.items())])
+            of_header = spark.createDataFrame([(name,) for name in names], "file string")
+            rows = rows.join(F.broadcast(of_header), "file", "left_semi")
+        parsed = F.from_csv("value", _schema(spark, header, layout).toDDL(), layout.csv_options())
+        tables.append(rows.select(parsed.alias("row")).select("row.*"))
+    return tables
+
+
+def _open_files(lines: DataFrame) -> list[str]:
+    opens = (F.col("flip") == 1) | (F.col("fixed") == 1)
+    return [row.file for row in lines.where(opens).select("file").distinct().collect()]
+
+
+def _schema(spark: SparkSession, header: str, layout: Layout) -> T.StructType:
+    """Text columns named as the reader's own grammar finds them in a header."""
+    options = layout.csv_options()
+    line = F.lit(header)
+    inferred = spark.range(1).select(F.schema_of_csv(line, options)).head()[0]
+    width = len(T.StructType.fromDDL(inferred.removeprefix("STRUCT<").removesuffix(">")))
+    by_place = ", ".join(f"_c{i} STRING" for i in range(width))
+    names = list(spark.range(1).select(F.from_csv(line, by_place, options)).head()[0])
+    often = Counter(name.lower() for name in names if name)
+    return T.StructType(
+        [
+            T.StructField(
+                f"_c{i}" if not name else f"{name}{i}" if often[name.lower()] > 1 else name,
+                T.StringType(),
+            )
+            for i, name in enumerate(names)
+        ]
+    )
 
 
 def read_tolerant(
     paths: list[str], read: Callable[[str], DataFrame]
 ) -> tuple[list[DataFrame], list[str]]:
-    """Read each path; those that cannot be resolved are returned as skipped.
+    """Read each path; those that are missing, empty or without a header are skipped.
 
     Fails only if no path is left, so that a run never ends without output unseen.
     """
@@ -209,8 +234,8 @@ def read_tolerant(
     for path in paths:
         try:
             frames.append(read(path))
-        except AnalysisException:
+        except (AnalysisException, UnreadableInput):
             skipped.append(path)
     if not frames:
-        raise ValueError(f"no readable input among {paths}")
+        raise UnreadableInput(f"no readable input among {paths}")
     return frames, skipped

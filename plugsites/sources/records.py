@@ -1,10 +1,8 @@
 """Records that run over several lines, put together in parallel.
 
-Reading such a file whole is simplest, but one task does it all, so that is for
-files of moderate size. A large one is read in splits here. Whether a line begins
-inside a quoted value depends on all lines before it, yet each line only keeps,
-flips or sets that state. So the state is a running aggregate: within each split
-first, then over one summary row per split.
+Whether a line begins inside a quoted value depends on all lines before it, yet each line
+only keeps, flips or sets that state. So the state is a running aggregate: within each
+split first, then over one summary row per split. The same holds for files of any size.
 """
 
 from __future__ import annotations
@@ -18,7 +16,10 @@ from plugsites.sinks.stage import shared_folder, write_stage
 def line_patterns(sep: str, quote: str, escape: str) -> tuple[str, str]:
     """Patterns for lines that end outside any quoted value: begun outside, begun inside."""
     s, q, e = (f"\\{char}" for char in (sep, quote, escape))
-    content = rf"[^{q}{e}]*+(?:(?:{e}.|{q}(?!{s}|\z))[^{q}{e}]*+)*+"
+    if quote == escape:  # two quotes are one in the value; a stray one ends nothing
+        content = rf"[^{q}]*+(?:(?:{q}{q}|{q}(?!{q}|{s}|\z))[^{q}]*+)*+"
+    else:
+        content = rf"[^{q}{e}]*+(?:(?:{e}.|{q}(?!{s}|\z))[^{q}{e}]*+)*+"
     value = rf"(?>{q}{content}{q}(?={s}|\z)|(?!{q})[^{s}]*+)"
     return rf"(?s)\A{value}(?:{s}{value})*+\z", rf"(?s)\A{content}{q}(?:{s}{value})*+\z"
 
@@ -41,31 +42,35 @@ def _resolved(known: Column, turns: Column, before: Column | int) -> Column:
     return F.coalesce(known, (turns + before) % 2)
 
 
-def stage_lines(
-    spark: SparkSession, files: list[str], sep: str, quote: str, escape: str
-) -> DataFrame:
-    """Lines with their place and their effect on the state, from a written table.
+def stage_lines(spark: SparkSession, files: list[str], layout) -> DataFrame:
+    """Decoded lines with their place and their effect on the state, from a written table.
 
     Where a split begins depends on the executors present when a scan is planned.
     All later steps must see the same splits, so the scan runs once, into a stage.
     """
-    outside, inside = line_patterns(sep, quote, escape)
-    lines = spark.read.text(files, lineSep="\n").select(
-        F.regexp_replace("value", r"\r$", "").alias("value"),
+    raw = F.col("value")
+    if layout.charset.upper() in ("UTF-8", "UTF8"):
+        text = F.make_valid_utf8(raw)
+    else:
+        text = F.decode(raw.cast("binary"), layout.charset)
+    lines = spark.read.text(files).select(
+        text.alias("value"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("id"),
     )
-    keeps, closes = F.col("value").rlike(outside), F.col("value").rlike(inside)
-    lines = lines.withColumns(
-        {
-            "flip": F.when(~keeps & closes, 1).otherwise(0),
-            "fixed": F.when(keeps & closes, 0).when(~keeps & ~closes, 1),
-        }
-    )
+    if layout.records != "lines":
+        outside, inside = line_patterns(layout.sep, layout.quote, layout.escape)
+        keeps, closes = F.col("value").rlike(outside), F.col("value").rlike(inside)
+        lines = lines.withColumns(
+            {
+                "flip": F.when(~keeps & closes, 1).otherwise(0),
+                "fixed": F.when(keeps & closes, 0).when(~keeps & ~closes, 1),
+            }
+        )
     path = shared_folder(spark, "lines")
     write_stage(lines, path)
-    return spark.read.parquet(path)
+    return spark.read.schema(lines.schema).parquet(path)
 
 
 def numbered_records(lines: DataFrame) -> DataFrame:

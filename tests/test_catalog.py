@@ -2,10 +2,11 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
+from plugsites.catalog import all_queries
 from tests.oracle import connect, sorted_rows
 
-QUERIES = queries()
+QUERIES = {name: query.build for name, query in all_queries().items()}
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +17,7 @@ def duck(folder):
 
 
 def test_every_query_has_sql():
-    assert QUERIES.keys() == oracle_sql().keys()
+    assert QUERIES.keys() <= oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -6,8 +6,7 @@ from pyspark.sql import types as T
 
 from plugsites.sinks.stage import compact, export_csv, read_csv, shared_folder, stored_bytes, write_csv, write_stage
 from plugsites.sinks.warehouse import TooManyBadRecords, load_table, parse_with_budget
-from plugsites.sources import delimited
-from plugsites.sources.delimited import Layout, landed_lines, read_tolerant, scan_delimited, scan_feed
+from plugsites.sources.delimited import Layout, UnreadableInput, landed_lines, read_tolerant, scan_delimited, scan_feed
 
 
 def write(path, text, charset="utf-8"):
@@ -23,9 +22,7 @@ def test_preamble_charset_and_blank_lines(spark, tmp_path):
     assert table.columns == ["name", "wert"]
 
 
-@pytest.mark.parametrize("alone", [32, 0], ids=["scan each", "one scan"])
-def test_preamble_is_skipped_once_per_file_and_not_per_split(spark, tmp_path, monkeypatch, alone):
-    monkeypatch.setattr(delimited, "FILES_READ_ALONE", alone)
+def test_preamble_is_skipped_once_per_file_and_not_per_split(spark, tmp_path):
     for i in range(3):
         lines = [f"junk {i}"] * 2 + ["name"] + [f"{i}-{j}" for j in range(2000)]
         write(tmp_path / f"{i}.csv", "\n".join(lines) + "\n")
@@ -49,6 +46,50 @@ def test_files_of_one_feed_may_order_their_columns_differently(spark, tmp_path):
     assert sorted((row.a, row.b) for row in table.collect()) == [("1", "2"), ("3", "4")]
 
 
+@pytest.mark.parametrize("records", ["lines", "quoted", "auto"])
+@pytest.mark.parametrize("preamble", [0, 1])
+def test_every_way_of_reading_gives_one_result(spark, tmp_path, records, preamble):
+    top = "prä,\n" * preamble
+    write(tmp_path / "1.csv", top + "a,b\n1,2\n   \n\n3,\"x \"\"y\"\"\"\n")
+    write(tmp_path / "2.csv", (top + "b,a\n4,3\n").replace("\n", "\r"))
+    write(tmp_path / "3.csv", (top + "a,A,,b\n5,6,7,8\n").replace("\n", "\r\n"))
+    layout = Layout(records=records, preamble=preamble, escape='"')
+    table = scan_feed(spark, str(tmp_path), layout)
+    assert set(table.columns) == {"a", "b", "a0", "A1", "_c2"}
+    rows = {tuple(row[name] for name in ("a", "b", "a0", "A1", "_c2")) for row in table.collect()}
+    assert rows == {
+        ("1", "2", None, None, None),
+        ("3", 'x "y"', None, None, None),
+        ("3", "4", None, None, None),
+        (None, "8", "5", "6", "7"),
+    }
+
+
+@pytest.mark.parametrize("preamble", [0, 1])
+def test_open_values_are_found_by_the_grammar(spark, tmp_path, preamble):
+    write(tmp_path / "1.csv", "p;\n" * preamble + 'id;t\n1;5" pipe;"open\nclose";3" x\n2;b;c\n')
+    layout = Layout(sep=";", preamble=preamble)
+    write(tmp_path / "2.csv", "p;\n" * preamble + 'id;t;u;v\n1;5" pipe;"open\nclose";3" x\n')
+    rows = {row.id: row for row in scan_feed(spark, str(tmp_path / "2.csv"), layout).collect()}
+    assert (rows["1"].t, rows["1"].u, rows["1"].v) == ('5" pipe', "open\nclose", '3" x')
+
+
+def test_unreadable_folders_and_files_are_named(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    write(tmp_path / "zero.csv", "")
+    write(tmp_path / "short.csv", "only a preamble\n")
+    good = write(tmp_path / "good.csv", "p\na\n1\n")
+    paths = [str(tmp_path / name) for name in ("empty", "zero.csv", "short.csv", "none")]
+    for layout in (Layout(preamble=1), Layout(preamble=1, records="lines")):
+        frames, skipped = read_tolerant([good, *paths], lambda p: scan_feed(spark, p, layout))
+        assert [row.a for row in frames[0].collect()] == ["1"] and skipped == paths
+    with pytest.raises(UnreadableInput):
+        read_tolerant(paths, lambda p: scan_feed(spark, p, Layout(preamble=1)))
+    for records in ("lines", "quoted", "auto"):
+        with pytest.raises(UnreadableInput):
+            scan_feed(spark, str(tmp_path / "zero.csv"), Layout(records=records))
+
+
 def test_bytes_outside_the_charset_become_the_replacement_character(spark, tmp_path):
     path = tmp_path / "x.csv"
     path.write_bytes(b"p\nname\nS\xfcd\n")

@@ -4,12 +4,16 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from plugsites.catalog import all_queries
 from plugsites.catalog.feeds import consolidated_sites, raw_a
 from plugsites.plans.feeds import FEED_A, transform_feed
 from plugsites.sources.delimited import scan_feed
 
 
+def queries():
+    return {name: query.build for name, query in all_queries().items()}
+
+
 def plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
@@ -63,7 +67,8 @@ def test_clean_feed_of_a_wide_file_plans_quickly(spark):
     raw = scan_feed(spark, "tests/data/feed_a.csv", FEED_A.layout)
     wide = raw.withColumns({f"Steckertypen{i}": raw["Steckertypen1"] for i in range(4, 7)})
     text = plan(transform_feed(wide, FEED_A, 2026))
-    assert nodes(text, "FileScan text") == 1
+    assert nodes(text, "FileScan text") == 0, "text is read once, into the stage"
+    assert len(re.findall(r"FileScan parquet \[value", text)) == 1
 
 
 def test_raw_frame_is_rendered_once(spark, folder):

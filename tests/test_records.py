@@ -39,8 +39,9 @@ def test_splits_give_the_records_of_the_whole_file(spark, tmp_path, small_splits
     for part in range(2):
         (tmp_path / f"{part}.csv").write_text(generated(seed * 10 + part, 600))
     layout = Layout()
-    whole = scan_delimited(spark, str(tmp_path), layout)
-    stitched = scan_delimited(spark, str(tmp_path), layout, whole_file_bytes=0)
+    options = layout.csv_options()
+    whole = spark.read.options(**options).csv(str(tmp_path), header=True, multiLine=True)
+    stitched = scan_delimited(spark, str(tmp_path), layout)
     assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
     expected = sorted(str(tuple(row)) for row in whole.collect())
     assert len(expected) == 1200
@@ -50,14 +51,14 @@ def test_splits_give_the_records_of_the_whole_file(spark, tmp_path, small_splits
 def test_one_value_may_cover_whole_splits(spark, tmp_path, small_splits):
     long = "\n".join(f"line {i}" for i in range(2000))
     (tmp_path / "1.csv").write_text(f'﻿id,text\n1,"{long}"\n2,"b"\n3,"\nc"\n')
-    stitched = scan_delimited(spark, str(tmp_path), Layout(), whole_file_bytes=0)
+    stitched = scan_delimited(spark, str(tmp_path), Layout())
     assert stitched.columns == ["id", "text"]
     assert sorted(tuple(row) for row in stitched.collect()) == [("1", long), ("2", "b"), ("3", "\nc")]
 
 
 def test_windows_line_ends(spark, tmp_path):
     (tmp_path / "1.csv").write_bytes(b'id;text\r\n1;"a\r\nb"\r\n2;c\r\n')
-    stitched = scan_delimited(spark, str(tmp_path), Layout(sep=";", records="quoted"), whole_file_bytes=0)
+    stitched = scan_delimited(spark, str(tmp_path), Layout(sep=";", records="quoted"))
     assert sorted(tuple(row) for row in stitched.collect()) == [("1", "a\nb"), ("2", "c")]
 
 
@@ -89,17 +90,17 @@ def test_how_a_line_ends(spark, line, outside, inside):
 def test_long_values_do_not_exhaust_the_stack(spark, tmp_path):
     text = '\\"x' * 50000
     (tmp_path / "1.csv").write_text(f'id,text\n1,"{text}\n"\n')
-    stitched = scan_delimited(spark, str(tmp_path), Layout(), whole_file_bytes=0)
+    stitched = scan_delimited(spark, str(tmp_path), Layout())
     assert stitched.select(F.length("text")).first()[0] == len(re.sub(r"\\", "", text)) + 1
 
 
 def test_texts_are_shuffled_once(spark, tmp_path):
     (tmp_path / "1.csv").write_text(generated(5, 50))
-    stitched = scan_delimited(spark, str(tmp_path), Layout(records="quoted"), whole_file_bytes=0)
+    stitched = scan_delimited(spark, str(tmp_path), Layout(records="quoted"))
     stitched.collect()
     text = stitched._jdf.queryExecution().executedPlan().toString()
     final = text[: text.index("Initial Plan")]
     by_split = re.findall(r"- Exchange hashpartitioning\(file#\d+, split#\d+", final)
     assert len(by_split) == 2, "the texts, and the states alone for the summary"
-    assert len(re.findall(r"- ReusedExchange \[value#", final)) == 1
+    assert len(re.findall(r"- ReusedExchange \[[^]]*value#", final)) == 1
     assert "FileScan text" not in final
