@@ -1,13 +1,15 @@
 """Point-in-area lookup for administrative boundaries.
 
-Boundaries are cut into square tiles once. A tile keeps, for each area, only the
-edges a ray from inside that tile can meet; an area that covers the whole tile
-keeps none. A point then needs one equality match on its tile and a few edge
-tests, whatever the size of the boundary set.
+Boundaries are cut into square tiles once, edge by edge. A tile keeps, for each area,
+the edges that touch it and what the edges to its right add to a ray from inside it: for
+each of those only the heights of its ends matter, and where edges follow one another
+these cancel out. So a tile is as large as the stretch of border in it. An area that
+covers the whole tile keeps nothing. A point then needs one equality match on its tile
+and a few edge tests, whatever the size of the boundary set.
 
 Two join strategies give the same rows. A tile table below a measured size bound
 is broadcast, one row per tile, and the points are never shuffled. Beyond the
-bound the distinct points are joined by a salted shuffle on the tile.
+bound the distinct points are joined by a shuffle on the tile.
 
 An area is a set of rings. A point is inside if a ray to the right meets an odd
 number of edges (so holes and separate parts need no care) and it lies on none.
@@ -17,36 +19,47 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plugsites.operators.missing import fill_text
 from plugsites.schema import LEVEL_COLUMNS, MISSING_TEXT, UNKNOWN
+from plugsites.sinks.stage import shared_folder, write_stage
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 TILE_DEGREES = 0.25
-SALTS = 16
 
-# Widths in Spark's row format: one edge in a list, one area without its edges.
+# Widths in Spark's row format: one edge in a list, one end, one area without its lists.
 EDGE_BYTES = 48
-AREA_BYTES = 96
+END_BYTES = 8
+AREA_BYTES = 112
 
+AREA = ["level", "ord", "name"]
+RESERVED = ("tile_x", "tile_y", "place_x", "place_y", "salt", "hot")
 
-def ring_edges(rings: str) -> Column:
-    """Rings of points to one list of edges; open rings are closed."""
-    return F.expr(f"""
-        filter(
-            flatten(transform(
-                filter({rings}, ring -> size(ring) >= 3),
-                ring -> transform(sequence(0, size(ring) - 1), i -> struct(
-                    get(ring, i).x AS x1, get(ring, i).y AS y1,
-                    get(ring, (i + 1) % size(ring)).x AS x2, get(ring, (i + 1) % size(ring)).y AS y2)))),
-            e -> e.x1 <> e.x2 OR e.y1 <> e.y2)""")
+
+def _corners(boundaries: DataFrame) -> DataFrame:
+    """One row per edge: its ends ``b`` and ``c``, with the points before and after it.
+
+    Points without coordinates are left out; open rings are closed.
+    """
+    rings = boundaries.select(*[name for name in boundaries.columns if name != "rings"], F.explode("rings").alias("ring"))
+    usable = F.filter("ring", lambda point: point["x"].isNotNull() & point["y"].isNotNull())
+    rings = rings.withColumn("ring", usable).where("size(ring) >= 3")
+
+    def turned(by: int) -> str:
+        cut = f"({by} + size(ring)) % size(ring)"
+        return f"concat(slice(ring, 1 + {cut}, size(ring)), slice(ring, 1, {cut}))"
+
+    points = f"arrays_zip({turned(-1)} AS a, ring AS b, {turned(1)} AS c, {turned(2)} AS d)"
+    kept = [name for name in rings.columns if name != "ring"]
+    return rings.selectExpr(*kept, f"inline({points})")
 
 
 def boundary_edges(boundaries: DataFrame) -> DataFrame:
     """Boundary rows to one row per edge."""
-    return boundaries.select("level", "ord", "name", F.inline(ring_edges("rings")))
+    edges = _corners(boundaries).where("b.x <> c.x OR b.y <> c.y")
+    return edges.selectExpr(*AREA, "b.x AS x1", "b.y AS y1", "c.x AS x2", "c.y AS y2")
 
 
 # Predicates over an edge ``e`` and a point, as SQL text: they stand inside lambdas.
@@ -57,72 +70,113 @@ LIES_ON = """{y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)
     AND (e.x2 - e.x1) * ({y} - e.y1) - (e.y2 - e.y1) * ({x} - e.x1) = 0D"""
 
 
-def contains(x: str, y: str, edges: str) -> str:
-    """SQL condition: the point lies strictly inside the edges' area."""
+def contains(x: str, y: str, tile: str = "") -> str:
+    """SQL condition: the point lies strictly inside the tile's area."""
     crosses, lies_on = CROSSES.format(x=x, y=y), LIES_ON.format(x=x, y=y)
-    return f"(size(filter({edges}, e -> {crosses})) % 2 = 1 AND NOT exists({edges}, e -> {lies_on}))"
+    met = f"size(filter({tile}edges, e -> {crosses})) + size(filter({tile}ends, end -> end > {y}))"
+    return f"""({tile}whole OR (({met} + {tile}beyond) % 2 = 1
+        AND NOT exists({tile}edges, e -> {lies_on})))"""
 
 
 @dataclass(frozen=True)
 class AreaIndex:
     tiles: DataFrame
-    """``level, ord, name, tile_x, tile_y, whole, edges``: one row per area and tile."""
+    """``level, ord, name, tile_x, tile_y, whole, beyond, edges, ends``: one row per area
+    and tile. Right of the tile, ``beyond`` (0 or 1) edges cross it at every height, and
+    those that end at ``ends`` cross it below that height."""
     tile_size: float
     byte_size: int
     """Measured size of ``tiles`` in memory."""
 
 
 def tile_areas(boundaries: DataFrame, tile_size: float = TILE_DEGREES) -> DataFrame:
-    """Cut every area into tiles, narrowly: each boundary row expands on its own."""
+    """Cut every area into the tiles its edges touch and those that it covers.
+
+    Work and memory follow edges and tiles: an edge goes to the tiles it passes, and only
+    the edges of one area in one tile ever come together. Repeated rows count once.
+    """
     # Edges a rounding error beyond a tile's border still count for that tile.
-    pad = tile_size * 1e-6
-    size, margin = f"{tile_size!r}D", f"{pad!r}D"
-
-    def tiles_over(a: str, b: str) -> str:
-        low = f"array_min(transform(edges, e -> least(e.{a}, e.{b}))) - {margin}"
-        high = f"array_max(transform(edges, e -> greatest(e.{a}, e.{b}))) + {margin}"
-        return f"sequence(floor(({low}) / {size}), floor(({high}) / {size}))"
-
-    left, bottom = f"(tile_x * {size})", f"(tile_y * {size})"
-    areas = boundaries.select("level", "ord", "name", ring_edges("rings").alias("edges"))
-    bands = areas.where("size(edges) > 0").selectExpr(
-        "*", f"{tiles_over('x1', 'x2')} AS xs", f"explode({tiles_over('y1', 'y2')}) AS tile_y"
+    pad, size = f"{tile_size * 1e-6!r}D", f"{tile_size!r}D"
+    # Flatter edges are not cut to the band: where they leave it is not precise.
+    flat = f"{tile_size * 1e-3!r}D"
+    bottom, top = f"(tile_y * {size} - {pad})", f"((tile_y + 1) * {size} + {pad})"
+
+    def columns_of(p: str, q: str) -> tuple[str, str]:
+        """First and last column that an edge touches within a band."""
+
+        def at(height: str) -> str:
+            x = f"{p}.x + ({q}.x - {p}.x) * (({height}) - {p}.y) / nullif({q}.y - {p}.y, 0D)"
+            return f"least(greatest({x}, least({p}.x, {q}.x)), greatest({p}.x, {q}.x))"
+
+        low = at(f"greatest(least({p}.y, {q}.y), {bottom})")
+        high = at(f"least(greatest({p}.y, {q}.y), {top})")
+        steep = f"abs({q}.y - {p}.y) > {flat}"
+        left = f"CASE WHEN {steep} THEN least({low}, {high}) ELSE least({p}.x, {q}.x) END"
+        right = f"CASE WHEN {steep} THEN greatest({low}, {high}) ELSE greatest({p}.x, {q}.x) END"
+        return f"floor(({left} - {pad}) / {size})", f"floor(({right} + {pad}) / {size})"
+
+    def end_beyond(point: str, neighbour: str) -> str:
+        """Height of an edge's end whose other edge lies right of the tile."""
+        return f"CASE WHEN {point}.y BETWEEN {bottom} AND {top} AND {neighbour} > tile_x THEN {point}.y END"
+
+    area = [*AREA, "shape"]
+    areas = boundaries.select(*AREA, "rings", F.xxhash64("rings").alias("shape")).dropDuplicates(area)
+    first, last = columns_of("b", "c")
+    bands = _corners(areas).selectExpr(
+        "*",
+        f"""explode(sequence(floor((least(b.y, c.y) - {pad}) / {size}),
+            floor((greatest(b.y, c.y) + {pad}) / {size}))) AS tile_y""",
     )
-    tiles = bands.selectExpr(
-        "level",
-        "ord",
-        "name",
-        f"""filter(edges, e -> greatest(e.y1, e.y2) >= {bottom} - {margin}
-            AND least(e.y1, e.y2) <= {bottom} + {size} + {margin}) AS edges""",
-        "tile_y",
-        "explode(xs) AS tile_x",
-    ).selectExpr(
-        "level",
-        "ord",
-        "name",
+    bands = bands.selectExpr(
+        "*",
+        f"{first} AS first",
+        f"{last} AS last",
+        f"{columns_of('a', 'b')[0]} AS first_before",
+        f"{columns_of('c', 'd')[0]} AS first_after",
+        f"(b.y > {top}) <> (c.y > {top}) AS leaves",
+    )
+    touched = bands.selectExpr("*", "explode(sequence(first, last)) AS tile_x").selectExpr(
+        *area,
         "tile_x",
         "tile_y",
-        f"filter(edges, e -> greatest(e.x1, e.x2) >= {left} - {margin}) AS edges",
+        "CASE WHEN b.x <> c.x OR b.y <> c.y THEN struct(b.x AS x1, b.y AS y1, c.x AS x2, c.y AS y2) END AS edge",
+        f"{end_beyond('b', 'first_before')} AS end1",
+        f"{end_beyond('c', 'first_after')} AS end2",
+        "CAST(leaves AND tile_x = first AS INT) AS crossing",
     )
-    border = f"exists(edges, e -> least(e.x1, e.x2) <= {left} + {size} + {margin})"
-    centre = contains(f"({left} + {size} / 2)", f"({bottom} + {size} / 2)", "edges")
-    covered = tiles.withColumn("cover", F.expr(f"CASE WHEN {border} THEN 'part' WHEN {centre} THEN 'whole' END"))
-    return covered.where("cover IS NOT NULL").selectExpr(
-        "level",
-        "ord",
-        "name",
-        "tile_x",
+    tiles = touched.groupBy(*area, "tile_x", "tile_y").agg(
+        F.collect_list("edge").alias("edges"),
+        F.concat(F.collect_list("end1"), F.collect_list("end2")).alias("ends"),
+        F.sum("crossing").alias("crossing"),
+    )
+    # Borders of one area in one band, from right to left: what lies beyond each tile, and
+    # the tiles between it and the next, which have no border in them.
+    row = Window.partitionBy(*area, "tile_y").orderBy(F.desc("tile_x"))
+    beyond = F.sum("crossing").over(row.rowsBetween(Window.unboundedPreceding, -1))
+    tiles = tiles.withColumns(
+        {
+            "beyond": (F.coalesce(beyond, F.lit(0)) % 2).cast("int"),
+            "next_x": F.lag("tile_x").over(row),
+        }
+    )
+    inner = "CASE WHEN beyond = 1 AND next_x > tile_x + 1 THEN sequence(tile_x + 1, next_x - 1) END"
+    every = f"concat(array(tile_x), coalesce({inner}, array()))"
+    spread = tiles.selectExpr("*", f"posexplode({every}) AS (place, x)")
+    return spread.selectExpr(
+        *AREA,
+        "x AS tile_x",
         "tile_y",
-        "cover = 'whole' AS whole",
-        "CASE WHEN cover = 'part' THEN edges ELSE slice(edges, 1, 0) END AS edges",
+        "place > 0 AS whole",
+        "CASE WHEN place = 0 THEN beyond ELSE 0 END AS beyond",
+        "CASE WHEN place = 0 THEN edges ELSE slice(edges, 1, 0) END AS edges",
+        "CASE WHEN place = 0 THEN ends ELSE slice(ends, 1, 0) END AS ends",
     )
 
 
 def index_areas(tiles: DataFrame, tile_size: float = TILE_DEGREES) -> AreaIndex:
     """Measure the tile table (one aggregate over boundary data) for the join choice."""
-    measured = tiles.agg(
-        F.sum(F.size("edges").cast("bigint") * EDGE_BYTES + F.octet_length("name") + AREA_BYTES)
-    ).first()[0]
+    lists = F.size("edges").cast("bigint") * EDGE_BYTES + F.size("ends").cast("bigint") * END_BYTES
+    measured = tiles.agg(F.sum(lists + F.octet_length("name") + AREA_BYTES)).first()[0]
     return AreaIndex(tiles, tile_size, int(measured or 0))
 
 
@@ -134,14 +188,15 @@ def find_areas(
     longitude: str = "longitude",
     latitude: str = "latitude",
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Add one column per level: the first area, by ``ord``, that holds the point.
 
     NULL where no area does, where the coordinates are unusable, or where
-    ``needed`` is not true.
+    ``needed`` is not true. ``salts``: tasks that share a hot tile or place, by default
+    as many as a shuffle has partitions.
     """
-    taken = set(df.columns) & {"tile_x", "tile_y", "salt", *columns.values()}
+    taken = set(df.columns) & {*RESERVED, *columns.values()}
     if taken:
         raise ValueError(f"rename these columns before the lookup: {sorted(taken)}")
     x, y = F.col(longitude), F.col(latitude)
@@ -170,7 +225,7 @@ def _find_by_broadcast(
     per_tile = index.tiles.groupBy("tile_x", "tile_y").agg(
         *[
             F.expr(
-                f"array_sort(collect_list(struct(ord, name, whole, edges)) FILTER (WHERE level = {level}))"
+                f"array_sort(collect_list(struct(ord, name, whole, beyond, edges, ends)) FILTER (WHERE level = {level}))"
             ).alias(f"areas_{level}")
             for level in columns
         ],
@@ -183,11 +238,11 @@ def _find_by_broadcast(
         }
     )
     joined = keyed.join(F.broadcast(per_tile), ["tile_x", "tile_y"], "left")
-    inside = contains(longitude, latitude, "area.edges")
+    inside = contains(longitude, latitude, "area.")
     return joined.select(
         *df.columns,
         *[
-            F.expr(f"get(filter(areas_{level}, area -> area.whole OR {inside}), 0).name").alias(name)
+            F.expr(f"get(filter(areas_{level}, area -> {inside}), 0).name").alias(name)
             for level, name in columns.items()
         ],
     )
@@ -200,21 +255,28 @@ def _find_by_shuffle(
     needed: Column,
     longitude: str,
     latitude: str,
-    salts: int,
+    salts: int | None,
 ) -> DataFrame:
-    key = [longitude, latitude]
-    asking = df.where(needed)
-    others = df.where(~needed)
+    spark, key, tile = df.sparkSession, ["place_x", "place_y"], ["tile_x", "tile_y"]
+    # The rows are needed twice, once for their places alone; they are made once.
+    path = shared_folder(spark, "lookup")
+    place = {"place_x": F.when(needed, F.col(longitude)), "place_y": F.when(needed, F.col(latitude))}
+    metrics = {"rows": F.count(F.lit(1))}
+    n = write_stage(df.withColumns(place), path, metrics)["rows"]
+    rows = spark.read.parquet(path)
+    salts = salts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Of keys with more rows than this there are fewer than ``salts``.
+    many = n // salts
 
     # A place that holds very many rows is looked up once.
-    points = asking.select(*key).distinct()
-    points = points.withColumns(
-        _tile_columns(index, longitude, latitude) | {"salt": F.pmod(F.xxhash64(*key), F.lit(salts))}
-    )
+    places = rows.where("place_x IS NOT NULL").groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    points = places.withColumns(_tile_columns(index, *key))
+    hot_tiles = points.groupBy(*tile).count().where(F.col("count") > many).select(*tile)
     tiles = index.tiles.where(F.col("level").isin(*columns))
     hits = (
-        points.join(_on_every_salt(tiles, salts), ["tile_x", "tile_y", "salt"])
-        .where(f"whole OR {contains(longitude, latitude, 'edges')}")
+        _salted(points, hot_tiles, salts)
+        .join(_on_every_salt(tiles, hot_tiles, salts), [*tile, "salt"])
+        .where(contains(*key))
         .groupBy(*key)
         .agg(
             *[
@@ -223,21 +285,34 @@ def _find_by_shuffle(
             ]
         )
     )
-    # The salt follows from the row and its task, so a rerun task routes its rows
-    # as before, and equal rows from different tasks still spread.
-    salted = asking.withColumn(
-        "salt", F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.lit(salts))
-    )
-    answered = salted.join(_on_every_salt(hits, salts), [*key, "salt"], "left").select(
-        *df.columns, *columns.values()
-    )
-    nothing = {name: F.lit(None).cast("string") for name in columns.values()}
-    return answered.unionByName(others.withColumns(nothing))
+    hot = places.where(F.col("n") > many).select(*key)
+    # Rows that ask for nothing have no place; they spread over salts of their own.
+    salt = F.when(F.col("place_x").isNull(), _any_salt(rows, 1 << 30)).otherwise(F.col("salt"))
+    salted = _salted(rows, hot, salts).withColumn("salt", salt)
+    answered = salted.join(_on_every_salt(hits, hot, salts), [*key, "salt"], "left")
+    return answered.select(*df.columns, *columns.values())
+
+
+def _any_salt(df: DataFrame, salts: int) -> Column:
+    """Follows from the row and its task, so a rerun task routes its rows as before, and
+    equal rows from different tasks still spread."""
+    return F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.lit(salts)).cast("bigint")
+
+
+def _marked(df: DataFrame, hot: DataFrame) -> DataFrame:
+    """``hot`` keys are fewer than the salts, hence broadcast."""
+    return df.join(F.broadcast(hot.withColumn("hot", F.lit(True))), hot.columns, "left")
+
+
+def _salted(df: DataFrame, hot: DataFrame, salts: int) -> DataFrame:
+    salt = F.when(F.col("hot"), _any_salt(df, salts)).otherwise(F.lit(0).cast("bigint"))
+    return _marked(df, hot).withColumn("salt", salt).drop("hot")
 
 
-def _on_every_salt(df: DataFrame, salts: int) -> DataFrame:
-    every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-    return df.withColumn("salt", F.explode(every))
+def _on_every_salt(df: DataFrame, hot: DataFrame, salts: int) -> DataFrame:
+    last = F.when(F.col("hot"), F.lit(salts - 1)).otherwise(F.lit(0)).cast("bigint")
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), last))
+    return _marked(df, hot).withColumn("salt", every).drop("hot")
 
 
 def fill_areas(
