@@ -51,9 +51,9 @@ def _corners(boundaries: DataFrame) -> DataFrame:
         cut = f"({by} + size(ring)) % size(ring)"
         return f"concat(slice(ring, 1 + {cut}, size(ring)), slice(ring, 1, {cut}))"
 
-    points = f"arrays_zip({turned(-1)} AS a, ring AS b, {turned(1)} AS c, {turned(2)} AS d)"
     kept = [name for name in rings.columns if name != "ring"]
-    return rings.selectExpr(*kept, f"inline({points})")
+    turns = rings.selectExpr(*kept, f"{turned(-1)} AS a", "ring AS b", f"{turned(1)} AS c", f"{turned(2)} AS d")
+    return turns.selectExpr(*kept, "inline(arrays_zip(a, b, c, d))")
 
 
 def boundary_edges(boundaries: DataFrame) -> DataFrame:
