@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plugsites.llm import chat, fingerprints, kd_search, near_duplicates, packing, pii
-from plugsites.llm import quality, token_counts, token_files, tree_bpe
+from plugsites.llm import chat, fingerprints, kd_search, languages, merkle, near_duplicates
+from plugsites.llm import oracle_sql, packing, pii, quality, signatures, token_counts, token_files, tree_bpe
 from plugsites.llm.pii_rules import KINDS
 from plugsites.llm.frames import table
 from plugsites.llm.vocabularies import default_path
@@ -94,6 +94,23 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_search.exact_top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = signatures.build_index(table(spark, sf_dir, "documents"))
+    return signatures.ranked_search(index, table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 4
+    held_out = F.coalesce(fold == 2, F.lit(False))
+    automata = languages.learn_languages(docs.where(~held_out))
+    return languages.predict_languages(docs, automata, carry={"held_out": held_out})
+
+
 QUERIES = {
     "op1_personal_data": op1_personal_data,
     "op2_quality": op2_quality,
@@ -105,6 +122,9 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_token_files": op9_token_files,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_language": op13_language,
 }
 ORACLE_SQL = {
     "op10_exact_top_k": """
@@ -124,4 +144,6 @@ select query_id, cast(rank as integer) as rank, vec_id, score from (
   from scored
 ) where rank <= 20
 """,
+    "op11_ranked_search": oracle_sql.RANKED_SEARCH,
+    "op12_merkle_manifest": oracle_sql.MERKLE,
 }
