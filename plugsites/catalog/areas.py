@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 from plugsites.catalog import Query
 from plugsites.catalog.frames import STATE_SQL, sentinel_state, table
-from plugsites.operators.areas import boundary_edges, find_areas, index_areas, tile_areas
+from plugsites.operators.areas import find_areas, index_areas
 from plugsites.operators.missing import fill_text
 from plugsites.operators.shape import union_sources
+from plugsites.operators.tiles import boundary_edges
 from plugsites.schema import LEVEL_COLUMNS, UNKNOWN
-from plugsites.sinks.stage import shared_folder, write_stage
+from plugsites.sinks.stage import shared_folder
 from plugsites.sources.boundaries import NAME_PROPERTIES, read_layer
 
 # Shapes relative to an area's corner.
@@ -111,11 +112,7 @@ def edges_from_layer(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _index(*layers: DataFrame):
-    """Tiles are made once, into a stage; the measure and the join read them from there."""
-    spark = layers[0].sparkSession
-    path = shared_folder(spark, "tiles")
-    write_stage(tile_areas(union_sources(list(layers))), path)
-    return index_areas(spark.read.parquet(path))
+    return index_areas(union_sources(list(layers)))
 
 
 def point_in_polygon(spark: SparkSession, folder: str) -> DataFrame:

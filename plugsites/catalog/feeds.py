@@ -22,7 +22,7 @@ from plugsites.catalog.frames import (
     table,
 )
 from plugsites.functions.plugs import lists_as_text
-from plugsites.operators.areas import AreaIndex, index_areas, tile_areas
+from plugsites.operators.areas import AreaIndex, index_areas
 from plugsites.operators.checks import accepted
 from plugsites.plans.feeds import FEED_A, FEED_B, FEED_C, ROW_KEY, FeedSpec, transform_feed
 from plugsites.plans.registry import registry
@@ -59,7 +59,7 @@ def feed_index(spark: SparkSession) -> AreaIndex:
         for level, ord_, name, rings in AREAS
     )
     boundaries = spark.sql(f"SELECT * FROM VALUES {rows} AS areas(level, ord, name, rings)")
-    return index_areas(tile_areas(boundaries, 1.0), 1.0)
+    return index_areas(boundaries)
 
 
 def _rendered(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:

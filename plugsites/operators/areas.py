@@ -1,11 +1,8 @@
 """Point-in-area lookup for administrative boundaries.
 
-Boundaries are cut into square tiles once, edge by edge. A tile keeps, for each area,
-the edges that touch it and what the edges to its right add to a ray from inside it: for
-each of those only the heights of its ends matter, and where edges follow one another
-these cancel out. So a tile is as large as the stretch of border in it. An area that
-covers the whole tile keeps nothing. A point then needs one equality match on its tile
-and a few edge tests, whatever the size of the boundary set.
+Boundaries are cut into square tiles once (see ``tiles``), as small as their borders need.
+A point then needs one equality match for each size of tile and a few edge tests, whatever
+the size of the boundary set.
 
 Two join strategies give the same rows. A tile table below a measured size bound
 is broadcast, one row per tile, and the points are never shuffled. Beyond the
@@ -19,48 +16,22 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plugsites.operators.missing import fill_text
+from plugsites.operators.tiles import TILE, tile_areas
 from plugsites.schema import LEVEL_COLUMNS, MISSING_TEXT, UNKNOWN
 from plugsites.sinks.stage import shared_folder, write_stage
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-TILE_DEGREES = 0.25
 
 # Widths in Spark's row format: one edge in a list, one end, one area without its lists.
 EDGE_BYTES = 48
 END_BYTES = 8
 AREA_BYTES = 112
 
-AREA = ["level", "ord", "name"]
-RESERVED = ("tile_x", "tile_y", "place_x", "place_y", "salt", "hot")
-
-
-def _corners(boundaries: DataFrame) -> DataFrame:
-    """One row per edge: its ends ``b`` and ``c``, with the points before and after it.
-
-    Points without coordinates are left out; open rings are closed.
-    """
-    rings = boundaries.select(*[name for name in boundaries.columns if name != "rings"], F.explode("rings").alias("ring"))
-    usable = F.filter("ring", lambda point: point["x"].isNotNull() & point["y"].isNotNull())
-    rings = rings.withColumn("ring", usable).where("size(ring) >= 3")
-
-    def turned(by: int) -> str:
-        cut = f"({by} + size(ring)) % size(ring)"
-        return f"concat(slice(ring, 1 + {cut}, size(ring)), slice(ring, 1, {cut}))"
-
-    kept = [name for name in rings.columns if name != "ring"]
-    turns = rings.selectExpr(*kept, f"{turned(-1)} AS a", "ring AS b", f"{turned(1)} AS c", f"{turned(2)} AS d")
-    return turns.selectExpr(*kept, "inline(arrays_zip(a, b, c, d))")
-
-
-def boundary_edges(boundaries: DataFrame) -> DataFrame:
-    """Boundary rows to one row per edge."""
-    edges = _corners(boundaries).where("b.x <> c.x OR b.y <> c.y")
-    return edges.selectExpr(*AREA, "b.x AS x1", "b.y AS y1", "c.x AS x2", "c.y AS y2")
-
+RESERVED = ("depth", "tile", "tile_x", "tile_y", "place_x", "place_y", "salt", "hot")
 
 # Predicates over an edge ``e`` and a point, as SQL text: they stand inside lambdas.
 CROSSES = """(e.y1 > {y}) <> (e.y2 > {y})
@@ -81,103 +52,31 @@ def contains(x: str, y: str, tile: str = "") -> str:
 @dataclass(frozen=True)
 class AreaIndex:
     tiles: DataFrame
-    """``level, ord, name, tile_x, tile_y, whole, beyond, edges, ends``: one row per area
-    and tile. Right of the tile, ``beyond`` (0 or 1) edges cross it at every height, and
-    those that end at ``ends`` cross it below that height."""
-    tile_size: float
+    """What ``tile_areas`` gives, stored."""
+    depths: tuple[int, ...]
+    """Depths of the tiles; a point has one tile at each."""
     byte_size: int
     """Measured size of ``tiles`` in memory."""
 
 
-def tile_areas(boundaries: DataFrame, tile_size: float = TILE_DEGREES) -> DataFrame:
-    """Cut every area into the tiles its edges touch and those that it covers.
-
-    Work and memory follow edges and tiles: an edge goes to the tiles it passes, and only
-    the edges of one area in one tile ever come together. Repeated rows count once.
-    """
-    # Edges a rounding error beyond a tile's border still count for that tile.
-    pad, size = f"{tile_size * 1e-6!r}D", f"{tile_size!r}D"
-    # Flatter edges are not cut to the band: where they leave it is not precise.
-    flat = f"{tile_size * 1e-3!r}D"
-    bottom, top = f"(tile_y * {size} - {pad})", f"((tile_y + 1) * {size} + {pad})"
-
-    def columns_of(p: str, q: str) -> tuple[str, str]:
-        """First and last column that an edge touches within a band."""
-
-        def at(height: str) -> str:
-            x = f"{p}.x + ({q}.x - {p}.x) * (({height}) - {p}.y) / nullif({q}.y - {p}.y, 0D)"
-            return f"least(greatest({x}, least({p}.x, {q}.x)), greatest({p}.x, {q}.x))"
-
-        low = at(f"greatest(least({p}.y, {q}.y), {bottom})")
-        high = at(f"least(greatest({p}.y, {q}.y), {top})")
-        steep = f"abs({q}.y - {p}.y) > {flat}"
-        left = f"CASE WHEN {steep} THEN least({low}, {high}) ELSE least({p}.x, {q}.x) END"
-        right = f"CASE WHEN {steep} THEN greatest({low}, {high}) ELSE greatest({p}.x, {q}.x) END"
-        return f"floor(({left} - {pad}) / {size})", f"floor(({right} + {pad}) / {size})"
-
-    def end_beyond(point: str, neighbour: str) -> str:
-        """Height of an edge's end whose other edge lies right of the tile."""
-        return f"CASE WHEN {point}.y BETWEEN {bottom} AND {top} AND {neighbour} > tile_x THEN {point}.y END"
-
-    area = [*AREA, "shape"]
-    areas = boundaries.select(*AREA, "rings", F.xxhash64("rings").alias("shape")).dropDuplicates(area)
-    first, last = columns_of("b", "c")
-    bands = _corners(areas).selectExpr(
-        "*",
-        f"""explode(sequence(floor((least(b.y, c.y) - {pad}) / {size}),
-            floor((greatest(b.y, c.y) + {pad}) / {size}))) AS tile_y""",
-    )
-    bands = bands.selectExpr(
-        "*",
-        f"{first} AS first",
-        f"{last} AS last",
-        f"{columns_of('a', 'b')[0]} AS first_before",
-        f"{columns_of('c', 'd')[0]} AS first_after",
-        f"(b.y > {top}) <> (c.y > {top}) AS leaves",
-    )
-    touched = bands.selectExpr("*", "explode(sequence(first, last)) AS tile_x").selectExpr(
-        *area,
-        "tile_x",
-        "tile_y",
-        "CASE WHEN b.x <> c.x OR b.y <> c.y THEN struct(b.x AS x1, b.y AS y1, c.x AS x2, c.y AS y2) END AS edge",
-        f"{end_beyond('b', 'first_before')} AS end1",
-        f"{end_beyond('c', 'first_after')} AS end2",
-        "CAST(leaves AND tile_x = first AS INT) AS crossing",
-    )
-    tiles = touched.groupBy(*area, "tile_x", "tile_y").agg(
-        F.collect_list("edge").alias("edges"),
-        F.concat(F.collect_list("end1"), F.collect_list("end2")).alias("ends"),
-        F.sum("crossing").alias("crossing"),
-    )
-    # Borders of one area in one band, from right to left: what lies beyond each tile, and
-    # the tiles between it and the next, which have no border in them.
-    row = Window.partitionBy(*area, "tile_y").orderBy(F.desc("tile_x"))
-    beyond = F.sum("crossing").over(row.rowsBetween(Window.unboundedPreceding, -1))
-    tiles = tiles.withColumns(
-        {
-            "beyond": (F.coalesce(beyond, F.lit(0)) % 2).cast("int"),
-            "next_x": F.lag("tile_x").over(row),
-        }
-    )
-    inner = "CASE WHEN beyond = 1 AND next_x > tile_x + 1 THEN sequence(tile_x + 1, next_x - 1) END"
-    every = f"concat(array(tile_x), coalesce({inner}, array()))"
-    spread = tiles.selectExpr("*", f"posexplode({every}) AS (place, x)")
-    return spread.selectExpr(
-        *AREA,
-        "x AS tile_x",
-        "tile_y",
-        "place > 0 AS whole",
-        "CASE WHEN place = 0 THEN beyond ELSE 0 END AS beyond",
-        "CASE WHEN place = 0 THEN edges ELSE slice(edges, 1, 0) END AS edges",
-        "CASE WHEN place = 0 THEN ends ELSE slice(ends, 1, 0) END AS ends",
-    )
+def index_areas(boundaries: DataFrame, path: str | None = None) -> AreaIndex:
+    """Tile the boundaries into a stage, and measure it: its depths, and its size for the
+    join choice. The stage lies at ``path``, by default below the shared folder."""
+    spark = boundaries.sparkSession
+    path = path or shared_folder(spark, "tiles")
+    write_stage(tile_areas(boundaries), path)
+    return stored_index(spark, path)
 
 
-def index_areas(tiles: DataFrame, tile_size: float = TILE_DEGREES) -> AreaIndex:
-    """Measure the tile table (one aggregate over boundary data) for the join choice."""
+def stored_index(spark: SparkSession, path: str) -> AreaIndex:
+    """The index that ``index_areas`` left at ``path``."""
+    tiles = spark.read.parquet(path)
     lists = F.size("edges").cast("bigint") * EDGE_BYTES + F.size("ends").cast("bigint") * END_BYTES
-    measured = tiles.agg(F.sum(lists + F.octet_length("name") + AREA_BYTES)).first()[0]
-    return AreaIndex(tiles, tile_size, int(measured or 0))
+    measured = tiles.agg(
+        F.sum(lists + F.octet_length("name") + AREA_BYTES).alias("bytes"),
+        F.sort_array(F.collect_set("depth")).alias("depths"),
+    ).first()
+    return AreaIndex(tiles, tuple(measured["depths"]), int(measured["bytes"] or 0))
 
 
 def find_areas(
@@ -207,11 +106,15 @@ def find_areas(
     return _find_by_shuffle(df, index, columns, needed, longitude, latitude, salts)
 
 
-def _tile_columns(index: AreaIndex, longitude: str, latitude: str) -> dict[str, Column]:
-    return {
-        "tile_x": F.floor(F.col(longitude) / index.tile_size),
-        "tile_y": F.floor(F.col(latitude) / index.tile_size),
-    }
+def _tile_at(depth: int, longitude: str, latitude: str) -> Column:
+    """The tile of a depth that holds the point; sides are powers of two, so this is exact."""
+    return F.struct(
+        F.lit(depth).alias("depth"),
+        *[
+            F.floor(F.col(place) * F.lit(4.0**depth)).alias(name)
+            for name, place in (("tile_x", longitude), ("tile_y", latitude))
+        ],
+    )
 
 
 def _find_by_broadcast(
@@ -222,7 +125,8 @@ def _find_by_broadcast(
     longitude: str,
     latitude: str,
 ) -> DataFrame:
-    per_tile = index.tiles.groupBy("tile_x", "tile_y").agg(
+    """One equality per depth, all against one broadcast table of a row per tile."""
+    per_tile = index.tiles.groupBy(*TILE).agg(
         *[
             F.expr(
                 f"array_sort(collect_list(struct(ord, name, whole, beyond, edges, ends)) FILTER (WHERE level = {level}))"
@@ -230,22 +134,30 @@ def _find_by_broadcast(
             for level in columns
         ],
     )
-    # Rows that need no lookup get a NULL tile and so skip the match.
-    keyed = df.withColumns(
-        {
-            name: F.when(needed, tile)
-            for name, tile in _tile_columns(index, longitude, latitude).items()
-        }
-    )
-    joined = keyed.join(F.broadcast(per_tile), ["tile_x", "tile_y"], "left")
     inside = contains(longitude, latitude, "area.")
-    return joined.select(
-        *df.columns,
-        *[
-            F.expr(f"get(filter(areas_{level}, area -> {inside}), 0).name").alias(name)
-            for level, name in columns.items()
-        ],
-    )
+    found = df
+    for n, depth in enumerate(index.depths):
+        tiles = per_tile.select(
+            F.struct(*TILE).alias("tile"),
+            *[F.col(f"areas_{level}").alias(f"areas_{level}_{n}") for level in columns],
+        )
+        # Rows that need no lookup get a NULL tile and so skip the match.
+        keyed = found.withColumn("tile", F.when(needed, _tile_at(depth, longitude, latitude)))
+        found = keyed.join(F.broadcast(tiles), "tile", "left").drop("tile")
+    first = {
+        level: [
+            f"transform(slice(filter(areas_{level}_{n}, area -> {inside}), 1, 1), area -> struct(area.ord, area.name))"
+            for n in range(len(index.depths))
+        ]
+        for level in columns
+    }
+    names = {
+        name: "array_min(flatten(array_compact(array({})))).name".format(", ".join(first[level]))
+        if index.depths
+        else "CAST(NULL AS STRING)"
+        for level, name in columns.items()
+    }
+    return found.select(*df.columns, *[F.expr(sql).alias(name) for name, sql in names.items()])
 
 
 def _find_by_shuffle(
@@ -257,7 +169,7 @@ def _find_by_shuffle(
     latitude: str,
     salts: int | None,
 ) -> DataFrame:
-    spark, key, tile = df.sparkSession, ["place_x", "place_y"], ["tile_x", "tile_y"]
+    spark, key, tile = df.sparkSession, ["place_x", "place_y"], TILE
     # The rows are needed twice, once for their places alone; they are made once.
     path = shared_folder(spark, "lookup")
     place = {"place_x": F.when(needed, F.col(longitude)), "place_y": F.when(needed, F.col(latitude))}
@@ -270,7 +182,10 @@ def _find_by_shuffle(
 
     # A place that holds very many rows is looked up once.
     places = rows.where("place_x IS NOT NULL").groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    points = places.withColumns(_tile_columns(index, *key))
+    tiles_of = F.array(*[_tile_at(depth, *key) for depth in index.depths])
+    points = places.select("*", F.inline(tiles_of)) if index.depths else None
+    if points is None:
+        return df.select("*", *[F.lit(None).cast("string").alias(name) for name in columns.values()])
     hot_tiles = points.groupBy(*tile).count().where(F.col("count") > many).select(*tile)
     tiles = index.tiles.where(F.col("level").isin(*columns))
     hits = (

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plugsites.operators.areas import TILE_DEGREES, AreaIndex, index_areas, tile_areas
+from plugsites.operators.areas import AreaIndex, index_areas
 from plugsites.operators.checks import accepted, good_rows, reason_counters, rejected
 from plugsites.operators.consolidate import consolidate, site_first
 from plugsites.operators.shape import align_schema, union_sources
@@ -52,7 +52,6 @@ class RunConfig:
     boundaries: dict[int, str] = field(default_factory=dict)
     """Boundary layer by level; without any, missing areas become UNKNOWN."""
     boundary_options: dict = field(default_factory=dict)
-    tile_size: float = TILE_DEGREES
     specs: dict[str, FeedSpec] = field(default_factory=lambda: FEEDS)
     table: str | None = None
     """Table to replace by the exported sites, if any."""
@@ -118,6 +117,4 @@ def stage_boundaries(spark: SparkSession, config: RunConfig) -> AreaIndex | None
     if not config.boundaries:
         return None
     boundaries = read_boundaries(spark, config.boundaries, **config.boundary_options)
-    path = f"{config.output}/tiles"
-    write_stage(tile_areas(boundaries, config.tile_size), path)
-    return index_areas(spark.read.parquet(path), config.tile_size)
+    return index_areas(boundaries, f"{config.output}/tiles")

@@ -1,9 +1,13 @@
+import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plugsites.operators.areas import boundary_edges, fill_areas, find_areas, index_areas, tile_areas
+from plugsites.operators.areas import fill_areas, find_areas, index_areas
+from plugsites.operators import tiles as tiling
+from plugsites.operators.tiles import boundary_edges, tile_areas
 from plugsites.sources.boundaries import read_boundaries, read_layer
 
 LAYER = "tests/data/states.geojsonl"
@@ -48,10 +52,11 @@ def expected_names(areas, points):
 
 
 @pytest.mark.parametrize("limit", [1 << 30, 0], ids=["broadcast", "shuffle"])
-@pytest.mark.parametrize("tile_size", [0.3, 1.0])
-def test_lookup_equals_brute_force(spark, limit, tile_size):
+@pytest.mark.parametrize("edges_per_tile", [1, 3, 32])
+def test_lookup_equals_brute_force(spark, limit, edges_per_tile, monkeypatch):
     areas, points = areas_and_points(7)
-    index = index_areas(tile_areas(spark.createDataFrame(areas, RINGS), tile_size), tile_size)
+    monkeypatch.setattr(tiling.tile_areas, "__defaults__", (edges_per_tile, 3))
+    index = index_areas(spark.createDataFrame(areas, RINGS))
     rows = spark.createDataFrame(points, "id int, longitude double, latitude double")
     found = find_areas(rows, index, {1: "one", 2: "two"}, broadcast_limit=limit, salts=3)
     result = {row.id: (row.one, row.two) for row in found.collect()}
@@ -60,7 +65,7 @@ def test_lookup_equals_brute_force(spark, limit, tile_size):
 
 @pytest.mark.parametrize("limit", [1 << 30, 0], ids=["broadcast", "shuffle"])
 def test_unusable_coordinates_and_unneeded_rows_stay(spark, limit):
-    index = index_areas(tile_areas(spark.createDataFrame([(1, 0, "A", [[(-1.0, -1.0), (2.0, -1.0), (2.0, 2.0), (-1.0, 2.0)]])], RINGS)))
+    index = index_areas(spark.createDataFrame([(1, 0, "A", [[(-1.0, -1.0), (2.0, -1.0), (2.0, 2.0), (-1.0, 2.0)]])], RINGS))
     rows = spark.createDataFrame(
         [(1, 0.5, 0.5, True), (1, 0.5, 0.5, True), (2, None, 0.5, True), (3, float("nan"), 0.5, True), (4, 1e300, 0.5, True), (5, 0.5, 0.5, False), (6, 0.5, 0.5, None)],
         "id int, longitude double, latitude double, wanted boolean",
@@ -72,7 +77,7 @@ def test_unusable_coordinates_and_unneeded_rows_stay(spark, limit):
 
 def test_borders_are_outside(spark):
     square = [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)]
-    index = index_areas(tile_areas(spark.createDataFrame([(1, 0, "S", [square])], RINGS)))
+    index = index_areas(spark.createDataFrame([(1, 0, "S", [square])], RINGS))
     border = [(0.0, 0.5), (1.0, 0.5), (0.5, 0.0), (0.5, 1.0), (0.0, 0.0), (1.0, 1.0)]
     rows = spark.createDataFrame([*border, (0.5, 0.5)], "longitude double, latitude double")
     names = find_areas(rows, index, {1: "name"}).where("name is not null").collect()
@@ -81,9 +86,13 @@ def test_borders_are_outside(spark):
 
 def test_covered_tiles_hold_no_edges(spark):
     big = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)]
-    tiles = tile_areas(spark.createDataFrame([(1, 0, "S", [big])], RINGS), 1.0)
-    assert tiles.where("whole").count() == 64
+    tiles = tile_areas(spark.createDataFrame([(1, 0, "S", [big])], RINGS), edges_per_tile=0, steps=2)
     assert tiles.where("whole and size(edges) > 0").isEmpty()
+    # The interior in tiles of three sizes, the border in the smallest; no tile twice.
+    covered = tiles.selectExpr("sum(pow(16D, -depth)) FILTER (WHERE whole) AS area").first().area
+    assert covered == (10 - 2 / 16) ** 2
+    assert tiles.where("whole").count() < 4 * tiles.where("not whole").count()
+    assert tiles.select("depth", "tile_x", "tile_y").distinct().count() == tiles.count()
 
 
 def test_layer_forms_agree(spark):
@@ -96,7 +105,7 @@ def test_layer_forms_agree(spark):
 
 
 def test_holes_parts_and_layer_order(spark):
-    index = index_areas(tile_areas(read_layer(spark, LAYER, 1)))
+    index = index_areas(read_layer(spark, LAYER, 1))
     points = {(13.4, 52.5): "Ring", (13.4, 52.7): "Below", (8.5, 50.5): "Two parts", (10.5, 50.5): "Two parts", (9.5, 50.5): None, (14.5, 53.5): "Below"}
     rows = spark.createDataFrame(list(points), "longitude double, latitude double")
     found = find_areas(rows, index, {1: "name"}).collect()
@@ -104,7 +113,7 @@ def test_holes_parts_and_layer_order(spark):
 
 
 def test_only_missing_areas_are_filled(spark):
-    index = index_areas(tile_areas(read_layer(spark, LAYER, 1)))
+    index = index_areas(read_layer(spark, LAYER, 1))
     rows = spark.createDataFrame(
         [(13.4, 52.5, "N.A", None, "Ort"), (13.4, 52.5, "Hessen", "UNKOWN", ""), (1.0, 1.0, "", "Kreis", "Ort")],
         "longitude double, latitude double, state string, district_city string, city string",
@@ -113,3 +122,70 @@ def test_only_missing_areas_are_filled(spark):
     assert result == [("Ring", "UNKNOWN", "Ort"), ("Hessen", "UNKNOWN", "UNKNOWN"), ("UNKNOWN", "Kreis", "Ort")]
     without = [tuple(row)[2:] for row in fill_areas(rows, None).collect()]
     assert without[0] == ("UNKNOWN", "UNKNOWN", "Ort")
+
+
+def star(x, y, radius, corners, teeth):
+    """A closed line of many corners around a point."""
+    turn = [2 * math.pi * n / corners for n in range(corners)]
+    reach = [radius * (1 + 0.2 * math.sin(teeth * t)) for t in turn]
+    return [(x + r * math.cos(t), y + r * math.sin(t)) for r, t in zip(reach, turn)]
+
+
+def inside_many(x, y, ring):
+    """As ``inside``, for many points off the border."""
+    odd = np.zeros(len(x), bool)
+    for (x1, y1), (x2, y2) in zip(ring, [*ring[1:], ring[0]], strict=True):
+        if y1 != y2:
+            odd ^= ((y1 > y) != (y2 > y)) & (x < (x2 - x1) * (y - y1) / (y2 - y1) + x1)
+    return odd
+
+
+@pytest.fixture(scope="module")
+def mixed(spark):
+    """A country of 20,000 corners, a smooth one, and streets a ten-thousandth as wide."""
+    streets = [star(10 + n / 100, 50 + n / 70, 0.0005, 40, 5) for n in range(30)]
+    rings = [star(10.0, 50.0, 4.0, 20_000, 90), star(2.0, 44.0, 1.5, 12, 3), *streets]
+    areas = [(1 if n < 2 else 2, n, f"area {n}", [ring]) for n, ring in enumerate(rings)]
+    boundaries = spark.createDataFrame(areas, RINGS).repartition(8, "ord")
+    return rings, index_areas(boundaries)
+
+
+def test_areas_of_very_different_size_in_one_set(spark, mixed):
+    rings, index = mixed
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.uniform(0, 16, 3000), *[10 + n / 100 + rng.uniform(-1e-3, 1e-3, 60) for n in range(30)]])
+    y = np.concatenate([rng.uniform(42, 56, 3000), *[50 + n / 70 + rng.uniform(-1e-3, 1e-3, 60) for n in range(30)]])
+    hits = np.array([inside_many(x, y, ring) for ring in rings])
+    expected = [
+        tuple(next((f"area {n}" for n in group if hits[n, i]), None) for group in (range(2), range(2, 32)))
+        for i in range(len(x))
+    ]
+    rows = spark.createDataFrame([*zip(range(len(x)), x.tolist(), y.tolist())], "id int, longitude double, latitude double")
+    for limit in (1 << 30, 0):
+        found = find_areas(rows, index, {1: "one", 2: "two"}, broadcast_limit=limit, salts=3)
+        result = {row.id: (row.one, row.two) for row in found.collect()}
+        assert [result[i] for i in range(len(x))] == expected
+    assert {None, "area 0", "area 1"} == {one for one, _ in expected} and len({two for _, two in expected}) == 31
+
+
+def test_rows_of_an_area_are_bounded_by_its_border(mixed):
+    rings, index = mixed
+    rows = {r.ord: r for r in index.tiles.groupBy("ord").agg(
+        F.count("*").alias("tiles"), F.max(F.size("edges")).alias("most"), F.max("depth").alias("depth")).collect()}
+    for n, ring in enumerate(rings):
+        assert rows[n].tiles <= 17**2 + len(ring)
+        assert rows[n].most <= tiling.EDGES_PER_TILE
+    assert max(rows[n].depth for n in range(2)) < min(rows[n].depth for n in range(2, 32))
+
+
+def test_edges_of_one_border_are_dealt_over_tasks(spark):
+    """The whole border is one row; its tiles are made and cut by several tasks."""
+    boundaries = spark.createDataFrame([(1, 0, "A", [star(10.0, 50.0, 4.0, 20_000, 90)])], RINGS)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small as it is
+    try:
+        for tiles in (tiling._first_tiles(boundaries), tile_areas(boundaries)):
+            tasks = tiles.withColumn("task", F.spark_partition_id()).groupBy("task").agg(F.sum(F.size("edges")).alias("n"))
+            shares = [row.n for row in tasks.collect() if row.n]
+            assert len(shares) > 2 and max(shares) < 0.6 * sum(shares)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -31,10 +31,11 @@ def test_no_python_and_no_nested_loops(spark, folder, name):
 
 def test_each_feed_is_scanned_once_and_shuffled_once(spark, folder):
     text = plan(consolidated_sites(spark, folder))
-    assert nodes(text, "FileScan parquet") == 3
+    scans = [line for line in text.splitlines() if "FileScan parquet" in line]
+    assert sum("tile_x" not in line for line in scans) == 3
     by_site = re.findall(r"Exchange hashpartitioning\(latitude#\d+, longitude#\d+", text)
     assert len(by_site) == 3, "one per feed, none after the union"
-    assert len(re.findall(r"Exchange hashpartitioning\(tile_x", text)) == 3
+    assert len(re.findall("Exchange", text)) == 3 + 2 * sum("tile_x" in line for line in scans)
 
 
 @pytest.mark.parametrize("name", ["point_in_polygon", "point_in_polygon_levels", "enrich_missing_state"])
@@ -45,6 +46,14 @@ def test_points_are_matched_by_tile_and_not_shuffled(spark, folder, name):
     assert "Exchange" not in points and "FileScan" in points
 
 
+def test_one_broadcast_serves_all_depths(spark, folder):
+    found = queries()["point_in_polygon_levels"](spark, folder)
+    found.collect()
+    final = plan(found).split("Initial Plan")[0]
+    joins, tables = nodes(final, "BroadcastHashJoin"), nodes(final, "BroadcastExchange")
+    assert joins > 1 and tables == 1 and nodes(final, "ReusedExchange") == joins - 1
+
+
 @pytest.mark.parametrize("name", ["anomalies_with_reason", "clean_rows", "anomaly_counts"])
 def test_checks_read_their_input_once(spark, folder, name):
     text = plan(queries()[name](spark, folder))
