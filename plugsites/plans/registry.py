@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plugsites.operators.areas import AreaIndex, index_areas
+from plugsites.operators.areas import AreaIndex, stored_index
 from plugsites.operators.checks import accepted, good_rows, reason_counters, rejected
 from plugsites.operators.consolidate import consolidate, site_first
 from plugsites.operators.shape import align_schema, union_sources
+from plugsites.operators.tiles import tile_areas
 from plugsites.plans.feeds import FEEDS, ROW_KEY, SOURCE, FeedSpec, transform_feed
 from plugsites.schema import CANONICAL, SITES
-from plugsites.sinks.stage import export_csv, write_stage
+from plugsites.sinks.manifest import Manifest, input_files, stage_key
+from plugsites.sinks.stage import export_csv, scratch
 from plugsites.sinks.warehouse import load_table
 from plugsites.sources.boundaries import read_boundaries
-from plugsites.sources.delimited import read_tolerant, scan_feed
+from plugsites.sources.delimited import UNRESOLVED, UnreadableInput, scan_feed
 
 ORDER = [SOURCE, ROW_KEY]
 
@@ -76,45 +79,81 @@ def run(spark: SparkSession, config: RunConfig) -> RunReport:
     Below ``output``: ``checked``, ``transformed``, ``anomalies`` and ``grouped``
     for each feed, then ``sites`` (Parquet) and ``export`` (comma-separated).
     Stages are Parquet files, so later steps neither parse text again nor depend
-    on executors that are gone.
+    on executors that are gone. ``manifest`` marks those that are finished: a run into the
+    same folder makes only stages whose inputs, parameters or files have changed since.
     """
-    index = stage_boundaries(spark, config)
-    last_year = F.year(F.current_date()) if config.last_year is None else config.last_year
+    with scratch(spark):
+        return _run(spark, config)
+
+
+def _run(spark: SparkSession, config: RunConfig) -> RunReport:
+    manifest = Manifest(spark, f"{config.output}/manifest")
+    last_year = config.last_year
+    if last_year is None:
+        last_year = spark.range(1).select(F.year(F.current_date())).first()[0]
+    tiles, index = stage_boundaries(spark, config, manifest)
     counts: dict[str, dict] = {}
-    resolved, skipped = [], []
-
-    def scan(name: str) -> DataFrame:
-        raw = scan_feed(spark, config.feeds[name], config.specs[name].layout)
-        resolved.append(name)
-        return raw
-
-    raws, skipped = read_tolerant(list(config.feeds), scan)
-    grouped = []
-    for name, raw in zip(resolved, raws, strict=True):
-        spec = config.specs[name]
-        folder = f"{config.output}/{name}"
-        checked = transform_feed(raw, spec, last_year, index)
-        found = write_stage(checked, f"{folder}/checked", {"rows": F.count(F.lit(1))} | reason_counters())
+    keys, skipped, grouped = [], [], []
+    for name in config.feeds:
+        spec, path = config.specs[name], f"{config.output}/{name}/checked"
+        try:
+            key = stage_key(name, input_files(spark, config.feeds[name]), spec, last_year, tiles)
+            found, raw = manifest.finished(f"{name}/checked", path, key), None
+            if found is None:
+                raw = scan_feed(spark, config.feeds[name], spec.layout)
+        except UNRESOLVED:
+            skipped.append(name)
+            continue
+        if raw is not None:
+            found = manifest.stage(
+                f"{name}/checked",
+                path,
+                key,
+                partial(transform_feed, raw, spec, last_year, index),
+                {"rows": F.count(F.lit(1))} | reason_counters(),
+            )
         counts[name] = {label: number for label, number in found.items() if number or label == "rows"}
-        checked = spark.read.parquet(f"{folder}/checked")
-        write_stage(accepted(checked, ROW_KEY), f"{folder}/transformed")
-        write_stage(rejected(checked), f"{folder}/anomalies")
-        write_stage(feed_sites(checked), f"{folder}/grouped")
-        grouped.append(spark.read.parquet(f"{folder}/grouped"))
-    aligned = [align_schema(frame, CANONICAL, tuple(ORDER)) for frame in grouped]
-    sites = consolidate(union_sources(aligned), ORDER)
-    counts["sites"] = write_stage(sites, f"{config.output}/sites", {"rows": F.count(F.lit(1))})
-    export_csv(spark, f"{config.output}/sites", f"{config.output}/export")
-    stored, bad = spark.read.parquet(f"{config.output}/sites"), None
+        checked = spark.read.parquet(path)
+        derived = {
+            "transformed": partial(accepted, checked, ROW_KEY),
+            "anomalies": partial(rejected, checked),
+            "grouped": partial(feed_sites, checked),
+        }
+        for output, rows in derived.items():
+            manifest.stage(f"{name}/{output}", f"{config.output}/{name}/{output}", key, rows)
+        keys.append(key)
+        grouped.append(spark.read.parquet(f"{config.output}/{name}/grouped"))
+    if not grouped:
+        raise UnreadableInput(f"no readable input among {list(config.feeds)}")
+
+    def sites() -> DataFrame:
+        aligned = [align_schema(frame, CANONICAL, tuple(ORDER)) for frame in grouped]
+        return consolidate(union_sources(aligned), ORDER)
+
+    stored, export, key = f"{config.output}/sites", f"{config.output}/export", stage_key("sites", keys)
+    counts["sites"] = manifest.stage("sites", stored, key, sites, {"rows": F.count(F.lit(1))})
+    manifest.step("export", export, key, lambda: {"files": export_csv(spark, stored, export)})
+    result, bad = spark.read.parquet(stored), None
     if config.table:
-        bad = load_table(spark, f"{config.output}/export/part-*.csv", SITES, config.table)
-        counts["bad_records"] = {"rows": bad.count()}
-    return RunReport(stored, counts, skipped, stored.columns, bad)
+        bad = load_table(spark, f"{export}/part-*.csv", SITES, config.table)
+        rows = [tuple(row) for row in bad.collect()]  # at most the budget
+        bad = spark.createDataFrame(rows, bad.schema)
+        counts["bad_records"] = {"rows": len(rows)}
+    return RunReport(result, counts, skipped, result.columns, bad)
 
 
-def stage_boundaries(spark: SparkSession, config: RunConfig) -> AreaIndex | None:
+def stage_boundaries(
+    spark: SparkSession, config: RunConfig, manifest: Manifest
+) -> tuple[str, AreaIndex | None]:
     """Tile the boundary layers once; every feed reads the tiles from the stage."""
     if not config.boundaries:
-        return None
-    boundaries = read_boundaries(spark, config.boundaries, **config.boundary_options)
-    return index_areas(boundaries, f"{config.output}/tiles")
+        return "", None
+    path = f"{config.output}/tiles"
+    files = [(level, input_files(spark, layer)) for level, layer in sorted(config.boundaries.items())]
+    key = stage_key("tiles", files, sorted(config.boundary_options.items()))
+
+    def tiles() -> DataFrame:
+        return tile_areas(read_boundaries(spark, config.boundaries, **config.boundary_options))
+
+    manifest.stage("tiles", path, key, tiles)
+    return key, stored_index(spark, path)

@@ -35,6 +35,10 @@ class UnreadableInput(ValueError):
     """An input without files, or none of whose files has a header."""
 
 
+#: What reading a missing, empty or headless input raises before any record is read.
+UNRESOLVED = (AnalysisException, UnreadableInput)
+
+
 @dataclass(frozen=True)
 class Layout:
     """How one feed writes its records."""
@@ -234,7 +238,7 @@ def read_tolerant(
     for path in paths:
         try:
             frames.append(read(path))
-        except (AnalysisException, UnreadableInput):
+        except UNRESOLVED:
             skipped.append(path)
     if not frames:
         raise UnreadableInput(f"no readable input among {paths}")

@@ -1,11 +1,14 @@
 import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plugsites.sinks.stage import compact, export_csv, read_csv, shared_folder, stored_bytes, write_csv, write_stage
-from plugsites.sinks.warehouse import TooManyBadRecords, load_table, parse_with_budget
+from plugsites.sinks.warehouse import TooManyBadRecords, load_table, parse_with_budget, replace_table
 from plugsites.sources.delimited import Layout, UnreadableInput, landed_lines, read_tolerant, scan_delimited, scan_feed
 
 
@@ -177,3 +180,58 @@ def test_one_more_leaves_the_table_alone(spark, tmp_path):
     assert spark.table("loaded_sites").count() == 400
     bad = load_table(spark, f"{tmp_path}/part-9.csv", SCHEMA, "loaded_sites", budget=98)
     assert spark.table("loaded_sites").count() == 0 and bad.count() == 98
+
+
+def test_a_load_that_fails_half_way_leaves_the_table(spark):
+    spark.sql("DROP TABLE IF EXISTS replaced_sites")
+    first = replace_table(spark.range(400), "replaced_sites")
+    versions = Path(first.removeprefix("file:")).parent
+    begun = spark.table("replaced_sites")
+    spoiled = F.when(F.col("id") == 900, F.raise_error(F.lit("no such site"))).otherwise(F.col("id"))
+    with pytest.raises(Exception, match="no such site"):
+        replace_table(spark.range(0, 1000, 1, 8).select(spoiled.cast("long").alias("id")), "replaced_sites")
+    assert spark.table("replaced_sites").count() == 400
+    assert [path.name for path in versions.iterdir()] == [Path(first).name], "what was written is gone"
+
+    replace_table(spark.range(7), "replaced_sites")
+    assert spark.table("replaced_sites").count() == 7
+    assert begun.count() == 400, "a reader keeps the version it began with"
+    replace_table(spark.range(8), "replaced_sites")
+    assert spark.table("replaced_sites").count() == 8
+    assert len(list(versions.iterdir())) == 2
+
+
+def test_a_table_may_be_replaced_from_itself_and_with_other_columns(spark):
+    spark.sql("DROP TABLE IF EXISTS replaced_sites")
+    replace_table(spark.range(5), "replaced_sites")
+    replace_table(spark.table("replaced_sites").where("id > 1"), "replaced_sites")
+    assert sorted(row.id for row in spark.table("replaced_sites").collect()) == [2, 3, 4]
+    replace_table(spark.table("replaced_sites").selectExpr("id", "'x' AS name"), "replaced_sites")
+    assert spark.table("replaced_sites").columns == ["id", "name"]
+
+
+FAILING_TASK = """
+import os, sys
+from pyspark.sql import SparkSession, functions as F
+from plugsites.sinks.stage import write_stage
+
+spark = SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false").getOrCreate()
+folder = sys.argv[1]
+
+def once(batches):
+    for batch in batches:
+        yield batch
+    if not os.path.exists(folder + "/failed"):
+        open(folder + "/failed", "w").close()
+        raise RuntimeError("lost after all its rows were handed on")
+
+rows = spark.range(0, 1000, 1, 4).mapInArrow(once, "id long")
+print("FOUND", write_stage(rows, folder + "/stage", {"rows": F.count(F.lit(1)), "odd": F.count_if(F.expr("id % 2 = 1"))}))
+"""
+
+
+def test_metrics_are_exact_when_a_task_fails_once(tmp_path):
+    command = [sys.executable, "-c", FAILING_TASK, str(tmp_path)]
+    done = subprocess.run(command, capture_output=True, text=True, timeout=180, check=False)
+    assert (tmp_path / "failed").exists(), done.stderr[-2000:]
+    assert "FOUND {'rows': 1000, 'odd': 500}" in done.stdout

@@ -1,13 +1,18 @@
 """The whole run on small hand-written feed files."""
 
 import datetime as dt
+import shutil
+from dataclasses import replace
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
+from plugsites.plans import registry
 from plugsites.plans.feeds import FEED_A, FEED_B, FEED_C, transform_feed
 from plugsites.plans.registry import RunConfig, run
 from plugsites.schema import CANONICAL
-from plugsites.sinks.stage import read_csv
+from plugsites.sinks.stage import read_csv, shared_folder
 from plugsites.sources.delimited import scan_feed
 
 DATA = "tests/data"
@@ -147,3 +152,81 @@ def test_absent_columns_become_typed_nulls(spark):
     row = transform_feed(raw, FEED_C, 2026)
     assert [field.dataType for field in row.schema.fields[:16]] == [field.dataType for field in CANONICAL.fields]
     assert row.first().state == "UNKNOWN"
+
+
+def copied_feeds(tmp_path):
+    feeds = {}
+    for name in "abc":
+        feeds[name] = str(tmp_path / f"feed_{name}.csv")
+        shutil.copyfile(f"{DATA}/feed_{name}.csv", feeds[name])
+    return feeds
+
+
+@pytest.fixture
+def scanned(monkeypatch):
+    """Files that a run scans."""
+    names = []
+    scan = registry.scan_feed
+
+    def counted(spark, paths, layout):
+        names.append(Path(paths).name)
+        return scan(spark, paths, layout)
+
+    monkeypatch.setattr(registry, "scan_feed", counted)
+    return names
+
+
+def test_a_run_that_broke_goes_on_where_it_stopped(spark, tmp_path, scanned, monkeypatch):
+    config = RunConfig(copied_feeds(tmp_path), str(tmp_path / "out"), 2026, {1: f"{DATA}/states.geojsonl"})
+    transform = registry.transform_feed
+
+    def broken(raw, spec, *rest):
+        rows = transform(raw, spec, *rest)
+        return rows.withColumn("city", F.raise_error(F.lit("feed c is broken"))) if spec.name == "c" else rows
+
+    monkeypatch.setattr(registry, "transform_feed", broken)
+    with pytest.raises(Exception, match="feed c is broken"):
+        run(spark, config)
+    assert scanned == ["feed_a.csv", "feed_b.csv", "feed_c.csv"]
+    monkeypatch.setattr(registry, "transform_feed", transform)
+    scanned.clear()
+    report = run(spark, config)
+    assert scanned == ["feed_c.csv"]
+    whole = run(spark, replace(config, output=str(tmp_path / "other")))
+    assert report.counts == whole.counts
+    assert sorted(map(str, report.sites.collect())) == sorted(map(str, whole.sites.collect()))
+
+
+def test_only_what_changed_is_made_again(spark, tmp_path, scanned):
+    config = RunConfig(copied_feeds(tmp_path), str(tmp_path / "out"), 2026)
+    first = run(spark, config)
+    scanned.clear()
+    again = run(spark, config)
+    assert scanned == [] and again.counts == first.counts
+
+    with open(config.feeds["c"], "a", encoding="utf-8") as file:
+        file.write(Path(config.feeds["c"]).read_text("utf-8").splitlines()[1] + "\n")
+    assert run(spark, config).counts["c"]["rows"] == first.counts["c"]["rows"] + 1
+    assert scanned == ["feed_c.csv"]
+
+    scanned.clear()
+    run(spark, replace(config, last_year=2019))
+    assert scanned == ["feed_a.csv", "feed_b.csv", "feed_c.csv"]
+
+
+def test_stages_that_lost_files_are_made_again(spark, tmp_path, scanned):
+    config = RunConfig(copied_feeds(tmp_path), str(tmp_path / "out"), 2026)
+    first = run(spark, config)
+    scanned.clear()
+    for part in (tmp_path / "out" / "b" / "checked").glob("part-*"):
+        part.unlink()
+    shutil.rmtree(tmp_path / "out" / "sites")
+    assert run(spark, config).counts == first.counts
+    assert scanned == ["feed_b.csv"]
+
+
+def test_scratch_tables_are_gone_after_a_run(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("plugsites.sinks.stage._scratch_base", lambda spark: str(tmp_path / "shared"))
+    run(spark, RunConfig(copied_feeds(tmp_path), str(tmp_path / "out"), 2026, table="plugsites_scratch"))
+    assert list((tmp_path / "shared").iterdir()) == []
+    assert Path(shared_folder(spark, "kept")).parent == tmp_path / "shared"
