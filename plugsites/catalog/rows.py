@@ -105,9 +105,8 @@ def max_capacity(spark: SparkSession, folder: str) -> DataFrame:
 def distinct_tokens(spark: SparkSession, folder: str) -> DataFrame:
     lists = F.array(F.col("o_orderpriority"), F.col("o_orderstatus"))
     orders = table(spark, folder, "orders").select("o_custkey", lists.alias("plug_types"))
-    return orders.groupBy("o_custkey").agg(
-        F.array_join(consolidate.distinct_tokens(F.col("plug_types")), ",").alias("plug_types")
-    )
+    tokens = consolidate.distinct_tokens(orders, ["o_custkey"], ["plug_types"])
+    return tokens.select("o_custkey", F.array_join("plug_types", ",").alias("plug_types"))
 
 
 _REASONS_SQL = " UNION ALL ".join(

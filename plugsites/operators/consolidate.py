@@ -1,15 +1,17 @@
 """One row per site: first within each feed, then across feeds.
 
 Every aggregate here combines before the shuffle, so a site that holds a large
-part of all rows reaches its reducer as one row per task. List aggregates use
-sets for the same reason: their buffers grow with the distinct values, not with
-the rows.
+part of all rows reaches its reducer as one row per task, and lists meet as
+their distinct elements.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plugsites.functions.plugs import powers_text
 from plugsites.operators.missing import known, stored
@@ -46,16 +48,56 @@ def max_capacity(column: Column) -> Column:
     return F.max(column)
 
 
-def distinct_tokens(lists: Column) -> Column:
-    """Aggregate: all different elements of all lists, sorted.
+def distinct_tokens(df: DataFrame, keys: list[str], lists: list[str]) -> DataFrame:
+    """One row per key: all different elements of each list column, sorted.
+
+    Elements are reduced to one of each per key before and in the first exchange, which
+    deals a key's elements over all tasks. What then comes together for a key are its
+    different elements alone, however many rows or different lists it has. A key without
+    any element has empty lists; NULL elements are left out.
+    """
+    elements = F.flatten(
+        F.array(
+            *[
+                F.transform(
+                    F.coalesce(F.col(name), F.array().cast(df.schema[name].dataType)),
+                    partial(_element, place, df.schema, lists),
+                )
+                for place, name in enumerate(lists)
+            ]
+        )
+    )
+    once = df.select(*keys, F.explode_outer(elements).alias("element")).distinct()
+    return once.groupBy(*keys).agg(
+        *[
+            F.array_sort(
+                F.array_compact(F.collect_list(F.col("element")[name]))
+            ).alias(name)
+            for name in lists
+        ]
+    )
+
+
+def _element(place: int, schema: T.StructType, lists: list[str], value: Column) -> Column:
+    """A list's element beside NULLs for the other lists, so that all have one type."""
+    return F.struct(
+        *[
+            (value if n == place else F.lit(None).cast(schema[name].dataType.elementType)).alias(name)
+            for n, name in enumerate(lists)
+        ]
+    )
+
+
+def merged_tokens(lists: Column) -> Column:
+    """Aggregate: all different elements, sorted, of the few lists of one key.
 
-    Lists are short (one element per plug); the set holds each different list once.
+    For rows that are one per feed and site already; ``distinct_tokens`` is for any rows.
     """
-    return F.array_sort(F.array_distinct(F.flatten(F.collect_set(lists))))
+    return F.array_sort(F.array_distinct(F.flatten(F.collect_list(lists))))
 
 
 def consolidate(stations: DataFrame, order: list[str]) -> DataFrame:
-    """Merge the feeds' site rows into the consolidated table.
+    """Merge the feeds' site rows, one per feed and site, into the consolidated table.
 
     Text columns take the first value in feed order that is more than white space.
     Area columns pass over missing markers, too: a failed lookup in one feed does
@@ -65,8 +107,8 @@ def consolidate(stations: DataFrame, order: list[str]) -> DataFrame:
         "commissioning_date": latest_date(F.col("commissioning_date")),
         "number_of_charging_points": total_points(F.col("number_of_charging_points")),
         "power_connection_capacity": max_capacity(F.col("power_connection_capacity")),
-        "plug_types": F.array_join(distinct_tokens(F.col("plug_types")), ","),
-        "power_capacities_kw": powers_text(distinct_tokens(F.col("power_capacities_kw"))),
+        "plug_types": F.array_join(merged_tokens(F.col("plug_types")), ","),
+        "power_capacities_kw": powers_text(merged_tokens(F.col("power_capacities_kw"))),
     }
     areas = set(LEVEL_COLUMNS.values())
     for name in CANONICAL.names:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plugsites.operators.shape import union_sources
+from plugsites.sinks.stage import shared_folder, write_stage
 from plugsites.sources.records import line_patterns, numbered_records, stage_lines
 
 # monotonically_increasing_id keeps the row's place in its partition in these bits.
@@ -177,29 +178,77 @@ def scan_landed(spark: SparkSession, paths: str | list[str], layout: Layout) ->
 
 
 def _from_stage(spark: SparkSession, files: list[str], layout: Layout) -> list[DataFrame]:
-    """Records of staged lines, parsed under their own file's header; one table per header."""
+    """Records of staged lines, each parsed under its own file's header, as one table."""
+    numbered = _numbered(spark, files, layout)
+    # One per file; a header that is never closed is none.
+    headers = numbered.where("line = 0 AND NOT unclosed").select("file", "value").collect()
+    headers = {row.file: row.value for row in headers}
+    if not headers:
+        return []
+    rows = numbered.where((F.col("line") > 0) & ~F.col("value").rlike(BLANK))
+    schemas = {header: _schema(spark, header, layout) for header in sorted(set(headers.values()))}
+    if len(schemas) == 1:
+        (schema,) = schemas.values()
+        parsed = F.from_csv("value", schema.toDDL(), layout.csv_options())
+        return [rows.select(parsed.alias("row")).select("row.*")]
+    return [_by_place(rows, headers, schemas, layout)]
+
+
+def _by_place(
+    rows: DataFrame, headers: dict[str, str], schemas: dict[str, T.StructType], layout: Layout
+) -> DataFrame:
+    """Rows of files with different headers in one pass: values are parsed by place, and a
+    table of each file's places moves them to their columns. Names that differ in case only
+    are one column."""
+    names: dict[str, str] = {}
+    for schema in schemas.values():
+        for name in schema.names:
+            names.setdefault(name.lower(), name)
+    places = {
+        header: [{name.lower(): n for n, name in enumerate(schema.names)}.get(name) for name in names]
+        for header, schema in schemas.items()
+    }
+    # As many rows as there are files, which the driver has listed.
+    table = rows.sparkSession.createDataFrame(
+        [(file, places[header]) for file, header in headers.items()], "file string, places array<int>"
+    )
+    width = max(len(schema) for schema in schemas.values())
+    by_place = ", ".join(f"_c{n} STRING" for n in range(width))
+    parsed = F.from_csv("value", by_place, layout.csv_options())
+    values = rows.join(F.broadcast(table), "file").select("places", parsed.alias("row"))
+    values = values.select("places", F.array(*[F.col(f"row._c{n}") for n in range(width)]).alias("values"))
+    return values.select(
+        *[F.get("values", F.get("places", n)).alias(name) for n, name in enumerate(names.values())]
+    )
+
+
+def _numbered(spark: SparkSession, files: list[str], layout: Layout) -> DataFrame:
+    """``value, file, line, unclosed`` of all records, headers included as line 0.
+
+    Where records have to be put together, that is done once, into a stage, for headers
+    and rows and any number of different headers.
+    """
     lines = _without_preamble(stage_lines(spark, files, layout), layout.preamble)
-    plain, records = lines.select("value", "file", "line"), None
-    if layout.records != "lines":
-        opened = [] if layout.records == "quoted" else _open_files(lines)
-        if layout.records == "quoted" or opened:
-            inside = F.lit(True) if layout.records == "quoted" else F.col("file").isin(opened)
-            records = numbered_records(lines.where(inside).drop("line"))
-            plain = None if layout.records == "quoted" else plain.where(~inside)
-    parts = [part for part in (plain, records) if part is not None]
-    numbered = union_sources(parts)
-    groups: dict[str, list[str]] = {}
-    for row in numbered.where("line = 0").select("value", "file").collect():  # one per file
-        groups.setdefault(row.value, []).append(row.file)
-    tables = []
-    for header, names in sorted(groups.items()):
-        rows = numbered.where((F.col("line") > 0) & ~F.col("value").rlike(BLANK))
-        if len(groups) > 1:
-            of_header = spark.createDataFrame([(name,) for name in names], "file string")
-            rows = rows.join(F.broadcast(of_header), "file", "left_semi")
-        parsed = F.from_csv("value", _schema(spark, header, layout).toDDL(), layout.csv_options())
-        tables.append(rows.select(parsed.alias("row")).select("row.*"))
-    return tables
+    plain = lines.select("value", "file", "line", F.lit(False).alias("unclosed"))
+    opened = _open_files(lines) if layout.records == "auto" else []
+    if layout.records != "quoted" and not opened:
+        return plain
+    inside = F.lit(True) if layout.records == "quoted" else F.col("file").isin(opened)
+    records = numbered_records(lines.where(inside).drop("line"))
+    parts = [records] if layout.records == "quoted" else [plain.where(~inside), records]
+    path = shared_folder(spark, "records")
+    write_stage(union_sources(parts), path)
+    return spark.read.parquet(path)
+
+
+def unclosed_lines(spark: SparkSession, paths: str | list[str], layout: Layout) -> DataFrame:
+    """``raw, file``: lines of records whose quoted value is never closed.
+
+    A scan parses each of them by itself, so what follows a stray quote is not lost.
+    """
+    records = replace(layout, records="quoted")
+    found = _numbered(spark, _files(spark, paths), records).where("unclosed")
+    return found.select(F.col("value").alias("raw"), "file")
 
 
 def _open_files(lines: DataFrame) -> list[str]:

@@ -74,9 +74,13 @@ def stage_lines(spark: SparkSession, files: list[str], layout) -> DataFrame:
 
 
 def numbered_records(lines: DataFrame) -> DataFrame:
-    """``value, file, line``: the text of each record and its number in its file.
+    """``value, file, line, unclosed``: the text of each record and its number in its file.
 
-    Texts are shuffled once, by split; only records of several lines are grouped.
+    Texts are shuffled once, by split; only records of several lines are grouped. A value
+    that is still open at the end of its file has no end to be found: the states of the
+    splits tell, and the lines of that record are given out one by one, ``unclosed``. So a
+    stray quote in a large file makes no record of the rest of it. They are numbered on
+    from the record that they would have made, in no order among them.
     """
     split = ["file", "split"]
     lines = _with_state(lines, split, "id")
@@ -112,8 +116,12 @@ def numbered_records(lines: DataFrame) -> DataFrame:
     begun = F.when(F.col("entering") == 0, F.col("starts_outside")).otherwise(F.col("starts_inside"))
     splits = splits.withColumn("begun", begun)
     splits = splits.withColumn("earlier", F.sum("begun").over(by_split) - F.col("begun"))
+    # One row per split still: the file's last record, if its value is never closed.
+    of_file = Window.partitionBy("file")
+    last = F.max_by("leaving", "split").over(of_file) == 1
+    splits = splits.withColumn("unclosed", F.when(last, F.sum("begun").over(of_file) - 1))
 
-    lines = lines.join(splits.select(*split, "entering", "earlier"), split)
+    lines = lines.join(splits.select(*split, "entering", "earlier", "unclosed"), split)
     lines = lines.withColumns(
         {
             "starts": starts(F.col("entering")),
@@ -122,12 +130,14 @@ def numbered_records(lines: DataFrame) -> DataFrame:
     )
     running = in_order.rowsBetween(Window.unboundedPreceding, 0)
     lines = lines.withColumn("line", F.col("earlier") + F.sum("starts").over(running) - 1)
-    complete = (F.col("starts") == 1) & (F.col("open") == 0)
-    single = lines.where(complete).select("value", "file", "line")
+    unclosed = F.coalesce(F.col("line") == F.col("unclosed"), F.lit(False))
+    alone = unclosed | (F.col("starts") == 1) & (F.col("open") == 0)
+    single = lines.where(alone).select("value", "file", "line", unclosed.alias("unclosed"))
     parts = F.array_sort(F.collect_list(F.struct("split", "id", "value")))
     joined = (
-        lines.where(~complete)
+        lines.where(~alone)
         .groupBy("file", "line")
         .agg(F.array_join(F.transform(parts, lambda part: part["value"]), "\n").alias("value"))
+        .withColumn("unclosed", F.lit(False))
     )
     return single.unionByName(joined)

@@ -83,3 +83,11 @@ def test_clean_feed_of_a_wide_file_plans_quickly(spark):
 def test_raw_frame_is_rendered_once(spark, folder):
     text = plan(transform_feed(raw_a(spark, folder), FEED_A, 2026))
     assert text.count("date_format") == 1
+
+
+def test_list_elements_are_reduced_before_they_meet(spark, folder):
+    """One exchange by site and element, one of what is left by site; no set of lists."""
+    text = plan(queries()["distinct_tokens"](spark, folder))
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^\n]*?), \d+\)", text)
+    assert len(exchanges) == 2 and "element" in exchanges[1] and "element" not in exchanges[0]
+    assert "collect_set" not in text

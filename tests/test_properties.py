@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from plugsites.catalog.feeds import checked_feeds
 from plugsites.catalog.frames import LAST_YEAR, stations
 from plugsites.operators.checks import accepted, check, rejected
-from plugsites.operators.consolidate import consolidate, site_first
+from plugsites.operators.consolidate import consolidate, distinct_tokens, site_first
 from plugsites.operators.shape import align_schema, union_sources
 from plugsites.plans.registry import ORDER, feed_sites, registry
 from plugsites.schema import CANONICAL, SITE_KEY
@@ -103,3 +103,15 @@ def test_bounds_are_valid_and_nothing_is_said_about_null(spark):
     ).withColumn("commissioning_date", F.lit(None).cast("date"))
     found = [row.violations for row in check(rows, 2026).collect()]
     assert found == [[], [], ["bbox"], ["bbox", "count_range", "missing_coordinates"], ["bbox", "count_range"]]
+
+
+def test_distinct_elements_of_any_number_of_lists(spark):
+    rows = [(1, ["b", "a"], [2.0]), (1, ["a", "c", None], None), (2, None, None), (3, [], [1.0, 1.0])]
+    many = [(4, [f"x{n % 7}", f"y{n}"], [float(n % 3)]) for n in range(500)]
+    df = spark.createDataFrame(rows + many, "site int, plugs array<string>, powers array<double>")
+    found = {r.site: (r.plugs, r.powers) for r in distinct_tokens(df, ["site"], ["plugs", "powers"]).collect()}
+    expected = sorted({f"x{n}" for n in range(7)} | {f"y{n}" for n in range(500)})
+    assert found.pop(4) == (expected, [0.0, 1.0, 2.0])
+    assert found == {1: (["a", "b", "c"], [2.0]), 2: ([], []), 3: ([], [1.0])}
+    empty = spark.createDataFrame([], df.schema)
+    assert distinct_tokens(empty, ["site"], ["plugs"]).collect() == []

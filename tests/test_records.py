@@ -6,8 +6,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from plugsites.sources.delimited import Layout, scan_delimited
-from plugsites.sources.records import line_patterns
+from plugsites.sources import delimited
+from plugsites.sources.delimited import Layout, UnreadableInput, scan_delimited, unclosed_lines
+from plugsites.sources.records import line_patterns, numbered_records, stage_lines
 
 PIECES = ["a", "b c", "ä", ",", ";", '\\"', "\n", "\n\n", ",\n", '\\"\n', "x" * 40]
 
@@ -96,7 +97,7 @@ def test_long_values_do_not_exhaust_the_stack(spark, tmp_path):
 
 def test_texts_are_shuffled_once(spark, tmp_path):
     (tmp_path / "1.csv").write_text(generated(5, 50))
-    stitched = scan_delimited(spark, str(tmp_path), Layout(records="quoted"))
+    stitched = numbered_records(stage_lines(spark, [str(tmp_path / "1.csv")], Layout(records="quoted")))
     stitched.collect()
     text = stitched._jdf.queryExecution().executedPlan().toString()
     final = text[: text.index("Initial Plan")]
@@ -104,3 +105,49 @@ def test_texts_are_shuffled_once(spark, tmp_path):
     assert len(by_split) == 2, "the texts, and the states alone for the summary"
     assert len(re.findall(r"- ReusedExchange \[[^]]*value#", final)) == 1
     assert "FileScan text" not in final
+
+
+def test_many_headers_are_numbered_and_parsed_in_one_pass(spark, tmp_path, monkeypatch):
+    (tmp_path / "1.csv").write_text('id,text,note\n1,"a\nb",x\n2,c\n')
+    (tmp_path / "2.csv").write_text('note,ID,text\ny,3,"d\ne",too many\n')
+    (tmp_path / "3.csv").write_text('text,id,extra,text\n"f\n",4,z,g\n')
+    made = []
+    monkeypatch.setattr(delimited, "numbered_records", lambda lines: made.append(numbered_records(lines)) or made[-1])
+    stitched = scan_delimited(spark, str(tmp_path), Layout())
+    rows = stitched.collect()
+    assert stitched.columns == ["id", "text", "note", "text0", "extra", "text3"]
+    assert sorted(map(tuple, rows)) == [
+        ("1", "a\nb", "x", None, None, None),
+        ("2", "c", None, None, None, None),
+        ("3", "d\ne", "y", None, None, None),
+        ("4", None, None, "f\n", "z", "g"),
+    ]
+    text = stitched._jdf.queryExecution().executedPlan().toString()
+    final = text[: text.index("Initial Plan")]
+    assert len(made) == 1 and "Window" not in text and "Union" not in text
+    assert final.count("from_csv") == 1 and final.count("FileScan parquet") == 1
+
+
+@pytest.mark.parametrize("records", ["auto", "quoted"])
+def test_a_value_that_is_never_closed_spoils_its_own_line_only(spark, tmp_path, small_splits, records):
+    before = "".join(f'{i},"a\n{i}",x\n' for i in range(50))
+    after = "".join(f"{i},plain {i},y\n" for i in range(100, 3000))
+    (tmp_path / "1.csv").write_text(f'id,text,note\n{before}77,"never closed,z\n{after}')
+    (tmp_path / "2.csv").write_text('id,text,note\n5000,"b\nc",z\n')
+    layout = Layout(records=records)
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
+    rows = {row.id: row for row in scan_delimited(spark, str(tmp_path), layout).collect()}
+    assert len(rows) == 50 + 1 + 2900 + 1
+    assert rows["7"].text == "a\n7" and rows["5000"].text == "b\nc" and rows["2999"].text == "plain 2999"
+    assert rows["77"].text.startswith("never closed") or rows["77"].text.startswith('"never closed')
+
+    bad = unclosed_lines(spark, str(tmp_path), layout).collect()
+    assert len(bad) == 2901 and {row.file.rsplit("/", 1)[-1] for row in bad} == {"1.csv"}
+    assert max(len(row.raw) for row in bad) < 30, "line by line, never put together"
+
+
+def test_a_header_that_is_never_closed(spark, tmp_path):
+    (tmp_path / "1.csv").write_text('id,"text\n1,a\n2,b\n')
+    assert len(unclosed_lines(spark, str(tmp_path), Layout()).collect()) == 3
+    with pytest.raises(UnreadableInput):
+        scan_delimited(spark, str(tmp_path), Layout())
