@@ -18,7 +18,7 @@ from plugsites.schema import CANONICAL, SITES
 from plugsites.sinks.manifest import Manifest, input_files, stage_key
 from plugsites.sinks.stage import export_csv, scratch
 from plugsites.sinks.warehouse import load_table
-from plugsites.sources.boundaries import read_boundaries
+from plugsites.sources.boundaries import boundary_files, read_boundaries
 from plugsites.sources.delimited import UNRESOLVED, UnreadableInput, scan_feed
 
 ORDER = [SOURCE, ROW_KEY]
@@ -149,7 +149,10 @@ def stage_boundaries(
     if not config.boundaries:
         return "", None
     path = f"{config.output}/tiles"
-    files = [(level, input_files(spark, layer)) for level, layer in sorted(config.boundaries.items())]
+    files = [
+        (level, input_files(spark, boundary_files(layer)))
+        for level, layer in sorted(config.boundaries.items())
+    ]
     key = stage_key("tiles", files, sorted(config.boundary_options.items()))
 
     def tiles() -> DataFrame:
