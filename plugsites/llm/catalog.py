@@ -127,6 +127,7 @@ QUERIES = {
     "op13_language": op13_language,
 }
 ORACLE_SQL = {
+    "op5_chat_format": oracle_sql.CHAT_FORMAT,
     "op10_exact_top_k": """
 with quantised as (
   select distinct vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v

@@ -29,12 +29,18 @@ TURNS = "key long, position long, part int, role string, text string, layout str
 
 @dataclass(frozen=True)
 class Turn:
-    """One turn (or, below a list, one per element). ``role`` is a path or ``=constant``."""
+    """One turn (or, below a list, one per element). ``role`` is a path or ``=constant``;
+    ``names`` are what a layout calls the canonical roles, others stay as they are."""
 
     role: str
     text: str
     each: str = ""
     optional: bool = False
+    names: tuple[tuple[str, str], ...] = ()
+
+
+#: Role names of the layout that says who a turn is from.
+SPEAKERS = (("human", "user"), ("gpt", "assistant"), ("bot", "assistant"))
 
 
 #: Layouts by their fields; a field below a list is written ``list[].field``.
@@ -43,7 +49,7 @@ LAYOUTS: dict[tuple[str, ...], tuple[Turn, ...]] = {
     ("role", "content"): (Turn("role", "content"),),
     ("messages[].content", "messages[].role"): (Turn("role", "content", each="messages"),),
     ("conversations[].from", "conversations[].value"): (
-        Turn("from", "value", each="conversations"),
+        Turn("from", "value", each="conversations", names=SPEAKERS),
     ),
     ("prompt", "response"): (Turn("=user", "prompt"), Turn("=assistant", "response")),
     ("completion", "prompt"): (Turn("=user", "prompt"), Turn("=assistant", "completion")),
@@ -63,7 +69,6 @@ LAYOUTS: dict[tuple[str, ...], tuple[Turn, ...]] = {
         Turn("=assistant", "data.answer"),
     ),
 }
-ROLE_NAMES = {"human": "user", "gpt": "assistant", "bot": "assistant"}
 
 
 def field_paths(value, prefix: str = "") -> set[str]:
@@ -104,7 +109,7 @@ def canonical_turns(record) -> tuple[str, list[tuple[str, str]]]:
             text = _text(_at(one, turn.text))
             if text or not turn.optional:
                 role = turn.role[1:] if turn.role[0] == "=" else _text(_at(one, turn.role))
-                turns.append((ROLE_NAMES.get(role, role), text))
+                turns.append((dict(turn.names).get(role, role), text))
     return print_, turns
 
 
@@ -168,21 +173,31 @@ def _escaped(column: str) -> Column:
 
 
 def formatted_turns(turns: DataFrame) -> DataFrame:
-    """Each turn in the template's form, and whether its body is under the loss mask.
+    """Each turn in the template's form, and its loss mask.
 
-    Adds ``formatted`` (marker, escaped role, marker, escaped text, marker) and ``learned``.
-    A conversation's text is its turns' forms in order of (position, part), joined by
-    nothing; ``read_back`` undoes it. Rows of unknown layout are left out.
+    Adds ``formatted`` (marker, escaped role, marker, escaped text, marker) and ``mask``, the
+    stretches of it that are learned: first code point and number, from 0; the bodies of
+    ``LEARNED_ROLE``. A conversation's text is its turns' forms in order of (position, part),
+    joined by nothing; ``read_back`` undoes it. Rows of unknown layout are left out.
     """
     role, text = (F.coalesce(name, F.lit("")) for name in ("role", "text"))
     known = turns.where("part >= 0").withColumns({"role": role, "text": text})
-    parts = [F.lit(TURN), _escaped("role"), F.lit(BODY), _escaped("text"), F.lit(END)]
+    known = known.withColumns(
+        {
+            "head": F.concat(F.lit(TURN), _escaped("role"), F.lit(BODY)),
+            "body": _escaped("text"),
+        }
+    )
+    stretch = F.struct(
+        F.char_length("head").alias("start"), F.char_length("body").alias("length")
+    )
+    learned = F.when(F.col("role") == LEARNED_ROLE, F.array(stretch))
     return known.select(
         "key",
         "position",
         "part",
-        F.concat(*parts).alias("formatted"),
-        (F.col("role") == LEARNED_ROLE).alias("learned"),
+        F.concat("head", "body", F.lit(END)).alias("formatted"),
+        F.coalesce(learned, F.array().cast("array<struct<start:int,length:int>>")).alias("mask"),
     )
 
 
@@ -199,13 +214,14 @@ class _Conversation:
         self.key, self.turns, self.loss_chars, self.chars = key, 0, 0, 0
         self.all, self.loss = sha256(), sha256()
 
-    def add(self, formatted: str) -> None:
+    def add(self, formatted: str, mask: list[dict]) -> None:
         for role, text in parse(formatted):
             self.turns += 1
             self.all.update(f"{role}\n{text}\n".encode())
-            if role == LEARNED_ROLE:
-                self.loss_chars += len(text)
-                self.loss.update(text.encode())
+        for stretch in mask:
+            text = unescape(formatted[stretch["start"] : stretch["start"] + stretch["length"]])
+            self.loss_chars += len(text)
+            self.loss.update(text.encode())
         self.chars += len(formatted)
 
     def row(self) -> tuple:
@@ -229,7 +245,7 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of each conversation, read from its formatted text alone.
+    """Digests of each conversation, read from its formatted text and its loss mask alone.
 
     Turns are sorted within partitions and streamed, so a conversation of any length
     needs the memory of one batch. Rows without a key are one conversation; repeated
@@ -247,13 +263,13 @@ def read_back(formatted: DataFrame) -> DataFrame:
         current = None
         for batch in batches:
             rows = []
-            pairs = zip(batch.column("key").to_pylist(), batch.column("formatted").to_pylist())
-            for key, formatted in pairs:
+            columns = (batch.column(name).to_pylist() for name in ("key", "formatted", "mask"))
+            for key, formatted, mask in zip(*columns):
                 if current is None or current.key != key:
                     if current is not None:
                         rows.append(current.row())
                     current = _Conversation(key)
-                current.add(formatted)
+                current.add(formatted, mask)
             if rows:
                 yield ended(rows)
         if current is not None:
@@ -263,6 +279,6 @@ def read_back(formatted: DataFrame) -> DataFrame:
     return (
         formatted.repartition("key")
         .sortWithinPartitions(*order)
-        .select("key", "formatted")
+        .select("key", "formatted", "mask")
         .mapInArrow(digest, DIGESTS)
     )

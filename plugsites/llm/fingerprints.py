@@ -146,13 +146,17 @@ def with_next(docs: DataFrame, buckets: int) -> tuple[DataFrame, int]:
     starts = np.unique(np.array(cuts or [], np.int64))  # the largest ids of the buckets
     n = max(1, len(starts))
 
-    @F.pandas_udf("int")
-    def bucket_of(keys: pd.Series) -> pd.Series:
-        return pd.Series(n - 1 - np.searchsorted(starts, keys.to_numpy(np.int64)), dtype="int32")
-
-    dealt = keyed.select("*", bucket_of("key").alias("bucket"))
-    is_start = F.col("key").isin([int(one) for one in starts])
-    guest = F.when(is_start, F.pmod(F.col("bucket") - 1, F.lit(n)))
+    # The cuts travel with the function; the plan is of one size for any number of buckets.
+    @F.pandas_udf("bucket int, start boolean")
+    def place_of(keys: pd.Series) -> pd.DataFrame:
+        values = keys.to_numpy(np.int64)
+        above = np.searchsorted(starts, values)
+        at = np.minimum(above, max(len(starts) - 1, 0))
+        is_start = starts[at] == values if len(starts) else np.zeros(len(values), bool)
+        return pd.DataFrame({"bucket": (n - 1 - above).astype(np.int32), "start": is_start})
+
+    dealt = keyed.select("*", place_of("key").alias("at")).select("*", "at.bucket", "at.start")
+    guest = F.when(F.col("start"), F.pmod(F.col("bucket") - 1, F.lit(n)))
     places = F.array(
         F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("guest")),
         F.struct(guest.cast("int").alias("bucket"), F.lit(True).alias("guest")),

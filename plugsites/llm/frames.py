@@ -12,6 +12,8 @@ from plugsites.sinks.stage import shared_folder
 
 #: Texts are handled in portions of about this many characters, whatever a batch holds.
 PORTION_CHARS = 4_000_000
+#: Tables of a few short columns are broadcast up to so many rows.
+BROADCAST_ROWS = 100_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,6 +38,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def of_checked_size(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows, stored and counted: to be broadcast if there are at most so many, else to
+    be joined by a shuffle. For rows of a few short columns."""
+    stored = staged(df, "small")
+    return F.broadcast(stored) if stored.count() <= rows else stored
+
+
 def portions(batch: pa.RecordBatch, chars: int = PORTION_CHARS) -> Iterator[tuple[list, list]]:
     """(ids, texts) of a batch, cut by the size of the texts; a row is never cut."""
     ids, texts, held = [], [], 0

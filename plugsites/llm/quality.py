@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from plugsites.llm.char_grams import ORDER, UNIT, GramCounts, gram_keys
-from plugsites.llm.frames import staged
+from plugsites.llm.frames import of_checked_size, staged
 
 #: Characters in a block of documents.
 BLOCK_CHARS = 24_000_000
@@ -35,8 +35,9 @@ LEAST_DISCOUNT = 0.05
 #: One in so many trusted documents is not counted, and sets the thresholds instead: the
 #: model knows the texts it is made from too well to judge others by them.
 HELD_OUT = 3
-#: With fewer held-out documents a language's class takes the class's threshold.
-FEWEST = 30
+#: A threshold from n held-out documents counts n / (n + PRIOR), the rest is that of the
+#: wider group: a language's class in its length class, this one in all.
+PRIOR = 30
 #: Log perplexities are told apart in steps of this size.
 STEP = 0.001
 #: Characters scored at once within a block.
@@ -263,6 +264,20 @@ def _limits(scored: DataFrame, groups: list[str]) -> DataFrame:
     )
 
 
+def _shrunk_limits(good: DataFrame) -> tuple[DataFrame, dict[int, float]]:
+    """Limits by language and length class, and by length class alone, for any of them."""
+    rows = {row["class"]: row for row in _limits(good, ["class"]).collect()}  # a few classes
+    all_ = _limits(good.withColumn("corpus", F.lit(0)), ["corpus"]).first()
+    common = {}
+    if all_ is not None:
+        for one in range(len(LENGTH_CLASSES) + 1):
+            n, upper = (rows[one]["n"], rows[one]["upper"]) if one in rows else (0, 0.0)
+            common[one] = (n * upper + PRIOR * all_["upper"]) / (n + PRIOR)
+    wider = F.coalesce(*[F.when(F.col("class") == one, upper) for one, upper in common.items()], F.lit(None).cast("double"))
+    upper = (F.col("n") * F.col("upper") + PRIOR * wider) / (F.col("n") + PRIOR)
+    return _limits(good, ["lang", "class"]).select("lang", "class", upper.alias("upper")), common
+
+
 def classify(
     docs: DataFrame,
     labels: DataFrame,
@@ -275,8 +290,9 @@ def classify(
 
     ``labels`` (doc_id, quality) names trusted texts: those with quality 1. Two thirds of
     them make the model, one third the thresholds. A document's threshold is that of its
-    language among documents of about its length, or of that length in all languages where
-    fewer than ``FEWEST`` set it; null, and everything is kept, where they are fewer still.
+    language among documents of about its length, drawn to that of this length in all
+    languages, and this to that of all, the more the fewer documents set it (``PRIOR``).
+    Without any held-out document there is no threshold, and everything is kept.
 
     A null or empty text has a null perplexity and is kept: nothing speaks against it. A
     null language is one of its own (an empty string). Rows without an id are scored and
@@ -294,11 +310,10 @@ def classify(
         "doc_id", "lang", "n_grams", per_char.alias("log_ppl"), _length_class().alias("class")
     )
     good = scored.where("log_ppl is not null").join(trusted.where(held_out), "doc_id")
-    enough = F.col("n") >= FEWEST
-    own = _limits(good, ["lang", "class"]).where(enough).drop("n")
-    any_ = _limits(good, ["class"]).where(enough).drop("n").withColumnRenamed("upper", "common")
-    limited = scored.join(own, ["lang", "class"], "left").join(any_, "class", "left")
-    limit = F.coalesce("upper", "common")
+    limits, common = _shrunk_limits(good)
+    limited = scored.join(of_checked_size(limits), ["lang", "class"], "left")
+    wider = [F.when(F.col("class") == one, upper) for one, upper in common.items()]
+    limit = F.coalesce("upper", *wider)
     return limited.select(
         "doc_id",
         "lang",

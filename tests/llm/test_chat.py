@@ -94,3 +94,32 @@ def test_query_equals_plain_hashing(spark, folder):
     rows = [tuple(r) for r in table.select("conv_id", "turn", "role", "text").collect()]
     got = {r[0]: tuple(r)[1:] for r in QUERIES["op5_chat_format"](spark, folder).collect()}
     assert got == plain_digests(rows + CONTROL_CONVERSATION)
+
+
+def test_roles_of_a_table_with_roles_stay(spark):
+    assert chat.canonical_turns({"role": "human", "text": "a"})[1] == [("human", "a")]
+    record = {"messages": [{"role": "bot", "content": "b"}]}
+    assert chat.canonical_turns(record)[1] == [("bot", "b")]
+    rows = [(1, 0, json.dumps({"role": "human", "text": "a"})), (1, 1, json.dumps({"role": "gpt", "text": "b"}))]
+    records = spark.createDataFrame(rows, "key long, position long, record string")
+    (row,) = chat.read_back(chat.formatted_turns(chat.turns_of(records))).collect()
+    assert row.turns_sha256 == sha256(b"human\na\ngpt\nb\n").hexdigest() and row.loss_chars == 0
+
+
+def test_loss_is_what_the_mask_says(spark):
+    rows = [(1, 0, 0, "user", "<s>q", ""), (1, 1, 0, "assistant", "a\\<|b", ""), (1, 2, 0, "assistant", "é", "")]
+    turns = chat.formatted_turns(spark.createDataFrame(rows, chat.TURNS))
+    (row,) = chat.read_back(turns).collect()
+    assert (row.loss_chars, row.loss_sha256) == (6, sha256("a\\<|bé".encode()).hexdigest())
+    none = "array<struct<start:int,length:int>>"
+    (row,) = chat.read_back(turns.selectExpr("key", "position", "part", "formatted", f"CAST(array() AS {none}) AS mask")).collect()
+    assert (row.n_turns, row.loss_chars, row.loss_sha256) == (3, 0, sha256(b"").hexdigest())
+
+
+def test_query_equals_sql(spark, folder):
+    from plugsites.llm.catalog import ORACLE_SQL, QUERIES
+    from tests.oracle import connect, sorted_rows
+
+    found = QUERIES["op5_chat_format"](spark, folder)
+    expected = connect(folder).sql(ORACLE_SQL["op5_chat_format"])
+    assert sorted_rows(found.collect(), found.columns) == sorted_rows(expected.fetchall(), expected.columns)

@@ -6,6 +6,7 @@ from hashlib import sha256
 import numpy as np
 import pytest
 
+from plugsites.llm import fingerprints
 from plugsites.llm.fingerprints import (
     Multiset,
     edited_text,
@@ -103,3 +104,14 @@ def test_query_over_all_documents(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     got = QUERIES["op8_fingerprints"](spark, folder).collect()
     assert order(got) == order(expected([tuple(r) for r in docs.collect()]))
+
+
+def test_ten_thousand_buckets_do_not_grow_the_plan(spark):
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "CAST(id AS STRING) AS text")
+    sizes = []
+    for buckets in (10, 10_000):
+        rows, n = fingerprints.with_next(docs, buckets)
+        sizes.append(len(rows._jdf.queryExecution().analyzed().toString()))
+        guests = rows.where("guest").select("bucket").distinct().count()
+        assert guests == n > 0.9 * buckets
+    assert abs(sizes[1] - sizes[0]) < 100

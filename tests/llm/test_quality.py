@@ -110,3 +110,16 @@ def test_held_out_documents_are_judged_alike(spark, folder):
     bad = [row.kept for row in rows if row.quality == 0]
     assert sum(good) / len(good) > 0.97
     assert sum(bad) / len(bad) < 0.4  # from 85 trusted documents in four languages
+
+
+def test_limits_of_few_documents_are_drawn_to_wider_groups(spark):
+    rows = [("en", 3, 1 + n / 1000) for n in range(500)] + [("xx", 3, 3.0)] * 5 + [("xx", 1, 2.0)]
+    good = spark.createDataFrame(rows, "lang string, class int, log_ppl double")
+    limits, common = quality._shrunk_limits(good)
+    found = {(r.lang, r["class"]): r.upper for r in limits.collect()}
+    raw = {tuple(r)[:2]: r.upper for r in quality._limits(good, ["lang", "class"]).collect()}
+    assert found[("xx", 3)] == pytest.approx((5 * raw[("xx", 3)] + 30 * common[3]) / 35)
+    assert common[3] < found[("xx", 3)] < raw[("xx", 3)] and set(common) == {0, 1, 2, 3}
+    assert abs(found[("en", 3)] - raw[("en", 3)]) < 0.1 * abs(common[3] - raw[("en", 3)]) + 1e-9
+    empty, none = quality._shrunk_limits(good.limit(0))
+    assert empty.count() == 0 and none == {}
