@@ -1,9 +1,10 @@
 """A linear-chain conditional random field over word-shape features, in numpy.
 
-Chains are runs of *marked* words: words with a digit or an @. All other words can only
-be outside of personal data, a constraint of the model that holds in training and
-decoding alike; a chain is thus independent of all others, given the shapes of the two
-words around it, and texts need no further decoding.
+Chains are runs of *marked* words: words with a digit or an @, spelled-out signs such as
+"(at)" or "dot", and the few words before and after those. All other words can only be
+outside of personal data, a constraint of the model that holds in training and decoding
+alike; a chain is thus independent of all others, given the two words around it, and
+texts need no further decoding.
 """
 
 from __future__ import annotations
@@ -16,13 +17,20 @@ import numpy as np
 
 from plugsites.llm.pii_rules import KINDS
 
-MARK = re.compile(r"[0-9@]")
+#: Signs written out; the words next to them can belong to an address.
+CUE = re.compile(r"(?i:[\[({](?:at|dot)[\])}]|(?<!\S)dot(?!\S))")
+MARK = re.compile(rf"[0-9@]|{CUE.pattern}")
+#: So many words before a cue and after it are marked, too, within so many characters.
+BEFORE_CUE, AFTER_CUE, CUE_WINDOW = 3, 1, 80
+WORD = re.compile(r"\S+")
 BLANK = re.compile(r"\s")
 SHAPE = re.compile(r"[A-Z]+|[a-z]+|[0-9]+|[^\W\d_]+|\s+|.", re.DOTALL)
 OUTSIDE = 0
 LABELS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
 #: Words and shapes longer than this share the features of their first characters.
 LONGEST_SHAPE = 40
+#: Words up to this length are features themselves.
+LONGEST_NAMED = 12
 
 
 def begin(kind: int) -> int:
@@ -30,15 +38,29 @@ def begin(kind: int) -> int:
 
 
 def marked_words(text: str) -> list[tuple[int, int]]:
-    """Bounds of the words that hold a digit or an @."""
+    """Bounds of the words that hold a digit, an @ or a cue, and of those near a cue."""
     words, at = [], 0
     while hit := MARK.search(text, at):
         start = hit.start()
         while start > at and not text[start - 1].isspace():
             start -= 1
         blank = BLANK.search(text, hit.end())
-        at = blank.start() if blank else len(text)
-        words.append((start, at))
+        end = blank.start() if blank else len(text)
+        if CUE.search(text, start, end):
+            low = max(words[-1][1] if words else 0, start - CUE_WINDOW)
+            near = [match.span() for match in WORD.finditer(text, low, start)]
+            if near and near[0][0] == low > 0 and not text[low - 1].isspace():
+                near = near[1:]  # the window begins within it
+            words += near[-BEFORE_CUE:]
+            words.append((start, end))
+            for match in list(WORD.finditer(text, end, min(len(text), end + CUE_WINDOW)))[:AFTER_CUE]:
+                cut = match.end() == end + CUE_WINDOW and not text[match.end() : match.end() + 1].isspace()
+                if not cut and not MARK.search(match.group()):
+                    words.append(match.span())
+                    end = match.end()
+        else:
+            words.append((start, end))
+        at = end
     return words
 
 
@@ -77,11 +99,19 @@ def shape(word: str) -> str:
     return "".join(parts)
 
 
-def _around(text: str, at: int, step: int) -> str:
-    """Collapsed shape of the neighbouring word, empty at the text's ends."""
+def _around(text: str, at: int, step: int) -> tuple[str, str]:
+    """Collapsed shape of the neighbouring word, empty at the text's ends, and the word."""
     window = text[at : at + 40] if step > 0 else text[max(0, at - 40) : at]
     words = window.split()
-    return re.sub(r"\d+", "", shape(words[0 if step > 0 else -1])) if words else ""
+    word = words[0 if step > 0 else -1] if words else ""
+    return re.sub(r"\d+", "", shape(word)), word
+
+
+def _named(name: str, word: str) -> list[str]:
+    """The word itself as a feature; numbers have their shapes only."""
+    word = word.strip(":,;.").lower()
+    known = word and len(word) <= LONGEST_NAMED and not any(map(str.isdigit, word))
+    return [f"{name}={word}"] if known else []
 
 
 def features(text: str, chain: list[tuple[int, int]]) -> list[list[str]]:
@@ -89,7 +119,8 @@ def features(text: str, chain: list[tuple[int, int]]) -> list[list[str]]:
     cores = [core(text, word) for word in chain]
     shapes = [shape(text[start:end]) for start, end in cores]
     plain = [re.sub(r"\d+", "", one) for one in shapes]
-    before, after = _around(text, chain[0][0], -1), _around(text, chain[-1][1], 1)
+    words = [text[start : min(end, start + 40)] for start, end in chain]
+    (before, word_before), (after, word_after) = _around(text, chain[0][0], -1), _around(text, chain[-1][1], 1)
     out = []
     for k, (one, rough) in enumerate(zip(shapes, plain)):
         left = shapes[k - 1] if k else f"<{before}"
@@ -107,6 +138,10 @@ def features(text: str, chain: list[tuple[int, int]]) -> list[list[str]]:
                 f"r+g={rough}|{right}",
                 f"@={'@' in rough}",
                 f"+={rough[:1] == '+'}",
+                *_named("w", words[k]),
+                *_named("lw", words[k - 1] if k else word_before),
+                *_named("rw", words[k + 1] if k + 1 < len(chain) else word_after),
+                *(_named("rw2", words[k + 2]) if k + 2 < len(chain) else ()),
             ]
         )
     return out

@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plugsites.llm import crf
-from plugsites.llm.frames import id_and_text, portions
+from plugsites.llm.frames import PORTION_CHARS, id_and_text, portions
+from plugsites.llm.labelled_forms import labelled_forms
 from plugsites.llm.pii_rules import KINDS, base_spans
 
 #: Bounds of the labelled table that the field is trained on.
 LABELLED_CHAINS = 3000
 LONGEST_LABELLED_CHAIN = 32
+DRAWS = 1 << 32
 
 SPAN = "array<struct<kind:string,start:int,end:int>>"
 SPAN_TYPE = pa.list_(
@@ -31,39 +34,57 @@ def labelled_chains(
 ) -> DataFrame:
     """A small labelled table: (features, labels) of chains, labelled by the base rules.
 
-    All texts are searched; the ``at_most`` chains with the smallest hash are kept. That
+    All texts are searched twice: once for the number of chains, and again for those whose
+    hash lies below the share that is needed, twice over. Of these the ``at_most`` with the
+    smallest hash are kept. So what leaves the tasks is of one size for any corpus. That
     bound, and ``LONGEST_LABELLED_CHAIN`` words to a chain, keep training small.
     """
+    slim = id_and_text(docs, id_column, text_column)
 
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def usable(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             for ids, texts in portions(batch):
-                rows = []
                 for key, text in zip(ids, texts):
-                    spans = None
-                    for chain in crf.chains(text):
-                        if len(chain) > LONGEST_LABELLED_CHAIN:
-                            continue
-                        spans = base_spans(text) if spans is None else spans
-                        row = [crf.features(text, chain), crf.gold(chain, spans)]
-                        rows.append((key, chain[0][0], json.dumps(row)))
-                if rows:
-                    keys, starts, bodies = zip(*rows)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys, pa.int64()), pa.array(starts, pa.int64()), pa.array(bodies)],
-                        ["doc_id", "start", "body"],
-                    )
-
-    found = id_and_text(docs, id_column, text_column).mapInArrow(
-        label, "doc_id long, start long, body string"
-    )
-    order = [F.xxhash64("doc_id", "start"), F.col("doc_id"), F.col("start"), F.col("body")]
-    return found.orderBy(*order).limit(at_most)
+                    short = (c for c in crf.chains(text) if len(c) <= LONGEST_LABELLED_CHAIN)
+                    yield key, text, [(_draw(key, c[0][0]), c) for c in short]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = sum(len(found) for _, _, found in usable(batches))
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    n = slim.mapInArrow(count, "n long").agg(F.sum("n")).first()[0] or 0
+    limit = DRAWS if n <= 2 * at_most else 2 * at_most * DRAWS // n
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, text, found in usable(batches):
+            drawn = [(place, chain) for place, chain in found if place < limit]
+            if drawn:
+                spans = base_spans(text)
+                bodies = [json.dumps([crf.features(text, c), crf.gold(c, spans)]) for _, c in drawn]
+                places = pa.array([place for place, _ in drawn], pa.int64())
+                yield pa.RecordBatch.from_arrays([places, pa.array(bodies)], ["place", "body"])
 
+    found = slim.mapInArrow(label, "place long, body string")
+    return found.orderBy("place", "body").limit(at_most)
 
-def train_field(labelled: DataFrame) -> crf.ChainField | None:
-    """Train on a labelled table of bounded size; None if it is empty."""
+
+def _draw(key: int | None, start: int) -> int:
+    """A number below DRAWS that follows from a chain's place."""
+    return zlib.crc32(f"{key}:{start}".encode())
+
+
+def train_field(
+    labelled: DataFrame, forms: Sequence[tuple[str, list]] | None = None
+) -> crf.ChainField | None:
+    """Train on a labelled table of bounded size and on ``forms``, (text, spans) rows with
+    what the base rules do not find, by default ``labelled_forms()``; None if the table is
+    empty."""
     rows = [json.loads(row.body) for row in labelled.select("body").collect()]
+    if not rows:
+        return None
+    for text, spans in labelled_forms() if forms is None else forms:
+        for chain in crf.chains(text):
+            rows.append([crf.features(text, chain), crf.gold(chain, spans)])
     return crf.train([row[0] for row in rows], [row[1] for row in rows])
 
 
@@ -108,6 +129,18 @@ def _mapper(field: crf.ChainField | None, masked: bool):
     return find
 
 
+def _rows_in_portions(texts: list[str | None]) -> Iterator[list[int]]:
+    rows, held = [], 0
+    for k, text in enumerate(texts):
+        if rows and held + len(text or "") > PORTION_CHARS:
+            yield rows
+            rows, held = [], 0
+        rows.append(k)
+        held += len(text or "")
+    if rows:
+        yield rows
+
+
 def mask_documents(
     docs: DataFrame,
     field: crf.ChainField | None,
@@ -117,18 +150,27 @@ def mask_documents(
     """All columns of the rows, each span of the text replaced by its kind in brackets.
 
     ``length_column``, if the rows have it, is set to the new text's code points where a
-    text changed. A null text stays null. An empty table gives no rows.
+    text changed. A null text stays null, repeated rows are changed alike. An empty table
+    gives no rows.
     """
 
+    def new_texts(texts: list[str | None]) -> Iterator[tuple[int, str]]:
+        """(row, text) of those that change, in portions of bounded size."""
+        for rows in _rows_in_portions(texts):
+            held = [texts[k] or "" for k in rows]
+            base = [base_spans(text) for text in held]
+            for k, text, own, more in zip(rows, held, base, _added(held, base, field)):
+                if own or more:
+                    yield k, mask(text, own + more)
+
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.names.index(text_column)
             texts = batch.column(at).to_pylist()
-            base = [base_spans(text or "") for text in texts]
-            added = _added([text or "" for text in texts], base, field)
-            changed = [k for k, spans in enumerate(base) if spans or added[k]]
-            for k in changed:
-                texts[k] = mask(texts[k], base[k] + added[k])
+            changed = []
+            for k, text in new_texts(texts):
+                texts[k] = text
+                changed.append(k)
             batch = batch.set_column(at, batch.field(at), pa.array(texts, batch.field(at).type))
             if length_column in batch.schema.names and changed:
                 at = batch.schema.names.index(length_column)

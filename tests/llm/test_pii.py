@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from plugsites.llm import crf, pii
+from plugsites.llm.labelled_forms import labelled_forms
 from plugsites.llm.pii_rules import KINDS, base_spans, luhn
 
 PATTERNS = {
@@ -154,3 +155,57 @@ def test_query_equals_plain_patterns(spark, folder):
         counts = [sum(kind == k for _, kind, _ in base) for k in range(4)]
         assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == counts
         assert set(parts) <= set(row.spans.split(",")) or not parts
+
+
+def found_share(field, rows):
+    """(share of spans found, share of rows without any in which something is found)."""
+    hit = spans = wrong = clean = 0
+    for text, truth in rows:
+        got = []
+        for chain in crf.chains(text):
+            (path,) = field.decode([crf.features(text, chain)])
+            got += crf.predicted_spans(text, chain, path)
+        spans += len(truth)
+        hit += sum(any(a < end and start < b and k == kind for a, k, b in got) for start, kind, end in truth)
+        clean += not truth
+        wrong += bool(got) and not truth
+    return hit / spans, wrong / clean
+
+
+def test_field_finds_held_out_forms_that_the_rules_miss():
+    held_out = labelled_forms(400, seed=77)
+    assert labelled_forms(50) == labelled_forms(50) and not {t for t, _ in held_out} & {t for t, _ in labelled_forms()}
+    missed = [row for row in held_out if row[1] and not base_spans(row[0])]
+    assert len(missed) > 0.9 * sum(bool(spans) for _, spans in held_out)
+    table = [(t, base_spans(t)) for t in labelled(1, 150)] + labelled_forms()
+    pairs = [(t, c, spans) for t, spans in table for c in crf.chains(t)]
+    field = crf.train([crf.features(t, c) for t, c, _ in pairs], [crf.gold(c, s) for _, c, s in pairs])
+    recall, false = found_share(field, [row for row in held_out if row in missed or not row[1]])
+    assert recall > 0.9 and false < 0.05, (recall, false)
+
+
+def test_words_next_to_written_signs_are_in_the_chain():
+    text = "please write to anna dot berg at mail dot org or come by"
+    (chain,) = crf.chains(text)
+    assert [text[a:b] for a, b in chain] == ["write", "to", "anna", "dot", "berg", "at", "mail", "dot", "org"]
+    assert crf.chains("no sign here, look at it") == []
+    text = "a b(at)c(dot)de f"
+    assert [text[a:b] for c in crf.chains(text) for a, b in c] == ["a", "b(at)c(dot)de", "f"]
+    assert len(crf.chains("dot " * 1000)) == 1
+
+
+def test_labelled_chains_are_drawn_below_a_share(spark):
+    docs = spark.createDataFrame([(k, f"n {k} and {k * 7}") for k in range(3000)], "doc_id long, text string")
+    rows = pii.labelled_chains(docs.repartition(7), at_most=200)
+    assert rows.count() == 200
+    assert sorted(map(str, rows.collect())) == sorted(map(str, pii.labelled_chains(docs.coalesce(1), at_most=200).collect()))
+    assert pii.labelled_chains(docs.limit(60), at_most=200).count() == 120
+
+
+def test_long_texts_are_masked_in_portions(spark, monkeypatch):
+    monkeypatch.setattr(pii, "PORTION_CHARS", 50)
+    assert list(pii._rows_in_portions(["a" * 30, None, "b" * 30, "c" * 80, ""])) == [[0, 1], [2], [3], [4]]
+    long = "word " * 200_000 + "9.9.9.9"
+    docs = spark.createDataFrame([(1, long), (1, long), (2, "")], "doc_id long, text string")
+    lengths = sorted(len(row.text) for row in pii.mask_documents(docs, None).collect())
+    assert lengths == [0, 1_000_004, 1_000_004]
