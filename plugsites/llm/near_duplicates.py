@@ -32,6 +32,8 @@ BANDS, BAND_ROWS = 36, 6
 PORTION = 1_000_000
 #: Centres of a key in one round: at least this many, more while comparisons stay few.
 CENTRES, COMPARISONS = 64, 1_000_000
+#: The classes of a key are ranked in so many parts first.
+RANKED_APART = 64
 
 SIGNED = "doc_id long, n_shingles long, d0 long, d1 long, bands array<long>"
 
@@ -106,13 +108,24 @@ def near_duplicates(
     texts = id_and_text(docs, id_column, text_column)
     signed = staged(_signed(texts, words), "signed")
     named = signed.where("doc_id is not null and d0 is not null")
-    classes = named.groupBy("d0", "d1").agg(F.min("doc_id").alias("rid"))
-    found = _components(texts, named, classes, words, percent)
+    classes = staged(
+        named.groupBy("d0", "d1").agg(F.min("doc_id").alias("rid"), F.count("*").alias("n")), "classes"
+    )
+    found = _components(texts, named, classes.drop("n"), words, percent)
     labels = classes.join(found, F.col("rid") == F.col("node"), "left").select(
-        "d0", "d1", F.coalesce("component", "rid").alias("component")
+        "d0",
+        "d1",
+        "n",
+        F.coalesce("component", "rid").alias("component"),
+        F.col("component").isNotNull().alias("linked"),
+    )
+    # A text without copies and links is its own component; only the others are looked up.
+    labels = staged(labels.where("n > 1 OR linked"), "labels")
+    labelled = _with_labels(named, labels).unionByName(
+        signed.where("doc_id is null or d0 is null").withColumn("component", F.lit(None).cast("long"))
     )
     component = F.coalesce("component", "doc_id")
-    return signed.join(labels, ["d0", "d1"], "left").select(
+    return labelled.select(
         "doc_id",
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
@@ -120,6 +133,22 @@ def near_duplicates(
     )
 
 
+def _with_labels(named: DataFrame, labels: DataFrame) -> DataFrame:
+    """``named`` with the component of its class; a class with very many copies is dealt
+    over as many tasks as a shuffle has."""
+    key = ["d0", "d1"]
+    salts = int(named.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Classes with more than a task's share of all copies: fewer than there are tasks.
+    share = (labels.agg(F.sum("n")).first()[0] or 0) // salts
+    hot = F.broadcast(labels.where(F.col("n") > share).select(*key, F.lit(salts - 1).alias("last")))
+    last = F.coalesce("last", F.lit(0))
+    salt = F.pmod(F.xxhash64("doc_id"), last + 1).cast("int")
+    rows = named.join(hot, key, "left").withColumn("salt", salt).drop("last")
+    every = F.explode(F.sequence(F.lit(0), last)).alias("salt")
+    copies = labels.join(hot, key, "left").select(*key, "component", every)
+    return rows.join(copies, [*key, "salt"], "left").select(*named.columns, "component")
+
+
 def _close(one: str, other: str, percent: int) -> F.Column:
     """No link is possible between sets of too different sizes."""
     return 100 * F.least(one, other) >= percent * F.greatest(one, other)
@@ -175,7 +204,9 @@ def _components(
     links = _linked(pairs.select(*_ordered("rid", "head.rid")).distinct(), sets, percent)
     found = connected_components(links)
     parts = _parts(met.select("key", "rid"), found)
-    unsettled = parts.join(_still_apart(parts), "key").select("rid").distinct()
+    unsettled = staged(parts.join(_still_apart(parts), "key").select("rid").distinct(), "unsettled")
+    if unsettled.isEmpty():
+        return found
     return _settled(_rare_shingles(sets.join(unsettled, "rid"), percent), found, sets, percent)
 
 
@@ -232,10 +263,16 @@ def _settled(met: DataFrame, found: DataFrame, sets: DataFrame, percent: int) ->
         aside = open_.where("part <> main")
         if done is not None:
             aside = aside.join(done, ["key", "rid"], "left_anti")
+        # The first of each key, found among the first of its parts.
+        part = F.pmod(F.xxhash64("rid"), F.lit(RANKED_APART))
+        early = F.row_number().over(Window.partitionBy("key", "deal").orderBy("rid"))
         turn = F.row_number().over(Window.partitionBy("key").orderBy("rid"))
         quota = F.greatest(F.lit(CENTRES), F.floor(F.lit(COMPARISONS) / F.col("size")))
         centres = staged(
-            aside.withColumn("turn", turn)
+            aside.withColumn("deal", part)
+            .withColumn("early", early)
+            .where(F.col("early") <= quota)
+            .withColumn("turn", turn)
             .where(F.col("turn") <= quota)
             .select(
                 "key",
