@@ -37,9 +37,14 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each group stays, that of the smallest id; of repeated rows, one."""
     grouped = near_duplicates.near_duplicates(docs, SHINGLE_WORDS, PERCENT)
     left = _without(docs, grouped.where(~F.col("kept")).select("doc_id").distinct())
+    # Ids tell which rows are repeated; no other row is moved.
+    ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
+    twice = staged(ids.where("n > 1").select("doc_id"), "repeated-ids")
+    if twice.isEmpty():
+        return left
     turn = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.asc_nulls_last("text")))
-    once = left.where("doc_id is not null").withColumn("turn", turn).where("turn = 1")
-    return once.select(*COLUMNS).unionByName(left.where("doc_id is null"))
+    once = left.join(twice, "doc_id", "left_semi").withColumn("turn", turn).where("turn = 1")
+    return once.select(*COLUMNS).unionByName(_without(left, twice))
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
