@@ -15,8 +15,8 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -184,35 +184,34 @@ def _probabilities(grams: DataFrame, model: DataFrame) -> DataFrame:
     return p.select("key", F.ln("p").alias("log_p"))
 
 
-def _score(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-    """Sums over all characters of each text of one block."""
-    keys = answers["key"].to_numpy(np.int64).view(np.uint64)
+def _score(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    """Sums over all characters of each text of one block.
+
+    The block stays in Arrow; only a portion of its texts is in Python at a time.
+    """
+    keys = answers.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    keys, values = keys[order], answers["log_p"].to_numpy(np.float64)[order]
-    texts = docs["text"].tolist()
-    sizes = np.array([len(text) for text in texts], np.int64)
-    sums = np.zeros(len(texts))
+    keys, values = keys[order], answers.column("log_p").to_numpy()[order]
+    del order
+    texts = docs.column("text")
+    sizes = pc.utf8_length(texts).to_numpy().astype(np.int64)
+    sums = np.zeros(len(sizes))
     first = 0
-    while first < len(texts):
+    while first < len(sizes):
         last, held = first, 0
-        while last < len(texts) and (last == first or held + sizes[last] <= PORTION):
+        while last < len(sizes) and (last == first or held + sizes[last] <= PORTION):
             held += sizes[last]
             last += 1
         if held:
-            grams = np.concatenate([gram_keys(text) for text in texts[first:last]])
+            portion = texts.slice(first, last - first).to_pylist()
+            grams = np.concatenate([gram_keys(text) for text in portion])
             scores = values[np.searchsorted(keys, grams)]
             some = np.flatnonzero(sizes[first:last])
             starts = (np.cumsum(sizes[first:last]) - sizes[first:last])[some]
             sums[first + some] = np.add.reduceat(scores, starts)
         first = last
-    return pd.DataFrame(
-        {
-            "doc_id": docs["doc_id"].astype("Int64"),
-            "lang": docs["lang"],
-            "n_grams": sizes,
-            "log_prob": sums,
-        }
-    )
+    columns = [docs.column("doc_id"), docs.column("lang"), pa.array(sizes), pa.array(sums)]
+    return pa.table(columns, names=["doc_id", "lang", "n_grams", "log_prob"])
 
 
 def score_documents(
@@ -238,7 +237,7 @@ def score_documents(
         answers = grams.select("block", "key").join(_probabilities(grams, model), "key")
         dealt = _dealt(texts, blocks).repartition(blocks, "block")
         pairs = dealt.groupBy("block").cogroup(answers.groupBy("block"))
-        return staged(pairs.applyInPandas(_score, SCORES), "scores")
+        return staged(pairs.applyInArrow(_score, SCORES), "scores")
 
 
 def _length_class() -> Column:
