@@ -15,6 +15,8 @@ import sys
 from array import array
 from functools import lru_cache
 
+from tokenizers.pre_tokenizers import ByteLevel
+
 from plugsites.llm.vocabularies import json_tokenizer
 
 SAFE = re.compile(r"(?<=\S) (?=\S)")
@@ -24,6 +26,10 @@ REMEMBERED = 500_000
 LONGEST_REMEMBERED = 64
 #: At most this many characters are handed to the library at once.
 CALL_CHARS = 1_000_000
+#: Words of these letters are one part in either family, and change case letter by letter.
+PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
+#: How byte-level vocabularies write a space.
+SPACE = "\u0120"
 #: Marks that no contraction and no special string begins or ends with.
 PUNCTUATION = ".,;:!?*#$%&)]"
 LAST_LATIN = "\u024f"
@@ -49,6 +55,10 @@ class ChunkEncoder:
     vocabularies that keep white space. The memory of chunks is bounded; what falls
     out of it is encoded again.
 
+    A chunk that is a plain word needs no splitting: the library's normaliser and byte
+    alphabet are applied to all such chunks in one call, where they change any letter, and
+    its model to each chunk. This costs less than half of a whole encoding.
+
     A run of punctuation after a Latin letter is a part of its own in either family, so a
     chunk is looked up without the one at its end, and the run's ids are added.
     """
@@ -56,6 +66,10 @@ class ChunkEncoder:
     def __init__(self, path: str, spaced: bool):
         self.tokenizer = json_tokenizer(path)
         self.lead = " " if spaced else ""
+        self.bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        #: A letter may be part of an added token: then no word is plain.
+        self.plain = not any(PLAIN.fullmatch(token.content.strip()) for token in added)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -104,6 +118,9 @@ class ChunkEncoder:
         for stem in stems.intersection(old):
             young[stem] = old[stem]
         whole = [piece for piece in {*missing, *stems}.difference(tails) if piece not in young]
+        plain = [piece for piece in whole if PLAIN.fullmatch(piece)] if self.plain else []
+        young.update(zip(plain, self._words(plain)))
+        whole = [piece for piece in whole if piece not in young]
         young.update(zip(whole, self._library([self.lead + piece for piece in whole])))
         ends = list({piece[len(stem) :] for piece, stem in tails.items()})
         ids_of = dict(zip(ends, self._library(ends)))
@@ -117,6 +134,23 @@ class ChunkEncoder:
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of plain words, each with the space before it if chunks have one."""
+        simple = [word.isascii() and word.islower() for word in words]
+        if not all(simple):
+            others = iter(self._spelled([word for word, is_ in zip(words, simple) if not is_]))
+            words = [word if is_ else next(others) for word, is_ in zip(words, simple)]
+        lead, tokenize = SPACE if self.lead else "", self.tokenizer.model.tokenize
+        return [_little_endian([token.id for token in tokenize(lead + word)]) for word in words]
+
+    def _spelled(self, words: list[str]) -> list[str]:
+        """Words as the model reads them; those of small ASCII letters are so already."""
+        joined = " ".join(words)
+        if self.tokenizer.normalizer:
+            joined = self.tokenizer.normalizer.normalize_str(joined)
+        ((mapped, _),) = self.bytes.pre_tokenize_str(joined)
+        return mapped.split(SPACE)
+
     def _library(self, chunks: list[str]) -> list[bytes]:
         out: list[bytes] = []
         call, held = [], 0

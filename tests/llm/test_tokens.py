@@ -48,6 +48,22 @@ def test_chunks_equal_whole_texts(name, spaced):
     assert encoder.lengths(texts) == [len(ids) for ids in expected]
 
 
+@pytest.mark.parametrize(
+    "name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)]
+)
+def test_plain_words_equal_the_whole_encoding(name, spaced):
+    from plugsites.llm.chunks import PLAIN
+
+    letters = [chr(k) for k in range(0x180) if PLAIN.fullmatch(chr(k))]
+    assert len(letters) > 200 and all(map(str.isalpha, letters))
+    draw = random.Random(3)
+    words = letters + ["".join(draw.choices(letters, k=draw.randrange(2, 30))) for _ in range(2000)]
+    words += ["".join(draw.choices("aAbeEr", k=draw.randrange(2, 9))) for _ in range(500)]
+    encoder = ChunkEncoder(default_path(name), spaced)
+    assert encoder.plain and encoder._words([]) == []
+    assert encoder._words(words) == encoder._library([encoder.lead + word for word in words])
+
+
 def test_chunk_memory_is_bounded(monkeypatch):
     from plugsites.llm import chunks
 
