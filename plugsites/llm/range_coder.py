@@ -4,12 +4,14 @@ A block is coded on its own: models, coder state and checksum start afresh with
 blocks of a segment are coded side by side, one id of each in a step, so a step is a few
 dozen numpy operations over all blocks, whatever their number.
 
-Each id's interval is a mixture of three predictions. Order 2: the id that last followed
-the two ids before it. Order 1: the id that last followed the one before. Their shares of
-the interval follow how often each has been right. Order 0 has the rest: an adaptive
-distribution over classes of ids (doubling in size), evenly within a class. The
-arithmetic coder keeps 64 bits and emits 16 at a time, with carries put into what it has
-already emitted.
+Each different id of a block has a slot, in order of its first appearance, and each id's
+interval is a mixture of three predictions. Order 2: the slot that last followed the two
+ids before it. Order 1: the slot that last followed the one before. Order 0: every slot
+by how often it has come, and a share for an id that is new. The shares follow how often
+each has been right. A new id is told by its class (classes double in size, their
+distribution adapts), then evenly within the class; of ids above 16 bits the lowest bits
+follow in a step of their own, so any id of 32 bits can be written. The arithmetic coder
+keeps 64 bits and emits 16 at a time, with carries put into what it has already emitted.
 """
 
 from __future__ import annotations
@@ -20,32 +22,46 @@ import zlib
 import numpy as np
 
 BLOCK_IDS = 2048
-#: Ids are below 2^16: classes of 256, 256, 512, ... ids.
-ID_BITS, FIRST_BITS = 16, 8
-CLASSES = ID_BITS - FIRST_BITS + 1
-SLOTS = 512
+#: So many blocks are sorted at once to find their slots.
+SORTED_BLOCKS = 256
+#: Slots are counted in 16 bits, an id at most twice a step.
+MOST_BLOCK_IDS = 1 << 14
+#: New ids are classed by their highest 16 bits at most: 256, 256, 512, ... of them.
+ID_BITS, MODEL_BITS, FIRST_BITS = 32, 16, 8
+CLASSES = MODEL_BITS - FIRST_BITS + 1
+#: Hashed contexts of a block; slots counted in groups.
+CONTEXTS, GROUP_BITS = 512, 5
+GROUP = 1 << GROUP_BITS
 RATE = 5
-#: Order 0 learns from every fourth id, twice as fast.
-EDGE_STEPS, EDGE_RATE = 4, 4
+#: The distribution over classes learns from every second step.
+EDGE_STEPS, EDGE_RATE = 2, 4
 ONE = 1 << 15
-FLOOR = 64
-MAGIC = b"IDR1"
-HEADER = struct.Struct("<4sIII")  # magic, ids, crc32 of the ids as 32 bits, units
+#: Least shares of a class, and of what is new or known: intervals are never empty.
+FLOOR, LEAST_NEW = 256, ONE // 32
+MAGIC = b"IDR2"
+#: magic, ids, crc32 of the ids as 32 bits, units, bits of an id
+HEADER = struct.Struct("<4sIIII")
 
 _U = np.uint64
 _UNIT, _HALF, _TOP = _U(16), _U(32), _U(48)
 _LEAST_RANGE = _U(1 << 48)
-_ONE16 = np.uint16(1)
 
-_class_of = np.zeros(1 << ID_BITS, np.uint8)
-for _bits in range(FIRST_BITS, ID_BITS):
+_class_of = np.zeros(1 << MODEL_BITS, np.uint8)
+for _bits in range(FIRST_BITS, MODEL_BITS):
     _class_of[1 << _bits :] = _bits - FIRST_BITS + 1
-_first_id = np.array([0, *(1 << b for b in range(FIRST_BITS, ID_BITS))], np.int64)
-_class_bits = np.array([FIRST_BITS, *range(FIRST_BITS, ID_BITS)], np.int64)
-#: The inner edges of the classes, and where they move: every class keeps half of FLOOR.
+_first_id = np.array([0, *(1 << b for b in range(FIRST_BITS, MODEL_BITS))], np.int64)
+_class_bits = np.array([FIRST_BITS, *range(FIRST_BITS, MODEL_BITS)], np.int64)
+#: The inner edges of the classes, and where they move: every class keeps FLOOR.
 _inner = np.arange(1, CLASSES, dtype=np.uint8)[:, None]
 _least_edge = _inner.astype(np.int32) * np.int32(FLOOR)
 _far_edge = _least_edge + np.int32(ONE - CLASSES * FLOOR)
+#: What a slot that gains 1 (rows 0 to GROUP - 1) or 2 adds to the sums in its group.
+_gains = np.repeat(np.triu(np.ones((GROUP, GROUP), np.uint16), 1)[None], 2, axis=0)
+_gains[1] *= 2
+_gains = _gains.reshape(2 * GROUP, GROUP)
+_numbers = np.arange((MOST_BLOCK_IDS >> GROUP_BITS) + 1, dtype=np.int16)
+#: The sums of a group as one element, to be stored at once.
+_ROW = np.dtype((np.void, 2 * GROUP))
 
 
 class BlockError(ValueError):
@@ -55,236 +71,359 @@ class BlockError(ValueError):
 class Mixer:
     """The adaptive models of all blocks of a segment; encoder and decoder run the same."""
 
-    def __init__(self, blocks: int):
+    def __init__(self, blocks: int, block_ids: int):
         self.blocks, self.steps = blocks, 0
+        self.groups = (block_ids >> GROUP_BITS) + 1
         self.lane = np.arange(blocks, dtype=np.int64)
-        self.rows = self.lane * SLOTS
-        self.last1 = np.zeros(blocks * SLOTS, np.uint16)  # id + 1, 0: none yet
-        self.last2 = np.zeros(blocks * SLOTS, np.uint16)
+        self.rows = self.lane * CONTEXTS
+        self.last1 = np.zeros(blocks * CONTEXTS, np.uint16)  # slot + 1, 0: none yet
+        self.last2 = np.zeros(blocks * CONTEXTS, np.uint16)
         self.trust1 = np.full(blocks, ONE // 8, np.int32)
         self.trust2 = np.full(blocks, ONE // 4, np.int32)
+        self.new = np.full(blocks, ONE, np.int32)
+        self.before = np.zeros(blocks, np.int64)
+        self.before2 = np.zeros(blocks, np.int64)
+        # Order 0: counts of slots, sums before each slot in its group, before each group.
+        self.known = np.zeros(blocks, np.int64)
+        self.total = np.zeros(blocks, np.int64)
+        self.counts = np.zeros(blocks * self.groups * GROUP, np.uint16)
+        self.in_group = np.zeros((blocks * self.groups, GROUP), np.uint16)
+        self.group_rows = self.in_group.view(_ROW).reshape(-1)
+        self.before_group = np.zeros((self.groups + 1, blocks), np.uint16)
         edges = np.arange(CLASSES + 1) * (ONE // CLASSES)
         edges[CLASSES] = ONE
         self.edges = np.repeat(edges.astype(np.int32)[:, None], blocks, axis=1)
-        self.before = np.zeros(blocks, np.int64)
-        self.before2 = np.zeros(blocks, np.int64)
 
     def drop_last(self) -> None:
-        for name in ("lane", "rows", "trust1", "trust2", "before", "before2"):
+        lanes = ("lane", "rows", "trust1", "trust2", "new", "before", "before2", "known", "total")
+        for name in lanes:
             setattr(self, name, getattr(self, name)[:-1])
 
     def predict(self) -> None:
-        """Predicted ids (plus one) and the shares of 2^16 that they get."""
+        """Predicted slots (plus one) and the shares of 2^32 that they, known and new ids get."""
         a = self.before * 0x9E3779B1
-        self.at1 = self.rows + (a >> 13 & (SLOTS - 1))
-        self.at2 = self.rows + ((a ^ self.before2 * 0xC2B2AE35) >> 15 & (SLOTS - 1))
-        self.id1, self.id2 = self.last1.take(self.at1), self.last2.take(self.at2)
-        self.known2 = self.id2 > 0
-        self.known1 = (self.id1 > 0) & (self.id1 != self.id2)
-        share2 = ((self.trust2 * 15 >> 3) + 1) * self.known2
+        self.at1 = self.rows + (a >> 13 & (CONTEXTS - 1))
+        self.at2 = self.rows + ((a ^ self.before2 * 0xC2B2AE35) >> 15 & (CONTEXTS - 1))
+        self.slot1, self.slot2 = self.last1.take(self.at1), self.last2.take(self.at2)
+        self.has2 = self.slot2 > 0
+        self.has1 = (self.slot1 > 0) & (self.slot1 != self.slot2)
+        share2 = ((self.trust2 * 15 >> 3) + 1) * self.has2
         left = (15 << 12) - share2
-        hits = ((self.trust1 * left >> 15) + 1) * self.known1 + share2
+        hits = ((self.trust1 * left >> 15) + 1) * self.has1 + share2
         self.share2 = share2.astype(np.int64) << 16
         self.hits = hits.astype(np.int64) << 16
-        self.rest = (1 << 32) - self.hits
+        rest = (1 << 32) - self.hits
+        self.unseen = rest * self.new >> 15
+        self.seen = rest - self.unseen
+
+    def slot_bounds(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of known slots' intervals."""
+        group = self.lane * self.groups + (slots >> GROUP_BITS)
+        flat = group * GROUP + (slots & (GROUP - 1))
+        sums = self.before_group.reshape(-1)
+        before = sums.take((slots >> GROUP_BITS) * self.blocks + self.lane).astype(np.int64)
+        before += self.in_group.reshape(-1).take(flat)
+        total = np.maximum(self.total, 1)
+        unit = self.seen // total
+        return self.hits + unit * before, unit * self.counts.take(flat)
 
-    def class_bounds(self, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and width of classes within the order-0 share."""
-        at = classes * np.int64(self.blocks) + self.lane
-        flat = self.edges.reshape(-1)
-        base = self.rest * flat.take(at) >> 15
-        return base, (self.rest * flat.take(at + self.blocks) >> 15) - base
+    def slots_at(self, inside: np.ndarray) -> np.ndarray:
+        """The known slots whose intervals hold the places."""
+        unit = np.maximum(self.seen // np.maximum(self.total, 1), 1)
+        wanted = np.minimum(inside // unit, np.maximum(self.total - 1, 0)).astype(np.uint16)
+        sums = self.before_group[: (self.steps >> GROUP_BITS) + 1, : len(wanted)]
+        below = (sums <= wanted).view(np.uint8)
+        group = np.add.reduce(below, axis=0, dtype=np.uint16).astype(np.int64) - 1
+        at = group * self.blocks + self.lane
+        left = wanted - self.before_group.reshape(-1).take(at)
+        row = self.in_group.take(self.lane * self.groups + group, axis=0)
+        below = np.packbits(row <= left[:, None]).view(np.uint32)
+        return (group << GROUP_BITS) + np.bitwise_count(below) - 1
 
-    def classes_at(self, share: np.ndarray) -> np.ndarray:
-        inner = self.edges[1:CLASSES, : len(share)]
-        return (inner <= share.astype(np.int32)).sum(axis=0)
+    def _class_bounds(self, at: np.ndarray, classes: np.ndarray):
+        """Start of classes within the share of new ids, and the width of each of their ids."""
+        edge = classes * np.int64(self.blocks) + at
+        flat, unit = self.edges.reshape(-1), self.unseen[at] >> 15
+        low = flat.take(edge)
+        each = unit * (flat.take(edge + self.blocks) - low) >> _class_bits.take(classes)
+        return unit * low, each
 
-    def learn(self, ids: np.ndarray, classes: np.ndarray, hit1: np.ndarray, hit2: np.ndarray):
-        """Called once a step, after both sides know the ids."""
+    def new_bounds(self, at: np.ndarray, heads: np.ndarray, classes: np.ndarray):
+        """Start and size of the intervals of new ids' highest bits, in the blocks ``at``."""
+        base, each = self._class_bounds(at, classes)
+        nth = heads - _first_id.take(classes)
+        return self.hits[at] + self.seen[at] + base + each * nth, each
+
+    def heads_at(self, at: np.ndarray, inside: np.ndarray) -> np.ndarray:
+        """The highest bits of new ids whose intervals hold the places."""
+        share = (inside // (self.unseen[at] >> 15)).astype(np.int32)
+        classes = np.add.reduce(self.edges[1:CLASSES, at] <= share, axis=0, dtype=np.int64)
+        base, each = self._class_bounds(at, classes)
+        nth = np.minimum((inside - base) // each, (1 << _class_bits.take(classes)) - 1)
+        return _first_id.take(classes) + nth
+
+    def bounds(self, slots, hit1, hit2, new, heads, classes) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of each block's interval of 2^32; ``new`` are those with a new id."""
+        start, size = self.slot_bounds(slots)
+        if len(new):
+            start[new], size[new] = self.new_bounds(new, heads, classes)
+        hit = np.flatnonzero(hit1 | hit2)
+        if len(hit):
+            share2, second = self.share2[hit], hit2[hit]
+            start[hit] = np.where(second, 0, share2)
+            size[hit] = np.where(second, share2, self.hits[hit] - share2)
+        return start, size
+
+    def learn(self, slots, hit1, hit2, fresh, new, classes) -> None:
+        """Called once a step, after both sides know the slots and the new ids' classes."""
         right = hit2.astype(np.int32) << 15
-        self.trust2 += ((right - self.trust2) >> RATE) * self.known2
+        self.trust2 += ((right - self.trust2) >> RATE) * self.has2
         right = hit1.astype(np.int32) << 15
-        self.trust1 += ((right - self.trust1) >> RATE) * (self.known1 & ~hit2)
-        self.steps += 1
-        if self.steps % EDGE_STEPS == 0:
-            inner = self.edges[1:CLASSES, : len(ids)]
+        self.trust1 += ((right - self.trust1) >> RATE) * (self.has1 & ~hit2)
+        if self.steps:
+            goal = np.where(fresh, ONE - LEAST_NEW, LEAST_NEW).astype(np.int32)
+            self.new += ((goal - self.new) >> RATE) * ~(hit1 | hit2)
+        else:
+            self.new[:] = ONE * 7 // 8
+        if self.steps % EDGE_STEPS == 0 and len(new):
+            inner = self.edges[1:CLASSES, new]
             moved = np.where(_inner > classes, _far_edge, _least_edge)
-            inner += (moved - inner) >> EDGE_RATE
-        follower = (ids + 1).astype(np.uint16)
+            self.edges[1:CLASSES, new] = inner + ((moved - inner) >> EDGE_RATE)
+        again = ~fresh
+        gain = again.view(np.uint8).astype(np.uint16) + np.uint16(1)
+        group, nth = slots >> GROUP_BITS, slots & (GROUP - 1)
+        row = self.lane * self.groups + group
+        at = row * GROUP + nth
+        self.counts[at] = self.counts.take(at) + gain
+        sums = self.in_group.take(row, axis=0)
+        sums += _gains.take(nth + again * GROUP, axis=0)
+        self.group_rows[row] = sums.view(_ROW).reshape(-1)
+        used = (self.steps >> GROUP_BITS) + 1
+        # Numbers are below 2^15: the sign of a difference tells the groups that come later.
+        later = group.astype(np.int16) - _numbers[1:used, None]
+        later >>= 15
+        later &= gain.view(np.int16)
+        self.before_group[1:used, : len(slots)] += later.view(np.uint16)
+        self.total += gain
+        self.known += fresh
+        self.steps += 1
+        if self.steps % GROUP == 0:
+            self.before_group[self.steps >> GROUP_BITS, : len(slots)] = self.total
+        follower = (slots + 1).astype(np.uint16)
         self.last1[self.at1] = follower
         self.last2[self.at2] = follower
         self.before2 = self.before
-        self.before = ids
+        self.before = slots
 
 
-def _hit_intervals(mixer: Mixer, hit1, hit2, start, size) -> tuple[np.ndarray, np.ndarray]:
-    """Start and size of each id's interval of 2^32, predicted ids' where they were right."""
-    hit = hit1 | hit2
-    if hit.any():
-        start = np.where(hit, mixer.share2 * hit1, start)
-        size = np.where(hit, np.where(hit2, mixer.share2, mixer.hits - mixer.share2), size)
-    return start, size
+def _slots(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each id of each row: its slot in the row, and whether it is new there."""
+    n = rows.shape[1]
+    order = np.argsort(rows, axis=1, kind="stable")
+    ordered = np.take_along_axis(rows, order, 1)
+    opens = np.ones(rows.shape, bool)
+    opens[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
+    # Of equal ids the first in the row comes first; the others have its place's slot.
+    place = np.maximum.accumulate(np.where(opens, np.arange(n, dtype=np.int32), 0), axis=1)
+    first = np.empty(rows.shape, np.int32)
+    np.put_along_axis(first, order, np.take_along_axis(order, place, 1).astype(np.int32), 1)
+    fresh = first == np.arange(n)
+    numbers = np.cumsum(fresh, axis=1, dtype=np.int32) - 1
+    return np.take_along_axis(numbers, first, 1), fresh
+
+
+class _Writer:
+    """Coder states and emitted units of all blocks of a segment."""
+
+    def __init__(self, blocks: int, limit: int):
+        self.out = np.zeros(blocks * limit, np.uint16)
+        self.start = np.arange(blocks, dtype=np.int64) * limit
+        self.place = self.start.copy()
+        self.low = np.zeros(blocks, _U)
+        self.span = np.full(blocks, np.iinfo(_U).max, _U)
+
+    def _carry(self, lanes: np.ndarray) -> None:
+        at = self.place[lanes] - 1
+        while len(at):
+            self.out[at] += np.uint16(1)
+            at = at[self.out[at] == 0] - 1
+
+    def narrow(self, lanes, start: np.ndarray, size: np.ndarray) -> None:
+        """The blocks ``lanes`` (a slice from 0 or numbers) go on with these intervals of 2^32."""
+        low, span, place = self.low[lanes], self.span[lanes], self.place[lanes]
+        unit = span >> _HALF
+        added = low + unit * start.view(_U)
+        over = np.flatnonzero(added < low)
+        if len(over):
+            self._carry(over if isinstance(lanes, slice) else lanes[over])
+        span = unit * size.view(_U)
+        while True:
+            small = span < _LEAST_RANGE
+            self.out[place] = added >> _TOP  # kept only where the place moves on
+            shift = small * _UNIT
+            added, span = added << shift, span << shift
+            place = place + small
+            if not (span < _LEAST_RANGE).any():
+                break
+        self.low[lanes], self.span[lanes], self.place[lanes] = added, span, place
+
+    def finish(self, lanes: np.ndarray) -> None:
+        """One more unit says where the interval lies; those after it read as zero."""
+        ends = self.low[lanes] + (_LEAST_RANGE - _U(1))
+        self._carry(lanes[ends < self.low[lanes]])
+        self.out[self.place[lanes]] = (ends >> _TOP).astype(np.uint16)
+        self.place[lanes] += 1
 
 
 def encode_blocks(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
-    """Ids (below 2^16) as blocks of ``block_ids``, one after another."""
+    """Ids (below 2^32) as blocks of ``block_ids`` (at most MOST_BLOCK_IDS), one after another."""
     if not len(ids):
         return b""
-    if int(ids.max()) >> ID_BITS:
-        raise ValueError(f"ids must be below {1 << ID_BITS}")
+    if int(ids.min()) < 0 or int(ids.max()) >> ID_BITS or not 0 < block_ids <= MOST_BLOCK_IDS:
+        raise ValueError(f"ids of {ID_BITS} bits in blocks of at most {MOST_BLOCK_IDS}")
+    bits = max(MODEL_BITS, int(ids.max()).bit_length())
+    extra = bits - MODEL_BITS
     blocks = -(-len(ids) // block_ids)
     short = len(ids) - (blocks - 1) * block_ids
     steps = min(block_ids, len(ids))
-    padded = np.zeros(blocks * block_ids, np.uint16)
+    padded = np.zeros(blocks * steps, np.uint32 if extra else np.uint16)
     padded[: len(ids)] = ids
-    by_step = np.ascontiguousarray(padded.reshape(blocks, block_ids).T)
-    limit = 2 * steps + 4
-    out = np.zeros(blocks * limit, np.uint16)
-    start_of = np.arange(blocks, dtype=np.int64) * limit
-    place = start_of.copy()
-    low, span = np.zeros(blocks, _U), np.full(blocks, np.iinfo(_U).max, _U)
-    mixer, n = Mixer(blocks), blocks
-
-    def carry(lanes: np.ndarray) -> None:
-        at = place[lanes] - 1
-        while len(at):
-            out[at] += np.uint16(1)
-            at = at[out[at] == 0] - 1
-
-    def finish(lanes: slice) -> None:
-        """One more unit says where the interval lies; those after it read as zero."""
-        ends = low[lanes] + (_LEAST_RANGE - _U(1))
-        over = np.flatnonzero(ends < low[lanes]) + (lanes.start or 0)
-        carry(over)
-        out[place[lanes]] = (ends >> _TOP).astype(np.uint16)
-        place[lanes] += 1
-
+    rows = padded.reshape(blocks, steps)
+    by_step = np.ascontiguousarray(rows.T)
+    slots_by_step, fresh_by_step = np.empty(by_step.shape, np.uint16), np.empty(by_step.shape, bool)
+    for k in range(0, blocks, SORTED_BLOCKS):
+        slots, fresh = _slots(rows[k : k + SORTED_BLOCKS])
+        slots_by_step[:, k : k + SORTED_BLOCKS] = slots.T
+        fresh_by_step[:, k : k + SORTED_BLOCKS] = fresh.T
+    writer = _Writer(blocks, 4 * steps + 4)
+    mixer, n = Mixer(blocks, steps), blocks
     for step in range(steps):
         if step == short and n == blocks:
-            finish(slice(blocks - 1, blocks))
+            writer.finish(np.array([n - 1]))
             n -= 1
-            if not n:
-                break
             mixer.drop_last()
-        now = by_step[step, :n].astype(np.int64)
+        if not n:
+            break
+        slots, fresh = slots_by_step[step, :n].astype(np.int64), fresh_by_step[step, :n]
+        new = np.flatnonzero(fresh)
+        fresh_ids = by_step[step].take(new).astype(np.int64)
+        heads = fresh_ids >> extra
+        classes = _class_of.take(heads)
         mixer.predict()
-        wanted = (now + 1).astype(np.uint16)
-        hit2 = (mixer.id2 == wanted) & mixer.known2
-        hit1 = (mixer.id1 == wanted) & mixer.known1
-        classes = _class_of.take(now)
-        base, width = mixer.class_bounds(classes)
-        nth, bits = now - _first_id.take(classes), _class_bits.take(classes)
-        inner = width * nth >> bits
-        start = base + inner + mixer.hits
-        size = (width * (nth + 1) >> bits) - inner
-        start, size = _hit_intervals(mixer, hit1, hit2, start, size)
-        mixer.learn(now, classes, hit1, hit2)
-        low_, span_, place_ = low[:n], span[:n], place[:n]
-        unit = span_ >> _HALF
-        added = low_ + unit * start.view(_U)
-        over = np.flatnonzero(added < low_)
-        if len(over):
-            carry(over)
-        span_[:] = unit * size.view(_U)
-        out[place_] = added >> _TOP  # kept only where the place moves on
-        small = span_ < _LEAST_RANGE
-        shift = small * _UNIT
-        low_[:] = added << shift
-        span_ <<= shift
-        place_ += small
-        again = np.flatnonzero(span_ < _LEAST_RANGE)
-        while len(again):
-            out[place_[again]] = low_[again] >> _TOP
-            place_[again] += 1
-            low_[again] <<= _UNIT
-            span_[again] <<= _UNIT
-            again = again[span_[again] < _LEAST_RANGE]
-    if n:
-        finish(slice(0, n))
+        hit2 = (mixer.slot2 == slots + 1) & mixer.has2
+        hit1 = (mixer.slot1 == slots + 1) & mixer.has1
+        writer.narrow(slice(0, n), *mixer.bounds(slots, hit1, hit2, new, heads, classes))
+        if extra and len(new):
+            tails = (fresh_ids & ((1 << extra) - 1)) << (32 - extra)
+            writer.narrow(new, tails, np.full(len(tails), 1 << (32 - extra)))
+        mixer.learn(slots, hit1, hit2, fresh, new, classes)
+    writer.finish(np.arange(n))
     pieces = []
     for k in range(blocks):
         part = ids[k * block_ids : (k + 1) * block_ids]
-        units = out[start_of[k] : place[k]]
+        units = writer.out[writer.start[k] : writer.place[k]]
         check = zlib.crc32(part.astype("<u4").tobytes())
-        pieces.append(HEADER.pack(MAGIC, len(part), check, len(units)))
+        pieces.append(HEADER.pack(MAGIC, len(part), check, len(units), bits))
         pieces.append(units.astype("<u2").tobytes())
     return b"".join(pieces)
 
 
+class _Reader:
+    """Coder states of all blocks of a segment over their units."""
+
+    def __init__(self, units: list[np.ndarray]):
+        limit = max(map(len, units)) + 8
+        self.units = np.zeros((len(units), limit), np.uint16)
+        for k, one in enumerate(units):
+            self.units[k, : len(one)] = one
+        self.units = self.units.reshape(-1)
+        self.place = np.arange(len(units), dtype=np.int64) * limit + 4
+        self.ends = np.arange(1, len(units) + 1, dtype=np.int64) * limit - 1
+        self.code = np.zeros(len(units), _U)
+        for k in range(4):
+            self.code = (self.code << _UNIT) | self.units[self.place - 4 + k]
+        self.span = np.full(len(units), np.iinfo(_U).max, _U)
+
+    def values(self, lanes) -> np.ndarray:
+        """Where the blocks' codes lie in 2^32."""
+        unit = self.span[lanes] >> _HALF
+        return np.minimum(self.code[lanes] // unit, _U(0xFFFFFFFF)).view(np.int64)
+
+    def narrow(self, lanes, start: np.ndarray, size: np.ndarray) -> None:
+        unit = self.span[lanes] >> _HALF
+        code, place = self.code[lanes] - unit * start.view(_U), self.place[lanes]
+        span, ends = unit * size.view(_U), self.ends[lanes]
+        if not span.all():
+            raise BlockError("empty interval")
+        while True:
+            small = span < _LEAST_RANGE
+            if not small.any():
+                break
+            shift = small * _UNIT
+            code = (code << shift) | self.units[np.minimum(place, ends)] * small
+            span = span << shift
+            place = place + small
+        self.code[lanes], self.span[lanes], self.place[lanes] = code, span, place
+
+
 def decode_blocks(data: bytes) -> np.ndarray:
     """The ids of consecutive blocks; BlockError if any is damaged."""
-    counts, checks, units, at = [], [], [], 0
+    counts, checks, units, widths, at = [], [], [], set(), 0
     while at < len(data):
         if len(data) - at < HEADER.size:
             raise BlockError("cut header")
-        magic, count, check, length = HEADER.unpack_from(data, at)
+        magic, count, check, length, bits = HEADER.unpack_from(data, at)
         at += HEADER.size
         if magic != MAGIC or len(data) - at < 2 * length or (counts and counts[-1] < counts[0]):
             raise BlockError("wrong header or length")
         counts.append(count)
         checks.append(check)
+        widths.add(bits)
         units.append(np.frombuffer(data, "<u2", length, at))
         at += 2 * length
     blocks = len(counts)
     if not blocks:
         return np.empty(0, np.int64)
     steps, short = counts[0], counts[-1]
-    if short > steps or any(one != steps for one in counts[:-1]):
+    if short > steps or any(one != steps for one in counts[:-1]) or not 0 < steps <= MOST_BLOCK_IDS:
         raise BlockError("blocks of different lengths")
-    limit = max(map(len, units)) + 8
-    code_units = np.zeros((blocks, limit), np.uint16)
-    for k, one in enumerate(units):
-        code_units[k, : len(one)] = one
-    code_units = code_units.reshape(-1)
-    place = np.arange(blocks, dtype=np.int64) * limit + 4
-    ends = np.arange(1, blocks + 1, dtype=np.int64) * limit - 1
-    code = np.zeros(blocks, _U)
-    for k in range(4):
-        code = (code << _UNIT) | code_units[place - 4 + k]
-    span = np.full(blocks, np.iinfo(_U).max, _U)
-    out = np.zeros((steps, blocks), np.uint16)
-    mixer, n = Mixer(blocks), blocks
+    if len(widths) > 1 or not MODEL_BITS <= bits <= ID_BITS:
+        raise BlockError("wrong width of ids")
+    extra = bits - MODEL_BITS
+    reader = _Reader(units)
+    mixer, n = Mixer(blocks, steps), blocks
+    out = np.zeros((steps, blocks), np.uint32)
+    id_of = np.zeros(blocks * steps, np.uint32)
     for step in range(steps):
         if step == short and n == blocks:
             n -= 1
-            if not n:
-                break
-            code, span, place, ends = code[:n], span[:n], place[:n], ends[:n]
             mixer.drop_last()
+        if not n:
+            break
         mixer.predict()
-        unit = span >> _HALF
-        value = np.minimum(code // unit, _U(0xFFFFFFFF)).view(np.int64)
+        value = reader.values(slice(0, n))
         hit2 = value < mixer.share2
         hit1 = ~hit2 & (value < mixer.hits)
         inside = np.maximum(value - mixer.hits, 0)
-        classes = mixer.classes_at((((inside + 1) << 15) - 1) // mixer.rest)
-        base, width = mixer.class_bounds(classes)
-        bits = _class_bits.take(classes)
-        nth = (((inside - base + 1) << bits) - 1) // width
-        inner = width * nth >> bits
-        ids = _first_id.take(classes) + nth
-        ids = np.where(hit2, mixer.id2 - _ONE16, np.where(hit1, mixer.id1 - _ONE16, ids))
-        start = base + inner + mixer.hits
-        size = (width * (nth + 1) >> bits) - inner
-        start, size = _hit_intervals(mixer, hit1, hit2, start, size)
-        if int(ids.max()) >> ID_BITS or int(ids.min()) < 0:
+        fresh = inside >= mixer.seen
+        new = np.flatnonzero(fresh)
+        slots = np.where(fresh, mixer.known, mixer.slots_at(inside))
+        slots = np.where(hit2, mixer.slot2, np.where(hit1, mixer.slot1, slots + 1)) - np.int64(1)
+        heads = mixer.heads_at(new, inside[new] - mixer.seen[new])
+        if int(heads.max(initial=0)) >> MODEL_BITS or (slots >= mixer.known + fresh).any():
             raise BlockError("impossible id")
-        mixer.learn(ids, _class_of.take(ids), hit1, hit2)
-        out[step, :n] = ids
-        code -= unit * start.view(_U)
-        span = unit * size.view(_U)
-        small = span < _LEAST_RANGE
-        shift = small * _UNIT
-        code = (code << shift) | code_units[np.minimum(place, ends)] * small
-        span <<= shift
-        place += small
-        again = np.flatnonzero(span < _LEAST_RANGE)
-        while len(again):
-            after = code_units[np.minimum(place[again], ends[again])]
-            code[again] = (code[again] << _UNIT) | after
-            place[again] += 1
-            span[again] <<= _UNIT
-            again = again[span[again] < _LEAST_RANGE]
+        classes = _class_of.take(heads)
+        reader.narrow(slice(0, n), *mixer.bounds(slots, hit1, hit2, new, heads, classes))
+        at = mixer.lane * steps + slots
+        if len(new):
+            ids = heads << extra
+            if extra:
+                tails = reader.values(new) >> (32 - extra)
+                reader.narrow(new, tails << (32 - extra), np.full(len(new), 1 << (32 - extra)))
+                ids = ids + tails
+            id_of[at[new]] = ids
+        out[step, :n] = id_of.take(at)
+        mixer.learn(slots, hit1, hit2, fresh, new, classes)
     rows = np.ascontiguousarray(out.T)
     parts = [rows[k, :count] for k, count in enumerate(counts)]
     for part, check in zip(parts, checks):

@@ -15,7 +15,7 @@ PATH = default_path("byte_bpe_50k.json")
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 63, 64, 65, 640, 1000])
-@pytest.mark.parametrize("top", [1, 2, 300, 65536])
+@pytest.mark.parametrize("top", [1, 2, 300, 65536, 70_000, 2**32])
 def test_round_trip(n, top):
     draw = np.random.default_rng(n * 7 + top)
     for ids in (draw.integers(0, top, n), np.sort(draw.integers(0, top, n))):
@@ -23,11 +23,34 @@ def test_round_trip(n, top):
 
 
 def test_extreme_ids_and_long_runs():
-    for ids in ([65535] * 5000, [0] * 5000, [0, 65535] * 4000, list(range(65536))):
+    for ids in ([65535] * 5000, [0] * 5000, [0, 65535] * 4000, list(range(65536)),
+                [2**32 - 1] * 3000, [0, 2**32 - 1, 65536] * 2000, [255, 256, 257] * 700):
         ids = np.array(ids)
         assert (decode_blocks(encode_blocks(ids)) == ids).all()
+    for wrong in (np.array([2**32]), np.array([-1])):
+        with pytest.raises(ValueError):
+            encode_blocks(wrong)
     with pytest.raises(ValueError):
-        encode_blocks(np.array([65536]))
+        encode_blocks(np.array([1]), range_coder.MOST_BLOCK_IDS + 1)
+
+
+def test_largest_blocks():
+    ids = np.random.default_rng(8).integers(0, 2**20, 40_000)
+    ids[::3] = 7
+    size = range_coder.MOST_BLOCK_IDS
+    assert (decode_blocks(encode_blocks(ids, size)) == ids).all()
+
+
+def test_real_ids_take_fewer_bits_than_a_general_compressor(folder):
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table(f"{folder}/documents.parquet", columns=["text"]).column("text")
+    encoded = json_tokenizer(PATH).encode_batch(
+        [text or "" for text in texts.to_pylist()], add_special_tokens=False
+    )
+    ids = np.concatenate([[*one.ids, 0] for one in encoded])
+    pieces = [ids[k : k + 2048].astype("<u2").tobytes() for k in range(0, len(ids), 2048)]
+    assert len(encode_blocks(ids)) < 0.9 * sum(len(zlib.compress(one, 9)) for one in pieces)
 
 
 def test_predictable_ids_become_small():
