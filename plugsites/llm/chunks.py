@@ -6,6 +6,12 @@ split reaches over a safe boundary: either white space is dropped, or the space
 the part that follows. Encoding the chunks between safe boundaries and joining the ids
 therefore gives what encoding the whole text gives. White space means Python's, which
 contains the tokenizers' own, so doubtful cases are never boundaries.
+
+One line feed between two such characters is a boundary too: dropped like a space, or a
+part of its own, and the part that follows is then without a space.
+
+Texts are split, and their chunks told apart, looked up and replaced by ids, in Arrow and
+numpy; only chunks that are not remembered become Python strings.
 """
 
 from __future__ import annotations
@@ -15,6 +21,9 @@ import sys
 from array import array
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers.pre_tokenizers import ByteLevel
 
 from plugsites.llm.vocabularies import json_tokenizer
@@ -32,7 +41,7 @@ PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]
 SPACE = "\u0120"
 #: Marks that no contraction and no special string begins or ends with.
 PUNCTUATION = ".,;:!?*#$%&)]"
-LAST_LATIN = "\u024f"
+LETTERS = "".join(filter(PLAIN.fullmatch, map(chr, range(0x180))))
 
 
 def safe_chunks(text: str) -> list[str]:
@@ -40,12 +49,53 @@ def safe_chunks(text: str) -> list[str]:
     return SAFE.split(text)
 
 
-def _doubtful(pieces: set[str]) -> set[str]:
-    """Pieces of a split at every space whose ends show that the space was not safe."""
-    listed = list(pieces)
-    stripped = list(map(str.strip, listed))
-    found = {a for a, b in zip(listed, stripped) if a != b} if stripped != listed else set()
-    return found | {""} if "" in pieces else found
+#: Ids as they are stored and checked, whatever the machine.
+ID = np.dtype("<u4")
+
+
+def _gathered(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``ids`` with these starts and sizes, one after another."""
+    ends = np.cumsum(sizes)
+    at = np.repeat(starts - ends + sizes, sizes)
+    at += np.arange(len(at))
+    return ids[at]
+
+
+class _Remembered:
+    """Different chunks and their ids; some 30 bytes a chunk, as Python strings about 200."""
+
+    def __init__(self, chunks: pa.Array | None = None, ids=(), sizes=()):
+        self.chunks = pa.array([], pa.large_string()) if chunks is None else chunks
+        self.ids = np.asarray(ids, ID)
+        self.sizes = np.asarray(sizes, np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def __len__(self) -> int:
+        return len(self.chunks)
+
+    def places(self, chunks: pa.Array) -> np.ndarray:
+        """Where these different chunks stand; -1 for others."""
+        out = np.full(len(chunks), -1, np.int64)
+        if len(self) and len(chunks):
+            found = pc.fill_null(pc.index_in(self.chunks, value_set=chunks), -1).to_numpy()
+            here = np.flatnonzero(found >= 0)
+            out[found[here]] = here
+        return out
+
+    def of(self, places: np.ndarray) -> _Remembered:
+        sizes = self.sizes[places]
+        ids = _gathered(self.ids, self.starts[places], sizes)
+        return _Remembered(self.chunks.take(pa.array(places)), ids, sizes)
+
+    def and_(self, *others: _Remembered) -> _Remembered:
+        parts = [one for one in (self, *others) if len(one)]
+        if len(parts) < 2:
+            return parts[0] if parts else self
+        return _Remembered(
+            pa.concat_arrays([one.chunks for one in parts]),
+            np.concatenate([one.ids for one in parts]),
+            np.concatenate([one.sizes for one in parts]),
+        )
 
 
 class ChunkEncoder:
@@ -56,10 +106,10 @@ class ChunkEncoder:
     out of it is encoded again.
 
     A chunk that is a plain word needs no splitting: the library's normaliser and byte
-    alphabet are applied to all such chunks in one call, where they change any letter, and
-    its model to each chunk. This costs less than half of a whole encoding.
+    alphabet are applied to the letters once, and its model to each chunk. This costs less
+    than half of a whole encoding.
 
-    A run of punctuation after a Latin letter is a part of its own in either family, so a
+    A run of punctuation after a plain word is a part of its own in either family, so such a
     chunk is looked up without the one at its end, and the run's ids are added.
     """
 
@@ -70,78 +120,175 @@ class ChunkEncoder:
         added = self.tokenizer.get_added_tokens_decoder().values()
         #: A letter may be part of an added token: then no word is plain.
         self.plain = not any(PLAIN.fullmatch(token.content.strip()) for token in added)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        #: A plain word as a chunk; nothing matches where no word is plain.
+        self.plain_chunk = rf"\A{'[ \n]?' if spaced else ''}{PLAIN.pattern}\z"
+        if not self.plain:
+            self.plain_chunk = r"\z\A."
+        self.spelling = dict(zip(map(ord, LETTERS), self._spelled(list(LETTERS))))
+        (self.line_feed,) = self._library(["\n"])
+        self.young, self.old = _Remembered(), _Remembered()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """One byte string per text; an empty text has no ids."""
-        split = [text.split(" ") for text in texts]
-        pieces: set[str] = set()
-        for one in split:
-            pieces.update(one)
-        if doubtful := _doubtful(pieces):
-            for k, one in enumerate(split):
-                if not doubtful.isdisjoint(one):
-                    split[k] = safe_chunks(texts[k])
-            pieces = set().union(*split)
-        self._learn(pieces)
-        found = self.young
-        if self.lead:
-            first = self._library([one[0] for one in split])
-            out = [
-                head + b"".join(map(found.__getitem__, one[1:])) for head, one in zip(first, split)
-            ]
-        else:
-            out = [b"".join(map(found.__getitem__, one)) for one in split]
-        self._forget(pieces)
-        return out
+        ids, counts = self.encode_flat(texts)
+        packed = ids.tobytes()
+        ends = (4 * np.cumsum(counts)).tolist()
+        return [packed[start:end] for start, end in zip([0, *ends], ends)]
 
     def lengths(self, texts: list[str]) -> list[int]:
         """Number of ids per text."""
-        return [len(ids) // 4 for ids in self.encode(texts)]
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Afterwards the younger generation has all of the pieces."""
-        young, old = self.young, self.old
-        missing, tails = [], {}
-        for piece in pieces.difference(young):
-            ids = old.get(piece)
-            if ids is None:
-                missing.append(piece)
-                stem = piece.rstrip(PUNCTUATION)
-                if stem and stem != piece and "<" not in piece:
-                    if stem[-1] <= LAST_LATIN and stem[-1].isalpha():
-                        tails[piece] = stem
+        return self.encode_flat(texts)[1].tolist()
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and their number by text."""
+        if not texts:
+            return np.empty(0, ID), np.empty(0, np.int64)
+        marked = pc.replace_substring(
+            pa.array(texts, pa.large_string()), "\n", " \n" if self.lead else " "
+        )
+        split = pc.split_pattern(marked, " ")
+        coded = split.flatten().dictionary_encode()
+        pieces, which = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+        counts = np.diff(split.offsets.to_numpy())
+        del marked, split, coded
+        doubtful = self._doubtful(pieces)
+        if not doubtful.any():
+            return self._of_pieces(pieces, which, counts)
+        starts = np.cumsum(counts) - counts
+        again = np.logical_or.reduceat(doubtful[which], starts)
+        first = self._of_pieces(pieces, which[np.repeat(~again, counts)], counts[~again])
+        chunks = [safe_chunks(texts[k]) for k in np.flatnonzero(again)]
+        coded = pa.array([one for of in chunks for one in of], pa.large_string()).dictionary_encode()
+        second = self._of_pieces(
+            coded.dictionary,
+            coded.indices.to_numpy(zero_copy_only=False),
+            np.array([len(of) for of in chunks], np.int64),
+        )
+        sizes = np.concatenate([first[1], second[1]])
+        order = np.argsort(np.concatenate([np.flatnonzero(~again), np.flatnonzero(again)]))
+        ids = _gathered(
+            np.concatenate([first[0], second[0]]), (np.cumsum(sizes) - sizes)[order], sizes[order]
+        )
+        return ids, sizes[order]
+
+    def _doubtful(self, pieces: pa.Array) -> np.ndarray:
+        """Pieces of a split at every boundary's character whose ends show that one was not safe.
+
+        Where white space is dropped, nothing between two of them does no harm.
+        """
+        bare = pieces
+        if self.lead:
+            bare = pc.if_else(
+                pc.starts_with(pieces, "\n"), pc.utf8_slice_codeunits(pieces, 1), pieces
+            )
+        found = pc.not_equal(pc.utf8_trim_whitespace(bare), bare)
+        if self.lead:
+            found = pc.or_(found, pc.equal(bare, ""))
+        return found.to_numpy(zero_copy_only=False)
+
+    def _of_pieces(
+        self, pieces: pa.Array, which: np.ndarray, counts: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts given as the numbers of their pieces, ``counts`` of them a text."""
+        if not len(counts):
+            return np.empty(0, ID), np.empty(0, np.int64)
+        starts = np.cumsum(counts) - counts
+        used, which = np.unique(which, return_inverse=True)
+        pieces = pieces.take(pa.array(used))
+        if self.lead:
+            # A text's first chunk has no space before it, nor has one after a line feed.
+            heads, nth = np.unique(which[starts], return_inverse=True)
+            which[starts] = len(pieces) + nth
+            text = pa.large_string()
+            led = pc.binary_join_element_wise(
+                pa.scalar(self.lead, text), pieces, pa.scalar("", text)
+            )
+            led = pc.if_else(pc.starts_with(pieces, "\n"), pieces, led)
+            pieces = pa.concat_arrays([led, pieces.take(pa.array(heads))])
+            coded = pieces.dictionary_encode()  # a head may be the same as another chunk
+            which = coded.indices.to_numpy(zero_copy_only=False)[which]
+            pieces = coded.dictionary
+        table, sizes = self._of_different(pieces)
+        sizes_of = sizes[which]
+        ids = _gathered(table, (np.cumsum(sizes) - sizes)[which], sizes_of)
+        return ids, np.add.reduceat(sizes_of, starts)
+
+    def _of_different(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these pieces, one after another, and their number by piece."""
+        nothing = pa.scalar("", pa.large_string())
+        stems = pc.utf8_rtrim(pieces, characters=PUNCTUATION)
+        plain = pc.match_substring_regex(stems, self.plain_chunk)
+        bodies = pc.if_else(plain, stems, pieces).dictionary_encode()
+        tails = pc.if_else(plain, pc.utf8_ltrim(pieces, characters=LETTERS + " \n"), nothing)
+        tails = tails.dictionary_encode()
+        known, places = self._known(bodies.dictionary)
+        ends = self._library(tails.dictionary.to_pylist())
+        tail_sizes = np.array([len(one) // 4 for one in ends], np.int64)
+        tail_starts = len(known.ids) + np.cumsum(tail_sizes) - tail_sizes
+        body = places[bodies.indices.to_numpy(zero_copy_only=False)]
+        tail = tails.indices.to_numpy(zero_copy_only=False)
+        sizes = np.stack([known.sizes[body], tail_sizes[tail]], axis=1)
+        starts = np.stack([known.starts[body], tail_starts[tail]], axis=1)
+        all_ids = np.concatenate([known.ids, np.frombuffer(b"".join(ends), ID)])
+        return _gathered(all_ids, starts.reshape(-1), sizes.reshape(-1)), sizes.sum(axis=1)
+
+    def _known(self, chunks: pa.Array) -> tuple[_Remembered, np.ndarray]:
+        """A memory that has all of these chunks, and their places in it."""
+        places = self.young.places(chunks)
+        missing = np.flatnonzero(places < 0)
+        if not len(missing):
+            return self.young, places
+        wanted = chunks.take(pa.array(missing))
+        older = self.old.places(wanted)
+        n = len(self.young)
+        places[missing[older >= 0]] = n + np.arange(np.count_nonzero(older >= 0))
+        known = self.young.and_(self.old.of(older[older >= 0]))
+        n = len(known)
+        places[missing[older < 0]] = n + np.arange(np.count_nonzero(older < 0))
+        self.young = known = known.and_(self._learned(wanted.filter(pa.array(older < 0))))
+        self._forget()
+        return known, places
+
+    def _learned(self, chunks: pa.Array) -> _Remembered:
+        listed = chunks.to_pylist()
+        plain = pc.match_substring_regex(chunks, self.plain_chunk).to_pylist()
+        rest: list[str] = []
+        by_lead: dict[str, list[str]] = {}
+        for chunk, is_plain in zip(listed, plain):
+            if is_plain:
+                lead = chunk[0] if chunk[0] in " \n" else ""
+                by_lead.setdefault(lead, []).append(chunk)
             else:
-                young[piece] = ids
-        stems = set(tails.values()).difference(young)
-        for stem in stems.intersection(old):
-            young[stem] = old[stem]
-        whole = [piece for piece in {*missing, *stems}.difference(tails) if piece not in young]
-        plain = [piece for piece in whole if PLAIN.fullmatch(piece)] if self.plain else []
-        young.update(zip(plain, self._words(plain)))
-        whole = [piece for piece in whole if piece not in young]
-        young.update(zip(whole, self._library([self.lead + piece for piece in whole])))
-        ends = list({piece[len(stem) :] for piece, stem in tails.items()})
-        ids_of = dict(zip(ends, self._library(ends)))
-        for piece, stem in tails.items():
-            young[piece] = young[stem] + ids_of[piece[len(stem) :]]
-
-    def _forget(self, pieces: set[str]) -> None:
-        for piece in pieces:
-            if len(piece) > LONGEST_REMEMBERED:
-                self.young.pop(piece, None)
+                rest.append(chunk)
+        found = dict(zip(rest, self._library(rest)))
+        for lead, led in by_lead.items():
+            words = self._words([chunk[len(lead) :] for chunk in led], SPACE if lead == " " else "")
+            found.update(zip(led, [self.line_feed + ids for ids in words] if lead == "\n" else words))
+        packed = [found[chunk] for chunk in listed]
+        return _Remembered(
+            chunks, np.frombuffer(b"".join(packed), ID), [len(one) // 4 for one in packed]
+        )
+
+    def _forget(self) -> None:
+        long = pc.greater(pc.utf8_length(self.young.chunks), LONGEST_REMEMBERED)
+        long = long.to_numpy(zero_copy_only=False)
+        if long.any():
+            self.young = self.young.of(np.flatnonzero(~long))
         if len(self.young) > REMEMBERED:
-            self.old, self.young = self.young, {}
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of plain words, each with the space before it if chunks have one."""
-        simple = [word.isascii() and word.islower() for word in words]
-        if not all(simple):
-            others = iter(self._spelled([word for word, is_ in zip(words, simple) if not is_]))
-            words = [word if is_ else next(others) for word, is_ in zip(words, simple)]
-        lead, tokenize = SPACE if self.lead else "", self.tokenizer.model.tokenize
-        return [_little_endian([token.id for token in tokenize(lead + word)]) for word in words]
+            self.old, self.young = self.young, _Remembered()
+
+    def _words(self, words: list[str], lead: str | None = None) -> list[bytes]:
+        """Ids of plain words, each with the space before it if chunks have one, or with
+        another ``lead`` in the byte alphabet."""
+        if lead is None:
+            lead = SPACE if self.lead else ""
+        tokenize, spelling = self.tokenizer.model.tokenize, self.spelling
+        out = []
+        for word in words:
+            if not (word.isascii() and word.islower()):
+                word = word.translate(spelling)
+            out.append(_little_endian([token.id for token in tokenize(lead + word)]))
+        return out
 
     def _spelled(self, words: list[str]) -> list[str]:
         """Words as the model reads them; those of small ASCII letters are so already."""

@@ -74,6 +74,26 @@ def test_chunk_memory_is_bounded(monkeypatch):
         assert len(encoder.young) <= 50 and len(encoder.old) <= 110
 
 
+@pytest.mark.parametrize(
+    "name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)]
+)
+def test_few_chunks_are_learned_and_they_take_little_room(name, spaced):
+    """Words at a line end or before punctuation are not learned once for each neighbour."""
+    words = ["".join(pair) for pair in zip("abcdefghijklmnopqrstuvwxyzäöüß" * 2, "ab" * 30)][:30]
+    texts = [f"{a}, {a}.\n{b}! {a}\n{b}" for a in words for b in words]
+    tokenizer = json_tokenizer(default_path(name))
+    expected = [one.ids for one in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    encoder = ChunkEncoder(default_path(name), spaced)
+    ids, counts = encoder.encode_flat(texts)
+    assert counts.tolist() == list(map(len, expected))
+    assert ids.tolist() == [one for of in expected for one in of]
+    assert len(encoder.young) <= 3 * len(words)
+    draw = random.Random(1)
+    encoder.encode(["".join(draw.choices("abcdefgh", k=9)) for _ in range(20_000)])
+    held = (encoder.young.chunks, encoder.young.ids, encoder.young.sizes, encoder.young.starts)
+    assert sum(one.nbytes for one in held) < 80 * len(encoder.young)
+
+
 @pytest.mark.parametrize("leaf_chars", [1, 7, 64])
 def test_tree_equals_whole_texts(leaf_chars):
     ranks = rank_encoder(RANKS, public_tokenizers.PATTERN)
