@@ -45,6 +45,12 @@ def of_checked_size(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(stored) if stored.count() <= rows else stored
 
 
+def release_memory() -> None:
+    """What Arrow keeps for later goes back to the system: a worker outlives its task, and
+    other stages need the memory."""
+    pa.default_memory_pool().release_unused()
+
+
 def portions(batch: pa.RecordBatch, chars: int = PORTION_CHARS) -> Iterator[tuple[list, list]]:
     """(ids, texts) of a batch, cut by the size of the texts; a row is never cut."""
     ids, texts, held = [], [], 0

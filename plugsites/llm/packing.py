@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from plugsites.llm.chunks import chunk_encoder
-from plugsites.llm.frames import id_and_text, portions, staged
+from plugsites.llm.frames import id_and_text, portions, release_memory, staged
 
 END_ID = b"\x00\x00\x00\x00"
 PIECES = (
@@ -63,6 +63,7 @@ def token_pieces(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)], names
                 )
+        release_memory()
 
     return id_and_text(docs, id_column, text_column).mapInArrow(encode, PIECES)
 

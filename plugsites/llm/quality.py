@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from plugsites.llm.char_grams import ORDER, UNIT, GramCounts, gram_keys
-from plugsites.llm.frames import of_checked_size, staged
+from plugsites.llm.frames import of_checked_size, release_memory, staged
 
 #: Characters in a block of documents.
 BLOCK_CHARS = 24_000_000
@@ -93,6 +93,7 @@ def _counted(docs: DataFrame, trusted: DataFrame, blocks: int) -> DataFrame:
                     grams.add(gram_keys(text), key in marked)
         if block is not None:
             yield ended()
+        release_memory()
 
     ordered = dealt.sortWithinPartitions("block", F.desc("mark"))
     return ordered.select("block", "mark", "doc_id", "text").mapInArrow(count, GRAMS)
@@ -210,6 +211,7 @@ def _score(docs: pa.Table, answers: pa.Table) -> pa.Table:
             starts = (np.cumsum(sizes[first:last]) - sizes[first:last])[some]
             sums[first + some] = np.add.reduceat(scores, starts)
         first = last
+    release_memory()
     columns = [docs.column("doc_id"), docs.column("lang"), pa.array(sizes), pa.array(sums)]
     return pa.table(columns, names=["doc_id", "lang", "n_grams", "log_prob"])
 
