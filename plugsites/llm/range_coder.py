@@ -1,17 +1,19 @@
-"""Adaptive context-mixing range coder for token ids, many blocks in step.
-
-A block is coded on its own: models, coder state and checksum start afresh with it. All
-blocks of a segment are coded side by side, one id of each in a step, so a step is a few
-dozen numpy operations over all blocks, whatever their number.
-
-Each different id of a block has a slot, in order of its first appearance, and each id's
-interval is a mixture of three predictions. Order 2: the slot that last followed the two
-ids before it. Order 1: the slot that last followed the one before. Order 0: every slot
-by how often it has come, and a share for an id that is new. The shares follow how often
-each has been right. A new id is told by its class (classes double in size, their
-distribution adapts), then evenly within the class; of ids above 16 bits the lowest bits
-follow in a step of their own, so any id of 32 bits can be written. The arithmetic coder
-keeps 64 bits and emits 16 at a time, with carries put into what it has already emitted.
+"""Context-mixing entropy coder for token ids, many blocks in step.
+
+A block is coded on its own: models, coder states and checksum start afresh with it. Its
+ids lie in streams of consecutive ids, coded side by side with those of all blocks of a
+segment: a step is a few dozen numpy operations over all streams, whatever their number.
+
+Each different id of a block has a slot, and each id's interval is a mixture of three
+predictions. Order 2: the slot that last followed the two ids before it, in any of the
+block's streams. Order 1: the slot that last followed the one before. Order 0: every slot
+by how often these two miss it. The shares of orders 2 and 1 are how often each is right in
+the block, by whether they have a prediction and agree. The block begins with these shares
+and with its ids, ascending, and their counts. An id may have 32 bits.
+
+The encoder finds what each prediction says by sorting places by context, all at once, and
+codes from a stream's end to its begin; the decoder follows step by step. A coder state is
+below 2^63 and moves 32 bits at a time (asymmetric numerals with the counts as they are).
 """
 
 from __future__ import annotations
@@ -22,257 +24,213 @@ import zlib
 import numpy as np
 
 BLOCK_IDS = 2048
-#: So many blocks are sorted at once to find their slots.
-SORTED_BLOCKS = 256
-#: Slots are counted in 16 bits, an id at most twice a step.
+#: A block of more ids has several streams, each of at least this many.
+STREAM_IDS = 2048
+#: Places are sorted as 32 bits with their context.
 MOST_BLOCK_IDS = 1 << 14
-#: New ids are classed by their highest 16 bits at most: 256, 256, 512, ... of them.
-ID_BITS, MODEL_BITS, FIRST_BITS = 32, 16, 8
-CLASSES = MODEL_BITS - FIRST_BITS + 1
-#: Hashed contexts of a block; slots counted in groups.
-CONTEXTS, GROUP_BITS = 512, 5
-GROUP = 1 << GROUP_BITS
-RATE = 5
-#: The distribution over classes learns from every second step.
-EDGE_STEPS, EDGE_RATE = 2, 4
-ONE = 1 << 15
-#: Least shares of a class, and of what is new or known: intervals are never empty.
-FLOOR, LEAST_NEW = 256, ONE // 32
-MAGIC = b"IDR2"
-#: magic, ids, crc32 of the ids as 32 bits, units, bits of an id
-HEADER = struct.Struct("<4sIIII")
+ID_BITS = 32
+#: Shares are parts of 2^12; what both orders miss keeps at least these.
+SHARE_BITS, LEAST_MISS = 12, 6
+ONE = 1 << SHARE_BITS
+#: States are at least this, a multiple of all intervals there are, and below 2^32 times that.
+LEAST = 1 << 31
+#: A class tells whether order 1 (1) and order 2 (2) have a prediction, and the same (4).
+CLASSES, ONLY_1, ONLY_2, DIFFERENT, SAME = 8, 1, 2, 3, 7
+SHARES = 5
+MAGIC = b"IDR3"
+#: magic, ids, crc32 of the ids as 32 bits, units of 16 bits that follow, ids of a stream,
+#: streams, different ids
+HEADER = struct.Struct("<4sIIIHHH")
 
 _U = np.uint64
-_UNIT, _HALF, _TOP = _U(16), _U(32), _U(48)
-_LEAST_RANGE = _U(1 << 48)
-
-_class_of = np.zeros(1 << MODEL_BITS, np.uint8)
-for _bits in range(FIRST_BITS, MODEL_BITS):
-    _class_of[1 << _bits :] = _bits - FIRST_BITS + 1
-_first_id = np.array([0, *(1 << b for b in range(FIRST_BITS, MODEL_BITS))], np.int64)
-_class_bits = np.array([FIRST_BITS, *range(FIRST_BITS, MODEL_BITS)], np.int64)
-#: The inner edges of the classes, and where they move: every class keeps FLOOR.
-_inner = np.arange(1, CLASSES, dtype=np.uint8)[:, None]
-_least_edge = _inner.astype(np.int32) * np.int32(FLOOR)
-_far_edge = _least_edge + np.int32(ONE - CLASSES * FLOOR)
-#: What a slot that gains 1 (rows 0 to GROUP - 1) or 2 adds to the sums in its group.
-_gains = np.repeat(np.triu(np.ones((GROUP, GROUP), np.uint16), 1)[None], 2, axis=0)
-_gains[1] *= 2
-_gains = _gains.reshape(2 * GROUP, GROUP)
-_numbers = np.arange((MOST_BLOCK_IDS >> GROUP_BITS) + 1, dtype=np.int16)
-#: The sums of a group as one element, to be stored at once.
-_ROW = np.dtype((np.void, 2 * GROUP))
+_WORD, _UNIT, _SHARE = _U(32), _U(16), _U(SHARE_BITS)
+_LOW16 = _U(0xFFFF)
 
 
 class BlockError(ValueError):
     """A block is damaged: its header, length or checksum is wrong."""
 
 
-class Mixer:
-    """The adaptive models of all blocks of a segment; encoder and decoder run the same."""
-
-    def __init__(self, blocks: int, block_ids: int):
-        self.blocks, self.steps = blocks, 0
-        self.groups = (block_ids >> GROUP_BITS) + 1
-        self.lane = np.arange(blocks, dtype=np.int64)
-        self.rows = self.lane * CONTEXTS
-        self.last1 = np.zeros(blocks * CONTEXTS, np.uint16)  # slot + 1, 0: none yet
-        self.last2 = np.zeros(blocks * CONTEXTS, np.uint16)
-        self.trust1 = np.full(blocks, ONE // 8, np.int32)
-        self.trust2 = np.full(blocks, ONE // 4, np.int32)
-        self.new = np.full(blocks, ONE, np.int32)
-        self.before = np.zeros(blocks, np.int64)
-        self.before2 = np.zeros(blocks, np.int64)
-        # Order 0: counts of slots, sums before each slot in its group, before each group.
-        self.known = np.zeros(blocks, np.int64)
-        self.total = np.zeros(blocks, np.int64)
-        self.counts = np.zeros(blocks * self.groups * GROUP, np.uint16)
-        self.in_group = np.zeros((blocks * self.groups, GROUP), np.uint16)
-        self.group_rows = self.in_group.view(_ROW).reshape(-1)
-        self.before_group = np.zeros((self.groups + 1, blocks), np.uint16)
-        edges = np.arange(CLASSES + 1) * (ONE // CLASSES)
-        edges[CLASSES] = ONE
-        self.edges = np.repeat(edges.astype(np.int32)[:, None], blocks, axis=1)
-
-    def drop_last(self) -> None:
-        lanes = ("lane", "rows", "trust1", "trust2", "new", "before", "before2", "known", "total")
-        for name in lanes:
-            setattr(self, name, getattr(self, name)[:-1])
-
-    def predict(self) -> None:
-        """Predicted slots (plus one) and the shares of 2^32 that they, known and new ids get."""
-        a = self.before * 0x9E3779B1
-        self.at1 = self.rows + (a >> 13 & (CONTEXTS - 1))
-        self.at2 = self.rows + ((a ^ self.before2 * 0xC2B2AE35) >> 15 & (CONTEXTS - 1))
-        self.slot1, self.slot2 = self.last1.take(self.at1), self.last2.take(self.at2)
-        self.has2 = self.slot2 > 0
-        self.has1 = (self.slot1 > 0) & (self.slot1 != self.slot2)
-        share2 = ((self.trust2 * 15 >> 3) + 1) * self.has2
-        left = (15 << 12) - share2
-        hits = ((self.trust1 * left >> 15) + 1) * self.has1 + share2
-        self.share2 = share2.astype(np.int64) << 16
-        self.hits = hits.astype(np.int64) << 16
-        rest = (1 << 32) - self.hits
-        self.unseen = rest * self.new >> 15
-        self.seen = rest - self.unseen
-
-    def slot_bounds(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and size of known slots' intervals."""
-        group = self.lane * self.groups + (slots >> GROUP_BITS)
-        flat = group * GROUP + (slots & (GROUP - 1))
-        sums = self.before_group.reshape(-1)
-        before = sums.take((slots >> GROUP_BITS) * self.blocks + self.lane).astype(np.int64)
-        before += self.in_group.reshape(-1).take(flat)
-        total = np.maximum(self.total, 1)
-        unit = self.seen // total
-        return self.hits + unit * before, unit * self.counts.take(flat)
-
-    def slots_at(self, inside: np.ndarray) -> np.ndarray:
-        """The known slots whose intervals hold the places."""
-        unit = np.maximum(self.seen // np.maximum(self.total, 1), 1)
-        wanted = np.minimum(inside // unit, np.maximum(self.total - 1, 0)).astype(np.uint16)
-        sums = self.before_group[: (self.steps >> GROUP_BITS) + 1, : len(wanted)]
-        below = (sums <= wanted).view(np.uint8)
-        group = np.add.reduce(below, axis=0, dtype=np.uint16).astype(np.int64) - 1
-        at = group * self.blocks + self.lane
-        left = wanted - self.before_group.reshape(-1).take(at)
-        row = self.in_group.take(self.lane * self.groups + group, axis=0)
-        below = np.packbits(row <= left[:, None]).view(np.uint32)
-        return (group << GROUP_BITS) + np.bitwise_count(below) - 1
-
-    def _class_bounds(self, at: np.ndarray, classes: np.ndarray):
-        """Start of classes within the share of new ids, and the width of each of their ids."""
-        edge = classes * np.int64(self.blocks) + at
-        flat, unit = self.edges.reshape(-1), self.unseen[at] >> 15
-        low = flat.take(edge)
-        each = unit * (flat.take(edge + self.blocks) - low) >> _class_bits.take(classes)
-        return unit * low, each
-
-    def new_bounds(self, at: np.ndarray, heads: np.ndarray, classes: np.ndarray):
-        """Start and size of the intervals of new ids' highest bits, in the blocks ``at``."""
-        base, each = self._class_bounds(at, classes)
-        nth = heads - _first_id.take(classes)
-        return self.hits[at] + self.seen[at] + base + each * nth, each
-
-    def heads_at(self, at: np.ndarray, inside: np.ndarray) -> np.ndarray:
-        """The highest bits of new ids whose intervals hold the places."""
-        share = (inside // (self.unseen[at] >> 15)).astype(np.int32)
-        classes = np.add.reduce(self.edges[1:CLASSES, at] <= share, axis=0, dtype=np.int64)
-        base, each = self._class_bounds(at, classes)
-        nth = np.minimum((inside - base) // each, (1 << _class_bits.take(classes)) - 1)
-        return _first_id.take(classes) + nth
-
-    def bounds(self, slots, hit1, hit2, new, heads, classes) -> tuple[np.ndarray, np.ndarray]:
-        """Start and size of each block's interval of 2^32; ``new`` are those with a new id."""
-        start, size = self.slot_bounds(slots)
-        if len(new):
-            start[new], size[new] = self.new_bounds(new, heads, classes)
-        hit = np.flatnonzero(hit1 | hit2)
-        if len(hit):
-            share2, second = self.share2[hit], hit2[hit]
-            start[hit] = np.where(second, 0, share2)
-            size[hit] = np.where(second, share2, self.hits[hit] - share2)
-        return start, size
-
-    def learn(self, slots, hit1, hit2, fresh, new, classes) -> None:
-        """Called once a step, after both sides know the slots and the new ids' classes."""
-        right = hit2.astype(np.int32) << 15
-        self.trust2 += ((right - self.trust2) >> RATE) * self.has2
-        right = hit1.astype(np.int32) << 15
-        self.trust1 += ((right - self.trust1) >> RATE) * (self.has1 & ~hit2)
-        if self.steps:
-            goal = np.where(fresh, ONE - LEAST_NEW, LEAST_NEW).astype(np.int32)
-            self.new += ((goal - self.new) >> RATE) * ~(hit1 | hit2)
-        else:
-            self.new[:] = ONE * 7 // 8
-        if self.steps % EDGE_STEPS == 0 and len(new):
-            inner = self.edges[1:CLASSES, new]
-            moved = np.where(_inner > classes, _far_edge, _least_edge)
-            self.edges[1:CLASSES, new] = inner + ((moved - inner) >> EDGE_RATE)
-        again = ~fresh
-        gain = again.view(np.uint8).astype(np.uint16) + np.uint16(1)
-        group, nth = slots >> GROUP_BITS, slots & (GROUP - 1)
-        row = self.lane * self.groups + group
-        at = row * GROUP + nth
-        self.counts[at] = self.counts.take(at) + gain
-        sums = self.in_group.take(row, axis=0)
-        sums += _gains.take(nth + again * GROUP, axis=0)
-        self.group_rows[row] = sums.view(_ROW).reshape(-1)
-        used = (self.steps >> GROUP_BITS) + 1
-        # Numbers are below 2^15: the sign of a difference tells the groups that come later.
-        later = group.astype(np.int16) - _numbers[1:used, None]
-        later >>= 15
-        later &= gain.view(np.int16)
-        self.before_group[1:used, : len(slots)] += later.view(np.uint16)
-        self.total += gain
-        self.known += fresh
-        self.steps += 1
-        if self.steps % GROUP == 0:
-            self.before_group[self.steps >> GROUP_BITS, : len(slots)] = self.total
-        follower = (slots + 1).astype(np.uint16)
-        self.last1[self.at1] = follower
-        self.last2[self.at2] = follower
-        self.before2 = self.before
-        self.before = slots
-
-
-def _slots(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each id of each row: its slot in the row, and whether it is new there."""
-    n = rows.shape[1]
-    order = np.argsort(rows, axis=1, kind="stable")
-    ordered = np.take_along_axis(rows, order, 1)
-    opens = np.ones(rows.shape, bool)
-    opens[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
-    # Of equal ids the first in the row comes first; the others have its place's slot.
-    place = np.maximum.accumulate(np.where(opens, np.arange(n, dtype=np.int32), 0), axis=1)
-    first = np.empty(rows.shape, np.int32)
-    np.put_along_axis(first, order, np.take_along_axis(order, place, 1).astype(np.int32), 1)
-    fresh = first == np.arange(n)
-    numbers = np.cumsum(fresh, axis=1, dtype=np.int32) - 1
-    return np.take_along_axis(numbers, first, 1), fresh
-
-
-class _Writer:
-    """Coder states and emitted units of all blocks of a segment."""
-
-    def __init__(self, blocks: int, limit: int):
-        self.out = np.zeros(blocks * limit, np.uint16)
-        self.start = np.arange(blocks, dtype=np.int64) * limit
-        self.place = self.start.copy()
-        self.low = np.zeros(blocks, _U)
-        self.span = np.full(blocks, np.iinfo(_U).max, _U)
-
-    def _carry(self, lanes: np.ndarray) -> None:
-        at = self.place[lanes] - 1
-        while len(at):
-            self.out[at] += np.uint16(1)
-            at = at[self.out[at] == 0] - 1
-
-    def narrow(self, lanes, start: np.ndarray, size: np.ndarray) -> None:
-        """The blocks ``lanes`` (a slice from 0 or numbers) go on with these intervals of 2^32."""
-        low, span, place = self.low[lanes], self.span[lanes], self.place[lanes]
-        unit = span >> _HALF
-        added = low + unit * start.view(_U)
-        over = np.flatnonzero(added < low)
-        if len(over):
-            self._carry(over if isinstance(lanes, slice) else lanes[over])
-        span = unit * size.view(_U)
-        while True:
-            small = span < _LEAST_RANGE
-            self.out[place] = added >> _TOP  # kept only where the place moves on
-            shift = small * _UNIT
-            added, span = added << shift, span << shift
-            place = place + small
-            if not (span < _LEAST_RANGE).any():
-                break
-        self.low[lanes], self.span[lanes], self.place[lanes] = added, span, place
-
-    def finish(self, lanes: np.ndarray) -> None:
-        """One more unit says where the interval lies; those after it read as zero."""
-        ends = self.low[lanes] + (_LEAST_RANGE - _U(1))
-        self._carry(lanes[ends < self.low[lanes]])
-        self.out[self.place[lanes]] = (ends >> _TOP).astype(np.uint16)
-        self.place[lanes] += 1
+def _place_bits(places: int) -> int:
+    """Bits of the sum of a block's counts, and of its pairs of slots."""
+    return max(4, (places - 1).bit_length())
+
+
+def _hashes(n: int, bits: int) -> np.ndarray:
+    """For the slots below ``n``, numbers below 2^bits by which pairs of them are told apart."""
+    return (np.arange(n, dtype=np.uint64) * _U(0x9E3779B97F4A7C15) >> _U(64 - bits)).astype(np.int64)
+
+
+def _put_numbers(values: np.ndarray) -> bytes:
+    """Numbers from 1 on. Classes double in size and are told in unary, the most frequent one
+    by the fewest bits; then come the places within the classes."""
+    kind = np.frexp(values.astype(np.float64))[1] - 1
+    often = np.bincount(kind, minlength=ID_BITS + 1)
+    listed = np.argsort(-often, kind="stable")[: np.count_nonzero(often)]
+    rank = np.empty(ID_BITS + 1, np.int64)
+    rank[listed] = np.arange(len(listed))
+    ones = np.cumsum(rank[kind] + 1) - 1
+    unary = np.zeros(int(ones[-1]) + 1, bool)
+    unary[ones] = True
+    shift = kind[:, None] - np.arange(1, int(kind.max()) + 1)
+    within = (values[:, None] >> np.maximum(shift, 0) & 1) > 0
+    packed = np.packbits(np.concatenate([unary, within[shift >= 0]])).tobytes()
+    return bytes([len(listed)]) + listed.astype(np.uint8).tobytes() + struct.pack("<I", len(packed)) + packed
+
+
+def _get_numbers(data: bytes, at: int, n: int) -> tuple[np.ndarray, int]:
+    """The numbers put at ``at``, and where they end."""
+    body = at + 1 + data[at]
+    listed = np.frombuffer(data, np.uint8, data[at], at + 1).astype(np.int64)
+    (size,) = struct.unpack_from("<I", data, body)
+    end = body + 4 + size
+    if end > len(data) or listed.max(initial=0) > ID_BITS:
+        raise BlockError("wrong list")
+    bits = np.unpackbits(np.frombuffer(data, np.uint8, size, body + 4))
+    ones = np.flatnonzero(bits)[:n]
+    rank = np.diff(ones, prepend=-1) - 1
+    if len(ones) < n or rank.max() >= len(listed):
+        raise BlockError("wrong list")
+    kind = listed[rank]
+    until = np.cumsum(kind) + (int(ones[-1]) + 1)
+    if until[-1] > len(bits):
+        raise BlockError("wrong list")
+    # The bits of a number lie in the five bytes that end with the one of its last bit.
+    octets = np.frombuffer(b"\0" * 4 + data[body + 4 : end], np.uint8).astype(np.int64)
+    last = until - 1
+    last >>= 3
+    near = octets.take(last + 4, mode="clip")
+    for back in range(1, 5):
+        near |= octets.take(last + (4 - back), mode="clip") << 8 * back
+    near >>= -until & 7
+    return near & ((1 << kind) - 1) | 1 << kind, end
+
+
+def _shares(seen: np.ndarray) -> np.ndarray:
+    """From counts by class and outcome (miss, order 1, order 2, none): the block's shares."""
+    parts = seen * (ONE - LEAST_MISS - 2) // np.maximum(seen.sum(axis=1, keepdims=True), 1)
+    parts = np.maximum(parts, seen > 0)
+    return np.array(
+        [parts[ONLY_1, 1], parts[ONLY_2, 2], parts[DIFFERENT, 2], parts[DIFFERENT, 1], parts[SAME, 2]]
+    )
+
+
+def _intervals(shares: np.ndarray) -> np.ndarray:
+    """By class and outcome (miss, order 1, order 2, none): where the interval begins (low 16
+    bits) and its size; with the outcome none, the share of order 2 and that of both orders."""
+    second, both = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
+    second[[ONLY_2, DIFFERENT, SAME]] = shares[[1, 2, 4]]
+    both[[ONLY_1, ONLY_2, DIFFERENT, SAME]] = shares[[0, 1, 2, 4]]
+    both[DIFFERENT] += shares[3]
+    rows = [both | (ONE - both) << 16, second | (both - second) << 16, second << 16, second | both << 16]
+    return np.stack(rows, axis=1).reshape(-1)
+
+
+def _last_followers(contexts: np.ndarray, slots: np.ndarray, streams: int, bits: int) -> np.ndarray:
+    """For each place: the slot at the last place of the same context that an earlier step has
+    (of several streams, the last), 0 if none has. Places go by step, then stream; their
+    numbers have ``bits`` bits."""
+    key = contexts.astype(np.uint32) << np.uint32(bits)
+    key |= np.arange(len(key), dtype=np.uint32)
+    key.sort()
+    at = (key & np.uint32((1 << bits) - 1)).astype(np.int64)
+    follower = np.zeros_like(slots)
+    change = key[1:] ^ key[:-1]
+    np.multiply(slots.take(at[:-1], mode="clip"), change >> np.uint32(bits) == 0, out=follower[1:])
+    if streams > 1:
+        # All of one context and step see what the first of them sees.
+        again = np.zeros(len(key), bool)
+        np.equal(change >> np.uint32(streams.bit_length() - 1), 0, out=again[1:])
+        late, back = np.flatnonzero(again), 1
+        while len(late):
+            follower[late] = follower[late - 1]
+            late, back = late[again[late - back]], back + 1
+    out = np.empty_like(slots)
+    out[at] = follower
+    return out
+
+
+class _Plan:
+    """What the coder needs of all ids of a segment, by step and stream, and what a block
+    begins with."""
+
+    def __init__(self, steps: int, lanes: int):
+        #: Starts (above 16 bits) and sizes of intervals, of slots and of outcomes.
+        self.counted = np.zeros((steps, lanes), np.uint32)
+        self.shared = np.zeros((steps, lanes), np.uint32)
+        self.heads: list[tuple[bytes, int]] = []
+
+    def add(self, ids: np.ndarray, steps: int, streams: int) -> None:
+        """A block; the last of a segment may be shorter than its streams."""
+        n, held = steps * streams, len(ids)
+        bits, place_bits = (n - 1).bit_length(), _place_bits(n)
+        place = np.arange(n, dtype=np.uint32)
+        top = int(ids.max()) + 1
+        wide = np.uint32 if top.bit_length() + bits <= 32 else _U
+        rows = np.full(n, top, wide)  # what is missing is one more id, behind all others
+        rows[:held] = ids
+        key = rows.reshape(streams, steps).T.reshape(-1) << wide(bits)
+        key |= place
+        key.sort()
+        opens = np.ones(n, bool)
+        np.not_equal((key[1:] ^ key[:-1]) >> wide(bits), 0, out=opens[1:])
+        at = (key & wide((1 << bits) - 1)).astype(np.int64)
+        slots = np.empty(n, np.int64)
+        slots[at] = np.cumsum(opens)
+        different = (key[:held][opens[:held]] >> wide(bits)).astype(np.int64)
+        before = np.zeros(n, np.int64)
+        before[streams:] = slots[:-streams]
+        hashes = _hashes(n + 2, place_bits)
+        by_slot = hashes.take(slots, mode="clip")
+        pair = np.full(n, hashes[0])
+        pair[streams:] = by_slot[:-streams]
+        pair[: 2 * streams] ^= hashes[0] >> 1
+        pair[2 * streams :] ^= by_slot[: -2 * streams] >> 1
+        there = None
+        if held < n:
+            there = (place % streams) * steps + place // streams < held
+            before[~there], pair[~there] = n + 2, 1 << place_bits  # no other place's contexts
+        slot1 = _last_followers(before, slots, streams, bits)
+        slot2 = _last_followers(pair, slots, streams, bits)
+        kind = (slot1 > 0).view(np.uint8) | (slot2 > 0).view(np.uint8) << 1
+        kind |= (slot1 == slot2).view(np.uint8) << 2
+        hit2 = slot2 == slots
+        hit = hit2 | (slot1 == slots)
+        outcome = hit.view(np.uint8) + hit2.view(np.uint8)
+        case = (kind << 2 | outcome).astype(np.int64)
+        missed, cases = slots[~hit], case
+        if there is not None:
+            missed, cases = slots[~hit & there], case[there]
+        counts = np.bincount(missed, minlength=len(different) + 2)
+        shares = _shares(np.bincount(cases, minlength=4 * CLASSES).reshape(CLASSES, 4))
+        ends = _scaled_ends(counts, place_bits)
+        sizes = np.diff(ends, prepend=0)
+        sizes |= (ends - sizes) << 16
+        counted = sizes.astype(np.uint32).take(slots, mode="clip")
+        counted[hit] = 1 << place_bits
+        lane = len(self.heads) * streams
+        here = slice(lane, lane + streams)
+        self.counted[:, here] = counted.reshape(steps, streams)
+        self.shared[:, here] = _intervals(shares).astype(np.uint32).take(case, mode="clip").reshape(steps, streams)
+        lists = _put_numbers(np.diff(different, prepend=-1)) + _put_numbers(counts[1:-1])
+        self.heads.append((shares.astype("<u2").tobytes() + lists, len(different)))
+
+
+def _scaled_ends(counts: np.ndarray, bits: int) -> np.ndarray:
+    """Running totals of the counts, stretched to 2^bits, which is at least their sum."""
+    ends = np.cumsum(counts)
+    return (ends << bits) // ends[-1]
+
+
+def _active(lanes: int, step: int, part: int) -> int:
+    """Streams that have an id at this step; the last one ends before step ``part``."""
+    return lanes if step < part else lanes - 1
+
+
+def _layout(count: int, steps: int, streams: int, last: int) -> tuple[int, int]:
+    """Streams in use of ``count`` blocks whose last has ``last`` ids; ids of the last stream."""
+    used = -(-last // steps)
+    return (count - 1) * streams + used, last - (used - 1) * steps
 
 
 def encode_blocks(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
@@ -281,152 +239,201 @@ def encode_blocks(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
         return b""
     if int(ids.min()) < 0 or int(ids.max()) >> ID_BITS or not 0 < block_ids <= MOST_BLOCK_IDS:
         raise ValueError(f"ids of {ID_BITS} bits in blocks of at most {MOST_BLOCK_IDS}")
-    bits = max(MODEL_BITS, int(ids.max()).bit_length())
-    extra = bits - MODEL_BITS
-    blocks = -(-len(ids) // block_ids)
-    short = len(ids) - (blocks - 1) * block_ids
-    steps = min(block_ids, len(ids))
-    padded = np.zeros(blocks * steps, np.uint32 if extra else np.uint16)
-    padded[: len(ids)] = ids
-    rows = padded.reshape(blocks, steps)
-    by_step = np.ascontiguousarray(rows.T)
-    slots_by_step, fresh_by_step = np.empty(by_step.shape, np.uint16), np.empty(by_step.shape, bool)
-    for k in range(0, blocks, SORTED_BLOCKS):
-        slots, fresh = _slots(rows[k : k + SORTED_BLOCKS])
-        slots_by_step[:, k : k + SORTED_BLOCKS] = slots.T
-        fresh_by_step[:, k : k + SORTED_BLOCKS] = fresh.T
-    writer = _Writer(blocks, 4 * steps + 4)
-    mixer, n = Mixer(blocks, steps), blocks
-    for step in range(steps):
-        if step == short and n == blocks:
-            writer.finish(np.array([n - 1]))
-            n -= 1
-            mixer.drop_last()
-        if not n:
-            break
-        slots, fresh = slots_by_step[step, :n].astype(np.int64), fresh_by_step[step, :n]
-        new = np.flatnonzero(fresh)
-        fresh_ids = by_step[step].take(new).astype(np.int64)
-        heads = fresh_ids >> extra
-        classes = _class_of.take(heads)
-        mixer.predict()
-        hit2 = (mixer.slot2 == slots + 1) & mixer.has2
-        hit1 = (mixer.slot1 == slots + 1) & mixer.has1
-        writer.narrow(slice(0, n), *mixer.bounds(slots, hit1, hit2, new, heads, classes))
-        if extra and len(new):
-            tails = (fresh_ids & ((1 << extra) - 1)) << (32 - extra)
-            writer.narrow(new, tails, np.full(len(tails), 1 << (32 - extra)))
-        mixer.learn(slots, hit1, hit2, fresh, new, classes)
-    writer.finish(np.arange(n))
+    size = min(block_ids, len(ids))
+    streams = 1 << max(0, (size // STREAM_IDS).bit_length() - 1)
+    if size % streams:
+        streams = 1
+    steps, count = size // streams, -(-len(ids) // size)
+    last = len(ids) - (count - 1) * size
+    plan = _Plan(steps, count * streams)
+    for k in range(0, len(ids), size):
+        plan.add(ids[k : k + size], steps, streams)
+    lanes, short = _layout(count, steps, streams, last)
+    total = _U(1 << _place_bits(size))
+    state, times = np.full(count * streams, LEAST, _U), _U(LEAST) // (total << _SHARE)
+    width = steps + 2
+    words = np.zeros(count * streams * width, np.uint32)
+    place = np.arange(1, count * streams + 1, dtype=np.int64) * width
+    for step in range(steps - 1, -1, -1):
+        n = _active(lanes, step, short)
+        counted, shared = plan.counted[step, :n].astype(_U), plan.shared[step, :n].astype(_U)
+        freq, size_of = counted & _LOW16, shared >> _UNIT
+        x = state[:n]
+        full = np.flatnonzero(x >> _WORD >= size_of * (freq * times))
+        if len(full):
+            at = place[full] - 1
+            place[full] = at
+            much = x[full]
+            words[at] = much
+            x[full] = much >> _WORD
+        # The id's place among the counts, then that among the shares.
+        whole = x // freq
+        x += whole * (total - freq)
+        x += counted >> _UNIT
+        whole = x // size_of
+        x += whole * (_U(ONE) - size_of)
+        x += shared & _LOW16
+    place -= 2
+    words[place], words[place + 1] = state >> _WORD, state.astype(np.uint32)
+    ends = np.arange(1, len(place) + 1) * width
     pieces = []
-    for k in range(blocks):
-        part = ids[k * block_ids : (k + 1) * block_ids]
-        units = writer.out[writer.start[k] : writer.place[k]]
-        check = zlib.crc32(part.astype("<u4").tobytes())
-        pieces.append(HEADER.pack(MAGIC, len(part), check, len(units), bits))
-        pieces.append(units.astype("<u2").tobytes())
+    for k, (head, different) in enumerate(plan.heads):
+        own = ids[k * size : (k + 1) * size]
+        check = zlib.crc32(own.astype("<u4").tobytes())
+        here = slice(k * streams, (k + 1) * streams)
+        sizes = (ends[here] - place[here]).astype("<u2").tobytes()
+        body = [sizes, head, b"\0" * (len(head) % 2)]
+        body += [words[a:b].astype("<u4").tobytes() for a, b in zip(place[here], ends[here])]
+        body = b"".join(body)
+        pieces.append(HEADER.pack(MAGIC, len(own), check, len(body) // 2, steps, streams, different))
+        pieces.append(body)
     return b"".join(pieces)
 
 
-class _Reader:
-    """Coder states of all blocks of a segment over their units."""
-
-    def __init__(self, units: list[np.ndarray]):
-        limit = max(map(len, units)) + 8
-        self.units = np.zeros((len(units), limit), np.uint16)
-        for k, one in enumerate(units):
-            self.units[k, : len(one)] = one
-        self.units = self.units.reshape(-1)
-        self.place = np.arange(len(units), dtype=np.int64) * limit + 4
-        self.ends = np.arange(1, len(units) + 1, dtype=np.int64) * limit - 1
-        self.code = np.zeros(len(units), _U)
-        for k in range(4):
-            self.code = (self.code << _UNIT) | self.units[self.place - 4 + k]
-        self.span = np.full(len(units), np.iinfo(_U).max, _U)
-
-    def values(self, lanes) -> np.ndarray:
-        """Where the blocks' codes lie in 2^32."""
-        unit = self.span[lanes] >> _HALF
-        return np.minimum(self.code[lanes] // unit, _U(0xFFFFFFFF)).view(np.int64)
-
-    def narrow(self, lanes, start: np.ndarray, size: np.ndarray) -> None:
-        unit = self.span[lanes] >> _HALF
-        code, place = self.code[lanes] - unit * start.view(_U), self.place[lanes]
-        span, ends = unit * size.view(_U), self.ends[lanes]
-        if not span.all():
-            raise BlockError("empty interval")
-        while True:
-            small = span < _LEAST_RANGE
-            if not small.any():
-                break
-            shift = small * _UNIT
-            code = (code << shift) | self.units[np.minimum(place, ends)] * small
-            span = span << shift
-            place = place + small
-        self.code[lanes], self.span[lanes], self.place[lanes] = code, span, place
-
-
-def decode_blocks(data: bytes) -> np.ndarray:
-    """The ids of consecutive blocks; BlockError if any is damaged."""
-    counts, checks, units, widths, at = [], [], [], set(), 0
+class _Tables:
+    """The models of all blocks of a segment, slots numbered through, as the decoder reads them."""
+
+    def __init__(self):
+        self.ids, self.packed, self.of_place, self.intervals = [], [], [], []
+        self.words, self.sizes = [], []
+        self.slots = [0]
+
+    def add(self, body: bytes, streams: int, bits: int, different: int) -> None:
+        at = 2 * streams
+        sizes = np.frombuffer(body, "<u2", streams, 0).astype(np.int64)
+        shares = np.frombuffer(body, "<u2", SHARES, at).astype(np.int64)
+        at += 2 * SHARES
+        gaps, at = _get_numbers(body, at, different)
+        counts, at = _get_numbers(body, at, different)
+        at += at % 2
+        ids = np.cumsum(gaps) - 1
+        if ids[-1] >> ID_BITS or counts.sum() > 1 << bits or max(shares.max(), shares[2] + shares[3]) >= ONE:
+            raise BlockError("wrong models")
+        if (sizes < 2).any() or at + 4 * int(sizes.sum()) != len(body):
+            raise BlockError("wrong lengths")
+        ends = _scaled_ends(counts, bits)
+        sizes_of = np.diff(ends, prepend=0)
+        packed = _hashes(different + 1, bits) << 32
+        packed[1:] |= (ends - sizes_of) | sizes_of << 16
+        self.packed.append(packed)
+        self.ids.append(np.concatenate([[0], ids]))
+        self.of_place.append(np.repeat(np.arange(1, different + 1, dtype=np.uint16), sizes_of))
+        self.intervals.append(_intervals(shares))
+        self.words.append(np.frombuffer(body, "<u4", int(sizes.sum()), at))
+        self.sizes.append(sizes)
+        self.slots.append(self.slots[-1] + different + 1)
+
+
+def _parsed(data: bytes) -> tuple[_Tables, list[int], list[int], int, int]:
+    """The blocks' models, lengths and checksums; ids of a stream, and streams."""
+    tables, counts, checks, shapes, at = _Tables(), [], [], set(), 0
     while at < len(data):
         if len(data) - at < HEADER.size:
             raise BlockError("cut header")
-        magic, count, check, length, bits = HEADER.unpack_from(data, at)
+        magic, count, check, length, steps, streams, different = HEADER.unpack_from(data, at)
         at += HEADER.size
-        if magic != MAGIC or len(data) - at < 2 * length or (counts and counts[-1] < counts[0]):
+        if magic != MAGIC or len(data) - at < 2 * length or not 0 < different <= count:
+            raise BlockError("wrong header or length")
+        if length < streams + SHARES + 4 or not 0 < count <= steps * streams <= MOST_BLOCK_IDS:
             raise BlockError("wrong header or length")
         counts.append(count)
         checks.append(check)
-        widths.add(bits)
-        units.append(np.frombuffer(data, "<u2", length, at))
+        shapes.add((steps, streams))
+        bits = _place_bits(steps * streams)
+        tables.add(data[at : at + 2 * length], streams, bits, different)
         at += 2 * length
-    blocks = len(counts)
-    if not blocks:
-        return np.empty(0, np.int64)
-    steps, short = counts[0], counts[-1]
-    if short > steps or any(one != steps for one in counts[:-1]) or not 0 < steps <= MOST_BLOCK_IDS:
+    if len(shapes) > 1 or any(one != steps * streams for one in counts[:-1]) or streams & (streams - 1):
         raise BlockError("blocks of different lengths")
-    if len(widths) > 1 or not MODEL_BITS <= bits <= ID_BITS:
-        raise BlockError("wrong width of ids")
-    extra = bits - MODEL_BITS
-    reader = _Reader(units)
-    mixer, n = Mixer(blocks, steps), blocks
-    out = np.zeros((steps, blocks), np.uint32)
-    id_of = np.zeros(blocks * steps, np.uint32)
+    return tables, counts, checks, steps, streams
+
+
+def decode_blocks(data: bytes) -> np.ndarray:
+    """The ids of consecutive blocks; BlockError if any is damaged."""
+    if not len(data):
+        return np.empty(0, np.int64)
+    try:
+        tables, counts, checks, steps, streams = _parsed(data)
+    except BlockError:
+        raise
+    except (struct.error, IndexError, ValueError) as error:
+        raise BlockError("cut block") from error
+    blocks = len(counts)
+    lanes, short = _layout(blocks, steps, streams, counts[-1])
+    block = np.arange(lanes, dtype=np.int64) // streams
+    packed, of_place = np.concatenate(tables.packed), np.concatenate(tables.of_place)
+    intervals = np.concatenate(tables.intervals)
+    sizes = np.concatenate(tables.sizes)
+    words = np.concatenate([*tables.words, np.zeros(steps + 4, np.uint32)]).astype(np.int64)
+    place = (np.cumsum(sizes) - sizes)[:lanes]
+    first_slot, first_case = np.array(tables.slots)[block], block * (4 * CLASSES)
+    place_bits = _place_bits(steps * streams)
+    first_place = block << place_bits
+    x = words[place] << 32 | words[place + 1]
+    place += 2
+    if (x < LEAST).any():
+        raise BlockError("impossible state")
+    last1 = np.zeros(len(packed), np.uint16)
+    last2 = np.zeros(blocks << place_bits, np.uint16)
+    before = first_slot
+    hash1 = packed.take(before) >> 32
+    hash2 = hash1.copy()
+    out = np.zeros((steps, blocks * streams), np.uint16)
+    n = lanes
     for step in range(steps):
-        if step == short and n == blocks:
+        if n != _active(lanes, step, short):
             n -= 1
-            mixer.drop_last()
-        if not n:
-            break
-        mixer.predict()
-        value = reader.values(slice(0, n))
-        hit2 = value < mixer.share2
-        hit1 = ~hit2 & (value < mixer.hits)
-        inside = np.maximum(value - mixer.hits, 0)
-        fresh = inside >= mixer.seen
-        new = np.flatnonzero(fresh)
-        slots = np.where(fresh, mixer.known, mixer.slots_at(inside))
-        slots = np.where(hit2, mixer.slot2, np.where(hit1, mixer.slot1, slots + 1)) - np.int64(1)
-        heads = mixer.heads_at(new, inside[new] - mixer.seen[new])
-        if int(heads.max(initial=0)) >> MODEL_BITS or (slots >= mixer.known + fresh).any():
-            raise BlockError("impossible id")
-        classes = _class_of.take(heads)
-        reader.narrow(slice(0, n), *mixer.bounds(slots, hit1, hit2, new, heads, classes))
-        at = mixer.lane * steps + slots
-        if len(new):
-            ids = heads << extra
-            if extra:
-                tails = reader.values(new) >> (32 - extra)
-                reader.narrow(new, tails << (32 - extra), np.full(len(new), 1 << (32 - extra)))
-                ids = ids + tails
-            id_of[at[new]] = ids
-        out[step, :n] = id_of.take(at)
-        mixer.learn(slots, hit1, hit2, fresh, new, classes)
-    rows = np.ascontiguousarray(out.T)
-    parts = [rows[k, :count] for k, count in enumerate(counts)]
-    for part, check in zip(parts, checks):
+            if not n:
+                break
+            x, place, before = x[:n], place[:n], before[:n]
+            first_place, first_slot, hash1 = first_place[:n], first_slot[:n], hash1[:n]
+            first_case, hash2 = first_case[:n], hash2[:n]
+        hash2 >>= 1
+        hash2 ^= hash1
+        hash2 += first_place
+        pair = hash2
+        slot1, slot2 = last1.take(before, mode="clip"), last2.take(pair, mode="clip")
+        kind = (slot1 == slot2).view(np.uint8)
+        kind <<= 1
+        kind |= (slot2 > 0).view(np.uint8)
+        kind <<= 1
+        kind |= (slot1 > 0).view(np.uint8)
+        kind <<= 2
+        case = first_case + kind
+        share = intervals.take(case + 3, mode="clip")
+        inside = x & (ONE - 1)
+        hit2, hit = inside < (share & 0xFFFF), inside < share >> 16
+        case += hit.view(np.uint8) + hit2.view(np.uint8)
+        share = intervals.take(case, mode="clip")
+        # Undo the place among the shares, then that among the counts where both orders miss.
+        x >>= SHARE_BITS
+        x *= share >> 16
+        x += inside
+        x -= share & 0xFFFF
+        whole, rest = x >> place_bits, x & ((1 << place_bits) - 1)
+        slot = of_place.take(first_place + rest, mode="clip")
+        np.copyto(slot, slot1, where=hit)
+        np.copyto(slot, slot2, where=hit2)
+        last1[before] = slot
+        last2[pair] = slot
+        out[step, :n] = slot
+        before = first_slot + slot
+        about = packed.take(before, mode="clip")
+        rest -= about & 0xFFFF
+        whole *= about >> 16 & 0xFFFF
+        whole += rest
+        np.copyto(whole, x, where=hit)
+        x = whole
+        low = np.flatnonzero(x < LEAST)
+        at = place.take(low, mode="clip")
+        x[low] = x.take(low, mode="clip") << 32 | words.take(at, mode="clip")
+        place[low] = at + 1
+        about >>= 32
+        hash2, hash1 = hash1, about
+    parts = []
+    for k, (count, check) in enumerate(zip(counts, checks)):
+        slots = out[:, k * streams : (k + 1) * streams].T.reshape(-1)[:count]
+        part = tables.ids[k].take(slots)
         if zlib.crc32(part.astype("<u4").tobytes()) != check:
             raise BlockError("wrong checksum")
-    return np.concatenate(parts).astype(np.int64)
+        parts.append(part)
+    return np.concatenate(parts)

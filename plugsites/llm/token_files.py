@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 
 from plugsites.llm.chunks import chunk_encoder
 from plugsites.llm.frames import id_and_text, portions
-from plugsites.llm.range_coder import decode_blocks, encode_blocks
+from plugsites.llm.range_coder import MOST_BLOCK_IDS, decode_blocks, encode_blocks
 
 END_ID = b"\x00\x00\x00\x00"
 #: A segment ends with the document that brings it to this many ids.
@@ -52,7 +52,7 @@ class _Segment:
                 pa.array([len(ids)], pa.int64()),
                 pa.array([self.doc_ids], longs),
                 pa.array([self.lengths], longs),
-                pa.array([encode_blocks(ids)], pa.binary()),
+                pa.array([encode_blocks(ids, MOST_BLOCK_IDS)], pa.binary()),
             ],
             ["shard", "segment", "n_ids", "doc_ids", "n_tokens", "blocks"],
         )
