@@ -61,6 +61,15 @@ def _gathered(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndar
     return ids[at]
 
 
+def _numbered(values: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different values below ``limit``, ascending, and for each value its number there."""
+    seen = np.zeros(limit, bool)
+    seen[values] = True
+    numbers = np.cumsum(seen)
+    numbers -= 1
+    return np.flatnonzero(seen), numbers[values]
+
+
 class _Remembered:
     """Different chunks and their ids; some 30 bytes a chunk, as Python strings about 200."""
 
@@ -155,7 +164,8 @@ class ChunkEncoder:
         if not doubtful.any():
             return self._of_pieces(pieces, which, counts)
         starts = np.cumsum(counts) - counts
-        again = np.logical_or.reduceat(doubtful[which], starts)
+        again = np.zeros(len(texts), bool)
+        again[np.searchsorted(starts, np.flatnonzero(doubtful[which]), side="right") - 1] = True
         first = self._of_pieces(pieces, which[np.repeat(~again, counts)], counts[~again])
         chunks = [safe_chunks(texts[k]) for k in np.flatnonzero(again)]
         coded = pa.array([one for of in chunks for one in of], pa.large_string()).dictionary_encode()
@@ -193,11 +203,11 @@ class ChunkEncoder:
         if not len(counts):
             return np.empty(0, ID), np.empty(0, np.int64)
         starts = np.cumsum(counts) - counts
-        used, which = np.unique(which, return_inverse=True)
+        used, which = _numbered(which, len(pieces))
         pieces = pieces.take(pa.array(used))
         if self.lead:
             # A text's first chunk has no space before it, nor has one after a line feed.
-            heads, nth = np.unique(which[starts], return_inverse=True)
+            heads, nth = _numbered(which[starts], len(pieces))
             which[starts] = len(pieces) + nth
             text = pa.large_string()
             led = pc.binary_join_element_wise(
@@ -250,24 +260,28 @@ class ChunkEncoder:
         return known, places
 
     def _learned(self, chunks: pa.Array) -> _Remembered:
-        listed = chunks.to_pylist()
-        plain = pc.match_substring_regex(chunks, self.plain_chunk).to_pylist()
-        rest: list[str] = []
-        by_lead: dict[str, list[str]] = {}
-        for chunk, is_plain in zip(listed, plain):
-            if is_plain:
-                lead = chunk[0] if chunk[0] in " \n" else ""
-                by_lead.setdefault(lead, []).append(chunk)
+        plain = pc.match_substring_regex(chunks, self.plain_chunk)
+        leads = [pc.and_(plain, pc.starts_with(chunks, lead)) for lead in (" ", "\n")]
+        kind = pc.case_when(pc.make_struct(*leads, plain), 1, 2, 0, 3)
+        kind = kind.to_numpy(zero_copy_only=False)
+        found: list[bytes] = []
+        places = [np.flatnonzero(kind == one) for one in range(4)]
+        for one, at in enumerate(places):
+            own = chunks.take(pa.array(at))
+            if one in (1, 2):
+                own = pc.utf8_slice_codeunits(own, 1)
+            own = own.to_pylist()
+            if one == 3:
+                found += self._library(own)
+            elif one == 2:
+                found += [self.line_feed + ids for ids in self._words(own, "")]
             else:
-                rest.append(chunk)
-        found = dict(zip(rest, self._library(rest)))
-        for lead, led in by_lead.items():
-            words = self._words([chunk[len(lead) :] for chunk in led], SPACE if lead == " " else "")
-            found.update(zip(led, [self.line_feed + ids for ids in words] if lead == "\n" else words))
-        packed = [found[chunk] for chunk in listed]
-        return _Remembered(
-            chunks, np.frombuffer(b"".join(packed), ID), [len(one) // 4 for one in packed]
-        )
+                found += self._words(own, SPACE if one else "")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        back = np.argsort(np.concatenate(places))
+        starts = (np.cumsum(sizes) - sizes)[back]
+        sizes = sizes[back]
+        return _Remembered(chunks, _gathered(np.frombuffer(b"".join(found), ID), starts, sizes), sizes)
 
     def _forget(self) -> None:
         long = pc.greater(pc.utf8_length(self.young.chunks), LONGEST_REMEMBERED)
@@ -282,13 +296,16 @@ class ChunkEncoder:
         another ``lead`` in the byte alphabet."""
         if lead is None:
             lead = SPACE if self.lead else ""
-        tokenize, spelling = self.tokenizer.model.tokenize, self.spelling
-        out = []
-        for word in words:
-            if not (word.isascii() and word.islower()):
-                word = word.translate(spelling)
-            out.append(_little_endian([token.id for token in tokenize(lead + word)]))
-        return out
+        if not words:
+            return []
+        tokenize = self.tokenizer.model.tokenize
+        ids, ends = array("I"), [0]
+        # The words are spelled together; none has a line feed, nor has its spelling.
+        for word in "\n".join(words).translate(self.spelling).split("\n"):
+            ids.extend([token.id for token in tokenize(lead + word)])
+            ends.append(len(ids))
+        packed = _little_endian(ids)
+        return [packed[4 * start : 4 * end] for start, end in zip(ends, ends[1:])]
 
     def _spelled(self, words: list[str]) -> list[str]:
         """Words as the model reads them; those of small ASCII letters are so already."""
@@ -314,7 +331,7 @@ class ChunkEncoder:
         return [_little_endian(one.ids) for one in encoded]
 
 
-def _little_endian(ids: list[int]) -> bytes:
+def _little_endian(ids: list[int] | array) -> bytes:
     packed = array("I", ids)
     if sys.byteorder == "big":
         packed.byteswap()

@@ -72,9 +72,10 @@ def _put_numbers(values: np.ndarray) -> bytes:
     ones = np.cumsum(rank[kind] + 1) - 1
     unary = np.zeros(int(ones[-1]) + 1, bool)
     unary[ones] = True
-    shift = kind[:, None] - np.arange(1, int(kind.max()) + 1)
-    within = (values[:, None] >> np.maximum(shift, 0) & 1) > 0
-    packed = np.packbits(np.concatenate([unary, within[shift >= 0]])).tobytes()
+    width = int(kind.max())
+    within = np.unpackbits(values.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)[:, 64 - width :]
+    wanted = np.arange(width, 0, -1, dtype=np.uint8) <= kind.astype(np.uint8)[:, None]
+    packed = np.packbits(np.concatenate([unary, within[wanted].view(bool)])).tobytes()
     return bytes([len(listed)]) + listed.astype(np.uint8).tobytes() + struct.pack("<I", len(packed)) + packed
 
 
@@ -198,16 +199,18 @@ class _Plan:
         hit = hit2 | (slot1 == slots)
         outcome = hit.view(np.uint8) + hit2.view(np.uint8)
         case = (kind << 2 | outcome).astype(np.int64)
-        missed, cases = slots[~hit], case
+        hits = np.flatnonzero(hit)
+        counts = np.bincount(slots, minlength=len(different) + 2)
+        counts -= np.bincount(slots.take(hits), minlength=len(counts))
+        cases = case
         if there is not None:
-            missed, cases = slots[~hit & there], case[there]
-        counts = np.bincount(missed, minlength=len(different) + 2)
+            counts[len(different) + 1], cases = 0, case[there]
         shares = _shares(np.bincount(cases, minlength=4 * CLASSES).reshape(CLASSES, 4))
         ends = _scaled_ends(counts, place_bits)
         sizes = np.diff(ends, prepend=0)
         sizes |= (ends - sizes) << 16
         counted = sizes.astype(np.uint32).take(slots, mode="clip")
-        counted[hit] = 1 << place_bits
+        counted[hits] = 1 << place_bits
         lane = len(self.heads) * streams
         here = slice(lane, lane + streams)
         self.counted[:, here] = counted.reshape(steps, streams)
